@@ -38,6 +38,11 @@ def relatives(entity: Column, role: str, rules=HIERARCHY_RULES) -> Column:
     return F.filter(F.coalesce(found, empty), lambda g: g.isNotNull())
 
 
+def each(structs, field: str) -> Column:
+    """One field of every struct in a list."""
+    return F.transform(structs, lambda s: s[field])
+
+
 def without_empty(relationships: Column) -> Column:
     """Relationship map without null or empty lists."""
     return F.map_filter(relationships, lambda _, v: F.coalesce(F.size(v), F.lit(0)) > 0)

@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from metaloom.functions.attributes import each
 from metaloom.schemas import DOCUMENT_ATTRIBUTES, DOCUMENT_COLUMNS, EDIT, LINK_FIELDS, PATH, fields_of
 
 _ALWAYS = ["attr", "touch", "link", "relink", "unlink", "reset"]
@@ -73,14 +74,18 @@ def _has(kind: str) -> Column:
     return F.exists("_e", lambda e: e["kind"] == kind)
 
 
+def _touches(field: str) -> Column:
+    return F.exists("_e", lambda e: (e["field"] == field) & e["kind"].isin("link", "relink", "unlink"))
+
+
 def _edited_links(field: str) -> tuple[Column, Column]:
     """New (guids, names) of one link list. Entries are addressed by position, so the cost is linear."""
     guids, names = F.col(field + "guid"), F.col(field)
     moved = F.array_union(
-        F.transform(_of("unlink", field), lambda e: e["pos"]), F.transform(_of("relink", field), lambda e: e["pos"])
+        each(_of("unlink", field), "pos"), each(_of("relink", field), "pos")
     )
     positions = F.when(F.size(guids) > 0, F.sequence(F.lit(0), F.size(guids) - 1)).otherwise(F.array().cast("array<int>"))
-    dropped = F.transform(_of("unlink", field), lambda e: e["pos"])
+    dropped = each(_of("unlink", field), "pos")
 
     def entry(pos, guid, name):
         return F.struct(pos.cast("int").alias("pos"), guid.alias("guid"), name.alias("name"))
@@ -95,7 +100,7 @@ def _edited_links(field: str) -> tuple[Column, Column]:
         lambda e: entry(F.lit(None), e["guid"], e["value"]),
     )
     entries = F.concat(F.array_sort(F.concat(kept, renamed)), added)
-    return F.transform(entries, lambda e: e["guid"]), F.transform(entries, lambda e: e["name"])
+    return each(entries, "guid"), each(entries, "name")
 
 
 def merge_edits(edits: DataFrame) -> DataFrame:
@@ -129,7 +134,7 @@ def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
     changed_lists = {}
     for field in LINK_FIELDS.values():
         guids, names = _edited_links(field)
-        touched = F.exists("_e", lambda e, f=field: (e["field"] == f) & e["kind"].isin("link", "relink", "unlink"))
+        touched = _touches(field)
         changed_lists[field + "guid"] = F.when(touched, guids).otherwise(F.col(field + "guid"))
         changed_lists[field] = F.when(touched, names).otherwise(F.col(field))
     df = df.withColumns(changed_lists)
@@ -186,7 +191,7 @@ def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
             {
                 f"breadcrumb{part}": F.when(
                     F.col("_a").isNotNull(),
-                    F.concat(F.transform("_a", lambda p, part=part: p[part]),
+                    F.concat(each("_a", part),
                              rest if rest is not None else F.col(f"breadcrumb{part}")),
                 ).otherwise(F.col(f"breadcrumb{part}"))
                 for part in ("guid", "name", "type")

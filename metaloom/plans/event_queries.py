@@ -572,7 +572,7 @@ def q_export_entities_by_name(spark, sf):
                             "o_orderkey", "m4i_field", F.col("o_orderstatus"), relations("to", "m4i_data_attribute")))
         .unionByName(bodies(part, "P", "p_partkey", "m4i_data_attribute", F.col("p_name"), F.create_map()))
     )
-    out = index_rules.export_entities_by_name(entities, ["m4i_dataset"], "7", full=True, max_depth=3)
+    out = index_rules.export_entities_by_name(cut(entities), ["m4i_dataset"], "7", full=True, cut=cut)
     return out.select(F.col("body.guid").alias("guid"), F.col("body.typeName").alias("type_name"))
 
 

@@ -27,17 +27,17 @@ def ancestors(docs: DataFrame) -> DataFrame:
     )
 
 
+def _entries(field: str) -> Column:
+    return F.transform(
+        F.col(field + "guid"),
+        lambda g, i: F.struct(F.lit(field).alias("field"), i.alias("pos"), g.alias("guid"),
+                              F.get(F.col(field), i).alias("name")),
+    )
+
+
 def links(docs: DataFrame) -> DataFrame:
     """Inverted index of the link lists: (doc, field, pos, guid, name)."""
-    lists = [
-        F.transform(
-            F.col(f + "guid"),
-            lambda g, i, f=f: F.struct(
-                F.lit(f).alias("field"), i.alias("pos"), g.alias("guid"), F.get(F.col(f), i).alias("name")
-            ),
-        )
-        for f in LINK_FIELDS.values()
-    ]
+    lists = [_entries(f) for f in LINK_FIELDS.values()]
     return docs.select(F.col("guid").alias("doc"), F.inline(F.concat(*lists)))
 
 

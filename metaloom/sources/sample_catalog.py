@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metaloom.functions.attributes import entity, ref
+from metaloom.functions.attributes import each, entity, ref
 from metaloom.operators.edits import union
 from metaloom.schemas import (
     ATTRIBUTE_AUDIT,
@@ -115,10 +115,10 @@ def assemble_documents(nodes: DataFrame, links: DataFrame) -> DataFrame:
     values: dict[str, Column] = {c: F.lit(0.0) for c in SCORES}
     values.update({c: empty for c in LISTS})
     for f in LINK_FIELDS.values():
-        values[f + "guid"] = F.coalesce(F.transform(f"_{f}", lambda e: e["guid"]), empty)
-        values[f] = F.coalesce(F.transform(f"_{f}", lambda e: e["name"]), empty)
+        values[f + "guid"] = F.coalesce(each(f"_{f}", "guid"), empty)
+        values[f] = F.coalesce(each(f"_{f}", "name"), empty)
     for part in ("guid", "name", "type"):
-        values[f"breadcrumb{part}"] = F.transform("path", lambda p, part=part: p[part])
+        values[f"breadcrumb{part}"] = each("path", part)
     values["supertypenames"] = F.array("typename")
     values["parentguid"] = F.get("path", F.size("path") - 1)["guid"]
     for c in ("guid", "typename", "name"):
