@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metaloom.functions.attributes import guids_of, relatives, text
+from metaloom.functions.attributes import all_refs, each, relatives, text
+from metaloom.functions.state import cut
 from metaloom.operators.edits import edit, path_through, union
-from metaloom.schemas import CREATE_BLACKLIST, DOCUMENT, HIERARCHY_RULES, LISTS, PERSON_TYPE, SCORES
+from metaloom.schemas import CREATE_BLACKLIST, DOCUMENT, HIERARCHY_RULES, LISTS, PATH, PERSON_TYPE, SCORES
 from metaloom.sources.documents import ancestors, link_field, links
 
 
@@ -52,13 +53,31 @@ def create_person_email(changes: DataFrame) -> DataFrame:
     )
 
 
-def create_filter_relationships(changes: DataFrame) -> DataFrame:
-    """(change_id, ord, guid, ref) of every reference that may become a link; parents are included."""
-    exploded = changes.select(
-        "change_id", "ord", "guid", F.explode("inserted_relationships").alias("attribute", "refs")
-    ).select("change_id", "ord", "guid", F.inline("refs").alias("ref", "ref_type", "relationship", "unique"))
-    allowed = F.col("ref").isNotNull() & F.coalesce(~F.col("ref_type").isin(CREATE_BLACKLIST), F.lit(True))
-    return exploded.filter(allowed).select("change_id", "ord", "guid", "ref")
+def flagged_refs(df: DataFrame, refs: Column, children: Column, parents: Column) -> DataFrame:
+    """(change_id, ord, guid, ref, child, parent): each guid in ``refs`` once.
+
+    ``child`` tells whether it is among the children of the entity, ``parent`` whether it is its first parent.
+    """
+    df = df.select("change_id", "ord", "guid", refs.alias("_refs"), children.alias("_children"),
+                   F.get(parents, 0).alias("_parent"))
+    marked = F.concat(
+        F.transform(F.array_intersect("_refs", "_children"), lambda g: F.struct(g.alias("ref"), F.lit(True).alias("child"))),
+        F.transform(F.array_except("_refs", "_children"), lambda g: F.struct(g.alias("ref"), F.lit(False).alias("child"))),
+    )
+    return df.select("change_id", "ord", "guid", "_parent", F.inline(marked)).select(
+        "change_id", "ord", "guid", "ref", "child", F.coalesce(F.col("ref") == F.col("_parent"), F.lit(False)).alias("parent"))
+
+
+def create_filter_relationships(changes: DataFrame, rules=HIERARCHY_RULES) -> DataFrame:
+    """References of created entities that may become links, as of ``flagged_refs``; parents are included."""
+    allowed = F.filter(
+        all_refs(F.col("inserted_relationships")),
+        lambda r: r["guid"].isNotNull() & F.coalesce(~r["typeName"].isin(CREATE_BLACKLIST), F.lit(True)),
+    )
+    entity = F.col("new_value")
+    return flagged_refs(
+        changes.filter(entity.isNotNull()), each(allowed, "guid"), relatives(entity, "child", rules),
+        relatives(entity, "parent", rules))
 
 
 def with_created(docs: DataFrame, created: DataFrame) -> DataFrame:
@@ -67,13 +86,12 @@ def with_created(docs: DataFrame, created: DataFrame) -> DataFrame:
 
 
 def link_pairs(refs: DataFrame, docs: DataFrame) -> DataFrame:
-    """References (change_id, ord, guid, ref) whose both documents exist and have linkable types."""
+    """References whose both documents exist and have linkable types, with the type field and name of both."""
     mine = docs.select(
-        F.col("guid"), F.col("typename").alias("doc_type"), F.col("name").alias("doc_name"),
-        link_field(F.col("typename")).alias("doc_field"),
+        F.col("guid"), F.col("name").alias("doc_name"), link_field(F.col("typename")).alias("doc_field"),
     ).filter(F.col("doc_field").isNotNull())
-    theirs = mine.toDF("ref", "ref_type", "ref_name", "ref_field")
-    return refs.select("change_id", "ord", "guid", "ref").distinct().join(theirs, "ref").join(mine, "guid")
+    theirs = mine.toDF("ref", "ref_name", "ref_field")
+    return refs.join(theirs, "ref").join(mine, "guid")
 
 
 def _both_ways(pairs: DataFrame) -> DataFrame:
@@ -113,53 +131,38 @@ def unlink_documents(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def create_breadcrumb_from_parent(changes: DataFrame, pairs: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES
-                                  ) -> DataFrame:
+def create_breadcrumb_from_parent(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Edits that put a created document under its first parent, if that one got linked."""
-    first = changes.select(
-        "change_id", "ord", "guid", F.get(relatives(F.col("new_value"), "parent", rules), 0).alias("ref")
-    ).filter(F.col("ref").isNotNull())
-    linked = first.join(pairs.select("change_id", "ref").distinct(), ["change_id", "ref"], "left_semi")
     parents = docs.select(F.col("guid").alias("ref"), path_through().alias("path"))
-    return edit(linked.join(parents, "ref"), "attach", doc="guid", guid="ref", path="path")
+    return edit(pairs.filter("parent").join(parents, "ref"), "attach", doc="guid", guid="ref", path="path")
 
 
-def child_refs(changes: DataFrame, refs: DataFrame, entity: str, rules=HIERARCHY_RULES) -> DataFrame:
-    """References that point at children, according to the ``old_value`` or ``new_value`` of the change."""
-    children = changes.select(
-        "change_id", F.explode(relatives(F.col(entity), "child", rules)).alias("ref")
-    ).distinct()
-    return refs.select("change_id", "ord", "guid", "ref").distinct().join(children, ["change_id", "ref"], "left_semi")
-
-
-def attach_children(children: DataFrame, pairs: DataFrame, paths: DataFrame) -> DataFrame:
+def attach_children(pairs: DataFrame, paths: DataFrame) -> DataFrame:
     """Edits that move linked children under their document. ``paths`` is (change_id, path)."""
-    linked = children.join(pairs.select("change_id", "ref").distinct(), ["change_id", "ref"], "left_semi")
-    return edit(linked.join(paths, "change_id"), "attach", doc="ref", guid="guid", path="path")
+    return edit(pairs.filter("child").join(paths, "change_id"), "attach", doc="ref", guid="guid", path="path")
 
 
-def descendants(children: DataFrame, docs: DataFrame) -> DataFrame:
+def descendants(refs: DataFrame, docs: DataFrame) -> DataFrame:
     """(change_id, ord, guid, doc): documents below a child, other than children of the same change."""
+    children = refs.filter("child").select("change_id", "ord", "guid", "ref")
     below = ancestors(docs).select("doc", F.col("guid").alias("ref"))
-    found = children.join(below, "ref").select("change_id", "ord", "guid", "doc").distinct()
+    found = below.join(children, "ref").select("change_id", "ord", "guid", "doc").distinct()
     return found.join(children.select("change_id", F.col("ref").alias("doc")), ["change_id", "doc"], "left_anti")
 
 
-def attach_descendants(children: DataFrame, docs: DataFrame, paths: DataFrame) -> DataFrame:
+def attach_descendants(refs: DataFrame, docs: DataFrame, paths: DataFrame) -> DataFrame:
     """Edits that put the path of the document in front of the breadcrumbs below its new children."""
-    found = descendants(children, docs).join(paths, "change_id")
+    found = descendants(refs, docs).join(paths, "change_id")
     return edit(found, "prepend", doc="doc", guid="guid", path="path")
 
 
-def created_paths(changes: DataFrame, placed: DataFrame) -> DataFrame:
+def created_paths(refs: DataFrame, created: DataFrame, placed: DataFrame) -> DataFrame:
     """(change_id, path) for what comes below a created document; ``placed`` are its attach edits."""
-    documents = create_document(changes).select("guid", "name", "typename")
-    own = F.array(F.struct(F.col("guid"), F.col("name"), F.col("typename").alias("type")))
-    joined = (
-        changes.select("change_id", "guid").join(documents, "guid")
-        .join(placed.select("change_id", "path"), "change_id", "left")
-    )
-    return joined.select("change_id", F.when(F.col("path").isNull(), own).otherwise(F.concat("path", own)).alias("path"))
+    own = F.array(F.struct(F.col("guid"), F.col("name"), F.col("typename").alias("type"))).cast(PATH)
+    parents = refs.filter("child").select("change_id", "guid").distinct()
+    joined = parents.join(created.select("guid", own.alias("_own")), "guid").join(
+        placed.select("change_id", "path"), "change_id", "left")
+    return joined.select("change_id", F.coalesce(F.concat("path", "_own"), F.col("_own")).alias("path"))
 
 
 def created_errors(changes: DataFrame) -> DataFrame:
@@ -174,23 +177,17 @@ def created_errors(changes: DataFrame) -> DataFrame:
 def entity_created(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents with the new ones in place, edits, errors) of a set of created entities."""
     ok = changes.filter(F.col("new_value").isNotNull())
-    created = create_document(ok)
+    created = cut(create_document(ok))
     base = with_created(docs, created)
-    refs = create_filter_relationships(ok)
-    pairs = link_pairs(refs, base)
-    placed = create_breadcrumb_from_parent(ok, pairs, base, rules)
-    paths = created_paths(ok, placed)
-    children = child_refs(ok, refs, "new_value", rules)
+    refs = cut(create_filter_relationships(ok, rules))
+    pairs = cut(link_pairs(refs, base))
+    placed = create_breadcrumb_from_parent(pairs, base)
+    paths = created_paths(refs, created, placed)
     edits = union(
         edit(ok, "touch", doc="guid"),
         link_documents(pairs, base),
         placed,
-        attach_children(children, pairs, paths),
-        attach_descendants(children, docs, paths),
+        attach_children(pairs, paths),
+        attach_descendants(refs, docs, paths),
     )
     return base, edits, created_errors(changes)
-
-
-def requested_guids(changes: DataFrame) -> DataFrame:
-    """(change_id, guids) asked for by created entities."""
-    return changes.select("change_id", guids_of(F.col("inserted_relationships")).alias("guids"))

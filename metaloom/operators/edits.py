@@ -25,7 +25,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metaloom.functions.attributes import each
 from metaloom.schemas import DOCUMENT_ATTRIBUTES, DOCUMENT_COLUMNS, EDIT, LINK_FIELDS, PATH, fields_of
 
 _ALWAYS = ["attr", "touch", "link", "relink", "unlink", "reset"]
@@ -63,144 +62,110 @@ def path_through(prefix: str = "") -> Column:
     return F.concat(path_of(prefix), F.array(own).cast(PATH))
 
 
-def _of(kind: str, field: str | None = None):
-    def matches(e: Column) -> Column:
-        return (e["kind"] == kind) & (e["field"] == field) if field else e["kind"] == kind
+def merge_edits(edits: DataFrame) -> DataFrame:
+    """One row per document with its list of edits, ``_e``.
 
-    return F.filter(F.col("_e"), matches)
+    Repeated edits of one entry are reduced first, on the map side: the last one wins, and removing an entry
+    wins over renaming it. What is left per document is at most one edit per list entry or attribute, so
+    the list is no longer than the document.
+    """
+    slot = F.when(F.col("kind").isin("relink", "unlink"), "entry").otherwise(F.col("kind"))
+    single = edits.groupBy("doc", slot.alias("slot"), "field", "guid").agg(
+        F.max_by(F.struct("kind", "pos", "value", "path"), F.struct(F.col("kind") == "unlink", "ord")).alias("last"),
+        F.min("ord").alias("ord"),
+    )
+    return single.groupBy("doc").agg(
+        F.collect_list(F.struct("last.kind", "field", "guid", "ord", "last.pos", "last.value", "last.path")).alias("_e")
+    )
 
 
-def _has(kind: str) -> Column:
-    return F.exists("_e", lambda e: e["kind"] == kind)
+def _links_after(field: str) -> Column:
+    """The entries (pos, guid, name) of one link list after its edits; null when there are none.
 
+    Entries are addressed by position and set operations work by hashing, so a long list costs n log n.
+    """
+    return F.expr(f"""
+      CASE WHEN exists(_e, e -> e.field = '{field}' AND e.kind IN ('link', 'relink', 'unlink')) THEN concat(
+        array_sort(concat(
+          transform(
+            array_except(
+              IF(size({field}guid) > 0, sequence(0, size({field}guid) - 1), array()),
+              transform(filter(_e, e -> e.field = '{field}' AND e.kind IN ('relink', 'unlink')), e -> e.pos)),
+            i -> named_struct('pos', i, 'guid', get({field}guid, i), 'name', get({field}, i))),
+          transform(
+            filter(_e, e -> e.field = '{field}' AND e.kind = 'relink'),
+            e -> named_struct('pos', e.pos, 'guid', e.guid, 'name', e.value)))),
+        transform(
+          array_sort(transform(filter(_e, e -> e.field = '{field}' AND e.kind = 'link'),
+            e -> named_struct('ord', e.ord, 'guid', e.guid, 'name', e.value))),
+          e -> named_struct('pos', CAST(NULL AS INT), 'guid', e.guid, 'name', e.name))) END""")
 
-def _touches(field: str) -> Column:
-    return F.exists("_e", lambda e: (e["field"] == field) & e["kind"].isin("link", "relink", "unlink"))
 
+def _has(kind: str) -> str:
+    return f"exists(_e, e -> e.kind = '{kind}')"
 
-def _edited_links(field: str) -> tuple[Column, Column]:
-    """New (guids, names) of one link list. Entries are addressed by position, so the cost is linear."""
-    guids, names = F.col(field + "guid"), F.col(field)
-    moved = F.array_union(
-        each(_of("unlink", field), "pos"), each(_of("relink", field), "pos")
-    )
-    positions = F.when(F.size(guids) > 0, F.sequence(F.lit(0), F.size(guids) - 1)).otherwise(F.array().cast("array<int>"))
-    dropped = each(_of("unlink", field), "pos")
 
-    def entry(pos, guid, name):
-        return F.struct(pos.cast("int").alias("pos"), guid.alias("guid"), name.alias("name"))
+def _of(kind: str) -> str:
+    return f"filter(_e, e -> e.kind = '{kind}')"
 
-    kept = F.transform(F.array_except(positions, moved), lambda i: entry(i, F.get(guids, i), F.get(names, i)))
-    renamed = F.transform(
-        F.filter(_of("relink", field), lambda e: ~F.array_contains(dropped, e["pos"])),
-        lambda e: entry(e["pos"], e["guid"], e["value"]),
-    )
-    added = F.transform(
-        F.array_sort(F.transform(_of("link", field), lambda e: F.struct(e["ord"], e["guid"], e["value"]))),
-        lambda e: entry(F.lit(None), e["guid"], e["value"]),
-    )
-    entries = F.concat(F.array_sort(F.concat(kept, renamed)), added)
-    return each(entries, "guid"), each(entries, "name")
 
+_CRUMBS = ["breadcrumbguid", "breadcrumbname", "breadcrumbtype"]
+_LAST = "get(breadcrumbguid, size(breadcrumbguid) - 1)"
 
-def merge_edits(edits: DataFrame) -> DataFrame:
-    """One row per document with its list of edits, ``_e``.
 
-    Repeated edits of one entry are reduced first, on the map side: the last one wins. What is left per
-    document is at most one edit per list entry or attribute, so the list is no longer than the document.
-    """
-    single = edits.groupBy("doc", "kind", "field", "guid").agg(
-        F.max_by(F.struct("pos", "value", "path"), "ord").alias("last"), F.min("ord").alias("ord")
-    )
-    return single.groupBy("doc").agg(
-        F.collect_list(
-            F.struct("kind", "field", "guid", "ord", F.col("last.pos").alias("pos"),
-                     F.col("last.value").alias("value"), F.col("last.path").alias("path"))
-        ).alias("_e")
-    )
+def _set(df: DataFrame, **columns: str) -> DataFrame:
+    return df.withColumns({name: F.expr(sql) for name, sql in columns.items()})
+
+
+def _keep_after(df: DataFrame, position: str, **more: str) -> DataFrame:
+    """Keep what comes after a 1-based position of the breadcrumb; 0 keeps everything."""
+    df = _set(df, _at=f"CAST(coalesce({position}, 0) AS INT)")
+    return _set(
+        df, **{c: f"IF(_at > 0, slice({c}, _at + 1, greatest(size({c}) - _at, 0)), {c})" for c in _CRUMBS}, **more)
+
+
+def _rightmost(kind: str) -> str:
+    return f"array_max(transform({_of(kind)}, e -> array_position(breadcrumbguid, e.guid)))"
 
 
 def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
     """The documents that the edits touch, after the edits."""
-    merged = merge_edits(edits).withColumnRenamed("doc", "guid")
-    df = docs.join(merged, "guid")
-    before = F.struct("breadcrumbguid", "breadcrumbname")
-    df = df.withColumn("_before", before)
-
-    for name in DOCUMENT_ATTRIBUTES:
-        new = _of("attr", name)
-        df = df.withColumn(name, F.when(F.size(new) > 0, F.get(new, 0)["value"]).otherwise(F.col(name)))
-
-    changed_lists = {}
-    for field in LINK_FIELDS.values():
-        guids, names = _edited_links(field)
-        touched = _touches(field)
-        changed_lists[field + "guid"] = F.when(touched, guids).otherwise(F.col(field + "guid"))
-        changed_lists[field] = F.when(touched, names).otherwise(F.col(field))
-    df = df.withColumns(changed_lists)
-
-    guids, names, types = F.col("breadcrumbguid"), F.col("breadcrumbname"), F.col("breadcrumbtype")
-
-    def after(pos: Column, where: Column) -> dict[str, Column]:
-        return {
-            c: F.when(where, F.slice(c, pos + 1, F.greatest(F.size(c) - pos, F.lit(0)))).otherwise(F.col(c))
-            for c in ("breadcrumbguid", "breadcrumbname", "breadcrumbtype")
-        }
-
-    new_names = F.map_from_entries(F.transform(_of("crumb_name"), lambda e: F.struct(e["guid"], e["value"])))
-    df = df.withColumn(
-        "breadcrumbname",
-        F.when(
-            _has("crumb_name") & (F.size(guids) == F.size(names)),
-            F.transform(
-                names,
-                lambda n, i: F.when(
-                    F.array_position(guids, F.get(guids, i)) == i + 1,
-                    F.coalesce(F.try_element_at(new_names, F.get(guids, i)), n),
-                ).otherwise(n),
-            ),
-        ).otherwise(names),
+    df = docs.join(merge_edits(edits).withColumnRenamed("doc", "guid"), "guid")
+    df = df.withColumns({f"_{f}": _links_after(f) for f in LINK_FIELDS.values()})
+    df = _set(
+        df,
+        _before="struct(breadcrumbguid, breadcrumbname)",
+        **{
+            a: f"IF(exists(_e, e -> e.kind = 'attr' AND e.field = '{a}'), "
+               f"get(filter(_e, e -> e.kind = 'attr' AND e.field = '{a}'), 0).value, {a})"
+            for a in DOCUMENT_ATTRIBUTES
+        },
+        **{f + "guid": f"coalesce(_{f}.guid, {f}guid)" for f in LINK_FIELDS.values()},
+        **{f: f"coalesce(_{f}.name, {f})" for f in LINK_FIELDS.values()},
+        _names=f"map_from_entries(transform({_of('crumb_name')}, e -> struct(e.guid, e.value)))",
     )
-
+    df = _set(df, breadcrumbname="""
+      CASE WHEN size(_names) > 0 AND size(breadcrumbguid) = size(breadcrumbname) THEN transform(breadcrumbname, (n, i) ->
+        IF(array_position(breadcrumbguid, get(breadcrumbguid, i)) = i + 1,
+           coalesce(try_element_at(_names, get(breadcrumbguid, i)), n), n)) ELSE breadcrumbname END""")
     # Cutting at several ancestors one after the other leaves what follows the rightmost of them.
-    cut = F.array_max(F.transform(_of("crumb_cut"), lambda e: F.array_position(guids, e["guid"])))
-    well_formed = (F.size(guids) == F.size(names)) & (F.size(guids) == F.size(types))
-    df = df.withColumn("_cut", F.coalesce(F.when(well_formed, cut), F.lit(0)).cast("int"))
-    df = df.withColumns(after(F.col("_cut"), F.col("_cut") > 0))
-
-    none = F.array().cast("array<string>")
-    df = df.withColumns(
-        {
-            **{c: F.when(_has("reset"), none).otherwise(F.col(c))
-               for c in ("breadcrumbguid", "breadcrumbname", "breadcrumbtype")},
-            "parentguid": F.when(_has("reset"), F.lit(None).cast("string")).otherwise(F.col("parentguid")),
-        }
-    )
-
-    detach = F.array_max(F.transform(_of("detach"), lambda e: F.array_position(guids, e["guid"])))
-    df = df.withColumn("_cut", F.coalesce(detach, F.lit(0)).cast("int"))
-    df = df.withColumns(after(F.col("_cut"), F.col("_cut") > 0))
-    df = df.withColumn("parentguid", F.when(F.col("_cut") > 0, F.get(guids, F.size(guids) - 1))
-                       .otherwise(F.col("parentguid")))
-
+    df = _keep_after(df, f"""
+      CASE WHEN size(breadcrumbguid) = size(breadcrumbname) AND size(breadcrumbguid) = size(breadcrumbtype)
+      THEN {_rightmost('crumb_cut')} END""")
+    df = _set(
+        df, **{c: f"IF({_has('reset')}, CAST(array() AS ARRAY<STRING>), {c})" for c in _CRUMBS},
+        parentguid=f"IF({_has('reset')}, NULL, parentguid)")
+    df = _set(_keep_after(df, _rightmost("detach")), parentguid=f"IF(_at > 0, {_LAST}, parentguid)")
     for kind in ("attach", "prepend"):
-        first = F.get(_of(kind), 0)
-        df = df.withColumn("_a", F.when(_has(kind) & ~F.array_contains(guids, first["guid"]), first["path"]))
-        rest = {"attach": none, "prepend": None}[kind]
-        df = df.withColumns(
-            {
-                f"breadcrumb{part}": F.when(
-                    F.col("_a").isNotNull(),
-                    F.concat(each("_a", part),
-                             rest if rest is not None else F.col(f"breadcrumb{part}")),
-                ).otherwise(F.col(f"breadcrumb{part}"))
-                for part in ("guid", "name", "type")
-            }
-        )
-        df = df.withColumn("parentguid", F.when(F.col("_a").isNotNull(), F.get(guids, F.size(guids) - 1))
-                           .otherwise(F.col("parentguid")))
-
-    df = df.withColumn("parentguid", F.when(_has("finalize"), F.get(guids, F.size(guids) - 1))
-                       .otherwise(F.col("parentguid")))
-    emitted = F.exists("_e", lambda e: e["kind"].isin(_ALWAYS)) | ~F.col("_before").eqNullSafe(before)
-    return df.filter(emitted).select(*DOCUMENT_COLUMNS)
+        first = f"get({_of(kind)}, 0)"
+        df = _set(df, _a=f"IF({_has(kind)} AND NOT array_contains(breadcrumbguid, {first}.guid), {first}.path, NULL)")
+        rest = {"attach": "CAST(array() AS ARRAY<STRING>)", "prepend": "breadcrumb{}"}[kind]
+        df = _set(df, **{
+            f"breadcrumb{part}": f"IF(_a IS NULL, breadcrumb{part}, concat(_a.{part}, {rest.format(part)}))"
+            for part in ("guid", "name", "type")
+        })
+        df = _set(df, parentguid=f"IF(_a IS NULL, parentguid, {_LAST})")
+    df = _set(df, parentguid=f"IF({_has('finalize')}, {_LAST}, parentguid)")
+    always = ", ".join(f"'{k}'" for k in _ALWAYS)
+    emitted = f"exists(_e, e -> e.kind IN ({always})) OR NOT (_before <=> struct(breadcrumbguid, breadcrumbname))"
+    return df.filter(F.expr(emitted)).select(*DOCUMENT_COLUMNS)

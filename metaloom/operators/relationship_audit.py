@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaloom.functions.attributes import guids_of, relatives
+from metaloom.functions.state import cut
 from metaloom.operators.created import (
     attach_children,
     attach_descendants,
-    child_refs,
     descendants,
+    flagged_refs,
     link_documents,
     link_pairs,
     unlink_documents,
@@ -38,15 +39,16 @@ def requested(side: str, rules=HIERARCHY_RULES) -> Column:
 
 
 def audit_child_side_filter(changes: DataFrame, side: str, rules=HIERARCHY_RULES) -> DataFrame:
-    """(change_id, ord, guid, ref): references to follow. Those to parents are left to the parent's own event."""
-    return changes.filter(F.col(SIDES[side]).isNotNull()).select(
-        "change_id", "ord", "guid", F.explode(requested(side, rules)).alias("ref")
-    )
+    """References to follow, as of ``flagged_refs``. Those to parents are left to the parent's own event."""
+    entity = F.col(SIDES[side])
+    return flagged_refs(
+        changes.filter(entity.isNotNull()), requested(side, rules), relatives(entity, "child", rules),
+        relatives(entity, "parent", rules))
 
 
-def audit_unlink(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> DataFrame:
+def audit_unlink(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Edits that remove the links of deleted references, both ways. References without a document are skipped."""
-    return unlink_documents(link_pairs(audit_child_side_filter(changes, "deleted", rules), docs), docs)
+    return unlink_documents(pairs, docs)
 
 
 def _resets(rules=HIERARCHY_RULES) -> Column:
@@ -63,18 +65,14 @@ def audit_reset_root_breadcrumb(changes: DataFrame, rules=HIERARCHY_RULES) -> Da
     return edit(changes.filter(_resets(rules)), "reset", doc="guid")
 
 
-def _deleted_children(changes: DataFrame, rules) -> DataFrame:
-    return child_refs(changes, audit_child_side_filter(changes, "deleted", rules), "old_value", rules)
-
-
-def audit_detach_children(changes: DataFrame, rules=HIERARCHY_RULES) -> DataFrame:
+def audit_detach_children(lost: DataFrame) -> DataFrame:
     """Edits that keep, of the breadcrumb of each lost child, what comes after the document."""
-    return edit(_deleted_children(changes, rules), "detach", doc="ref", guid="guid")
+    return edit(lost.filter("child"), "detach", doc="ref", guid="guid")
 
 
-def audit_detach_descendants(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> DataFrame:
+def audit_detach_descendants(lost: DataFrame, docs: DataFrame) -> DataFrame:
     """The same for the documents below a lost child."""
-    return edit(descendants(_deleted_children(changes, rules), docs), "detach", doc="doc", guid="guid")
+    return edit(descendants(lost, docs), "detach", doc="doc", guid="guid")
 
 
 def _paths(changes: DataFrame, docs: DataFrame, rules) -> DataFrame:
@@ -87,15 +85,11 @@ def _paths(changes: DataFrame, docs: DataFrame, rules) -> DataFrame:
     )
 
 
-def audit_insert(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> DataFrame:
+def audit_insert(changes: DataFrame, refs: DataFrame, pairs: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES
+                 ) -> DataFrame:
     """Edits for inserted references: links both ways, and children with all below them move under the document."""
-    refs = audit_child_side_filter(changes, "inserted", rules)
-    pairs = link_pairs(refs, docs)
-    children = child_refs(changes, refs, "new_value", rules)
     paths = _paths(changes, docs, rules)
-    return union(
-        link_documents(pairs, docs), attach_children(children, pairs, paths), attach_descendants(children, docs, paths)
-    )
+    return union(link_documents(pairs, docs), attach_children(pairs, paths), attach_descendants(refs, docs, paths))
 
 
 def audit_delete_partial(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> tuple[DataFrame, DataFrame]:
@@ -112,8 +106,9 @@ def audit_finalize_parent(changes: DataFrame, edits: DataFrame) -> DataFrame:
     return edit(changes.join(own, ["change_id", "guid"], "left_semi"), "finalize", doc="guid")
 
 
-def audit_errors(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> DataFrame:
-    """Changes that cannot be applied."""
+def audit_errors(changes: DataFrame, lost: DataFrame, lost_pairs: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES
+                 ) -> DataFrame:
+    """Changes that cannot be applied. ``lost`` are the deleted references, ``lost_pairs`` those with documents."""
     known = docs.select(F.col("guid").alias("_doc"))
     checked = changes.join(known, F.col("guid") == F.col("_doc"), "left")
     guid = F.col("guid")
@@ -127,42 +122,39 @@ def audit_errors(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) ->
         missing_entity,
         error("relationships", "entity_missing", F.concat(F.lit("Entity data not provided for entity "), guid)),
     )
-    basic = checked.withColumn("error", problem).filter(F.col("error").isNotNull()).select(
-        "change_id", "msg_creation_time", "error"
-    )
-    times = changes.select("change_id", "msg_creation_time")
+    basic = checked.filter(F.col("_doc").isNull() | missing_entity).select("change_id", problem.alias("error"))
 
     # Inserted references must all have a document; for deleted ones only children must.
     asked = changes.filter(F.col("new_value").isNotNull()).select(
         "change_id", requested("inserted", rules).alias("guids")
     )
     _, incomplete = lookup_related_documents(docs, asked, "strict")
-
-    lost = _deleted_children(changes, rules)
-    linkable = link_pairs(lost, docs).select("change_id", "ref")
+    children = lost.filter("child")
+    unknown = children.join(lost_pairs.select("change_id", "ref"), ["change_id", "ref"], "left_anti").select(
+        "change_id", error("relationships", "child_not_found", "a lost child has no linked document").alias("error"))
     holding = docs.select(F.col("guid").alias("ref"), F.col("breadcrumbguid").alias("_path"))
-    unknown_child = lost.join(linkable, ["change_id", "ref"], "left_anti").select("change_id").withColumn(
-        "error", error("relationships", "child_not_found", "a lost child has no linked document"))
-    astray = (
-        lost.join(holding, "ref").filter(~F.array_contains("_path", F.col("guid"))).select("change_id")
-        .withColumn("error", error("relationships", "not_an_ancestor", "a lost child is not below the document"))
-    )
-    derived = incomplete.select("change_id", "error").unionByName(unknown_child).unionByName(astray)
-    first = derived.groupBy("change_id").agg(F.min("error").alias("error"))
-    return basic.unionByName(
-        first.join(basic.select("change_id"), "change_id", "left_anti").join(times, "change_id")
-        .select("change_id", "msg_creation_time", "error")
-    )
+    astray = children.join(holding, "ref").filter(~F.array_contains("_path", F.col("guid"))).select(
+        "change_id", error("relationships", "not_an_ancestor", "a lost child is not below the document").alias("error"))
+    found = union(basic, incomplete.select("change_id", "error"), unknown, astray)
+    first = found.groupBy("change_id").agg(F.min("error").alias("error"))
+    return first.join(changes.select("change_id", "msg_creation_time"), "change_id").select(
+        "change_id", "msg_creation_time", "error")
 
 
 def relationship_audit(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> tuple[DataFrame, DataFrame]:
     """(edits, errors) of a set of relationship changes."""
     active = audit_noop_guard(changes)
-    edits = union(
-        audit_unlink(active, docs, rules),
+    refs = cut(
+        audit_child_side_filter(active, "deleted", rules).withColumn("side", F.lit("deleted")).unionByName(
+            audit_child_side_filter(active, "inserted", rules).withColumn("side", F.lit("inserted"))))
+    pairs = cut(link_pairs(refs, docs))
+    lost, new = (refs.filter(F.col("side") == side) for side in SIDES)
+    lost_pairs, new_pairs = (pairs.filter(F.col("side") == side) for side in SIDES)
+    edits = cut(union(
+        audit_unlink(lost_pairs, docs),
         audit_reset_root_breadcrumb(active, rules),
-        audit_detach_children(active, rules),
-        audit_detach_descendants(active, docs, rules),
-        audit_insert(active, docs, rules),
-    )
-    return union(edits, audit_finalize_parent(active, edits)), audit_errors(active, docs, rules)
+        audit_detach_children(lost),
+        audit_detach_descendants(lost, docs),
+        audit_insert(active, new, new_pairs, docs, rules),
+    ))
+    return union(edits, audit_finalize_parent(active, edits)), audit_errors(active, lost, lost_pairs, docs, rules)

@@ -20,6 +20,7 @@ from metaloom.sources.sample_catalog import (
     notifications,
     quoted,
     registered_types,
+    staged,
     table,
 )
 
@@ -68,12 +69,21 @@ def guid_list(column: str, attribute: str) -> Column:
     return F.array_join(F.transform(refs, lambda r: r["guid"]), ",")
 
 
+def raw(spark, sf) -> DataFrame:
+    """The log as it arrives."""
+    return staged(spark, sf, "notifications", lambda: notifications(spark, sf))
+
+
 def parsed(spark, sf) -> DataFrame:
-    return validate.parse_notifications(notifications(spark, sf))
+    return staged(spark, sf, "parsed", lambda: validate.parse_notifications(raw(spark, sf)))
 
 
 def validated(spark, sf) -> DataFrame:
-    return validate.validated(notifications(spark, sf))
+    """Parsed messages after the checks that need no lookup."""
+    checked = parsed(spark, sf)
+    for stage in (validate.reject_missing_entity, validate.filter_ignored_types, validate.filter_operations):
+        checked = stage(checked)
+    return checked
 
 
 def valid_messages(spark, sf) -> DataFrame:
@@ -85,13 +95,13 @@ def history(messages: DataFrame) -> DataFrame:
 
 
 def with_asof(spark, sf) -> DataFrame:
-    """Messages with their previous version. They are parsed once, as several steps read them."""
-    messages = cut(valid_messages(spark, sf))
+    messages = valid_messages(spark, sf)
     return versions.previous_version_asof(messages, history(messages))
 
 
 def with_previous(spark, sf) -> DataFrame:
-    return versions.previous_version_create_bypass(with_asof(spark, sf))
+    """Messages with their previous version, the input of the diffs."""
+    return staged(spark, sf, "with_previous", lambda: versions.previous_version_create_bypass(with_asof(spark, sf)))
 
 
 def outcome(df: DataFrame) -> DataFrame:
@@ -129,9 +139,9 @@ UNION ALL
 SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'validation' FROM events""")
 def q_parse_notifications(spark, sf):
     # The properties of the events are JSON too, but no notifications.
-    raw = notifications(spark, sf).unionByName(table(spark, sf, "events").select(F.col("props").alias("value")))
+    text_rows = raw(spark, sf).unionByName(table(spark, sf, "events").select(F.col("props").alias("value")))
     raw_attr = F.col("entity.attributes")
-    return validate.parse_notifications(raw).select(
+    return validate.parse_notifications(text_rows).select(
         "msg_creation_time", "event_time", "operation", F.col("entity.guid").alias("guid"),
         F.col("entity.typeName").alias("type_name"), attr("name").alias("name"),
         *[F.try_element_at(raw_attr, F.lit(a)).alias(a) for a in ("k", "alias", "definition", "tags")],
@@ -176,7 +186,7 @@ SELECT e.ms AS msg_creation_time, e.op AS operation, e.g AS guid,
     ELSE k END AS k
 FROM en e LEFT JOIN cur c ON e.guid = c.guid""")
 def q_enrich_current_entity(spark, sf):
-    messages = cut(validated(spark, sf))
+    messages = validated(spark, sf)
     return validate.enrich_current_entity(messages, current_entities(messages)).select(
         "msg_creation_time", "operation", F.col("entity.guid").alias("guid"), "looked_up",
         attr("k").cast("bigint").alias("k"))
@@ -195,7 +205,7 @@ SELECT ms AS msg_creation_time, op AS operation, g AS guid, {_LOOKUP} AS error_k
 FROM en e LEFT JOIN cur c ON e.guid = c.guid""")
 def q_reject_lookup_failure(spark, sf):
     current = current_entities(validated(spark, sf))
-    return outcome(validate.enriched(notifications(spark, sf), current, registered_types(spark)))
+    return outcome(validate.enriched(raw(spark, sf), current, registered_types(spark)))
 
 
 @query("split_main_errors", f"""WITH {EV}, {CUR}
@@ -204,7 +214,7 @@ FROM en e LEFT JOIN cur c ON e.guid = c.guid""")
 def q_split_main_errors(spark, sf):
     current = current_entities(validated(spark, sf))
     main, errors = validate.split_main_errors(
-        validate.enriched(notifications(spark, sf), current, registered_types(spark)))
+        validate.enriched(raw(spark, sf), current, registered_types(spark)))
     columns = ["msg_creation_time", "operation"]
     return main.select(*columns, F.lit(True).alias("main")).unionByName(
         errors.select(*columns, F.lit(False).alias("main")))
@@ -250,7 +260,7 @@ def q_previous_version_asof(spark, sf):
 SELECT guid, ms AS msg_creation_time, op AS operation, CASE WHEN op <> 'ENTITY_CREATE' THEN pms END AS previous_time,
   CASE WHEN op <> 'ENTITY_CREATE' THEN pk END AS previous_k FROM prev""")
 def q_previous_version_create_bypass(spark, sf):
-    return previous_rows(with_previous(spark, sf))
+    return previous_rows(versions.previous_version_create_bypass(with_asof(spark, sf)))
 
 
 @query("previous_version_missing", f"""WITH {EV}, {PREV}
@@ -277,7 +287,7 @@ SELECT guid, ms AS msg_creation_time, CASE WHEN op = 'ENTITY_CREATE' OR pms IS N
   WHEN {NOW_MS} - ms > {MAX_WAIT_MS} THEN 'expired' ELSE 'pending' END AS state FROM found""")
 def q_previous_version_wait(spark, sf):
     # So far only the versions of creates are visible.
-    messages = cut(valid_messages(spark, sf))
+    messages = valid_messages(spark, sf)
     visible = versions.entity_versions(messages.filter("operation = 'ENTITY_CREATE'"))
     pending = messages.withColumn("first_seen", F.col("msg_creation_time"))
     parts = versions.previous_version_wait(pending, visible, NOW_MS, MAX_WAIT_MS)
@@ -292,7 +302,7 @@ def q_previous_version_wait(spark, sf):
 SELECT guid, ms AS msg_creation_time, CASE WHEN op <> 'ENTITY_CREATE' THEN pms END AS previous_time,
   CASE WHEN op <> 'ENTITY_CREATE' AND pms IS NULL THEN 'no_previous_version' END AS error_kind FROM prev""")
 def q_publish_state_facade(spark, sf):
-    messages = cut(valid_messages(spark, sf))
+    messages = valid_messages(spark, sf)
     return versions.publish_state_facade(messages, history(messages)).select(
         F.col("entity.guid").alias("guid"), "msg_creation_time",
         F.col("previous_version.updateTime").alias("previous_time"), F.col("error.kind").alias("error_kind"))
@@ -400,7 +410,7 @@ SELECT guid, ms, 0 AS seq, 'EntityAttributeAudit' AS event_type FROM attr_change
 UNION ALL SELECT guid, ms, 1, 'EntityRelationshipAudit' FROM rel_changes""")
 def q_diff_update(spark, sf):
     return change_rows(
-        diff.diff_update(cut(with_previous(spark, sf))), F.col("ord.seq").alias("seq"), F.col("event_type"))
+        diff.diff_update(with_previous(spark, sf)), F.col("ord.seq").alias("seq"), F.col("event_type"))
 
 
 @query("diff_errors", f"""WITH {EV}, p AS (
@@ -408,7 +418,7 @@ def q_diff_update(spark, sf):
 SELECT ms AS msg_creation_time, op AS operation, g AS guid,
   CASE WHEN NOT has_entity OR (op = 'ENTITY_UPDATE' AND pms IS NULL) THEN 'value_error' END AS error_kind FROM p""")
 def q_diff_errors(spark, sf):
-    everything = cut(validated(spark, sf))
+    everything = validated(spark, sf)
     messages = versions.previous_version_asof(
         everything.drop("error"), history(everything.filter(F.col("error").isNull())))
     return outcome(diff.diff_errors(versions.previous_version_create_bypass(messages)))
@@ -431,7 +441,7 @@ UNION ALL SELECT guid, ms, 0, 'EntityCreated' FROM prev WHERE op = 'ENTITY_CREAT
 UNION ALL SELECT guid, ms, 0, 'EntityDeleted' FROM prev WHERE op = 'ENTITY_DELETE'""")
 def q_explode_changes(spark, sf):
     return change_rows(
-        diff.explode_changes(cut(with_previous(spark, sf))), F.col("ord.seq").alias("seq"), F.col("event_type"))
+        diff.explode_changes(with_previous(spark, sf)), F.col("ord.seq").alias("seq"), F.col("event_type"))
 
 
 # --------------------------------------------------------------------------- sinks and index rules
@@ -457,7 +467,7 @@ SELECT e.guid || '_' || ms AS id, e.guid, ms AS update_time,
 FROM en e LEFT JOIN cur c ON e.guid = c.guid WHERE {_LOOKUP} IS NULL""")
 def q_job_publish_state(spark, sf):
     current = current_entities(validated(spark, sf))
-    out = job_publish_state(notifications(spark, sf), Tables(current, registered_types(spark)))
+    out = job_publish_state(raw(spark, sf), Tables(current, registered_types(spark)))
     return out.select(
         F.get_json_object("key", "$.id").alias("id"), payload("guid").alias("guid"),
         payload("updateTime").cast("bigint").alias("update_time"), payload("attributes.k").alias("k"))
@@ -497,7 +507,7 @@ SELECT CASE kind WHEN 'no_previous_version' THEN 'previous_version' WHEN 'unknow
 FROM e WHERE kind IS NOT NULL""")
 def q_dead_letter(spark, sf):
     current = current_entities(validated(spark, sf))
-    checked = validate.enriched(notifications(spark, sf), current, registered_types(spark))
+    checked = validate.enriched(raw(spark, sf), current, registered_types(spark))
     looked_up = versions.previous_version_missing(with_previous(spark, sf))
     return sinks.dead_letter(checked, looked_up).select(
         "stage", "kind", "msg_creation_time", F.col("payload").isNotNull().alias("has_payload"))
@@ -514,20 +524,20 @@ def q_typed_index_projection(spark, sf):
         return e.select(stamp.cast("string").alias("@timestamp"), F.col(ident).cast("string").alias("id"),
                         F.col(msg).alias("msg"))
 
-    raw = (
+    stored = (
         rows(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), "event_id", "event_type")
         .unionByName(rows(F.unix_millis("ts"), "event_type", "props"))
         .unionByName(rows(F.col("event_type"), "user_id", "event_type"))
     )
-    return index_rules.typed_index_projection(raw).select(F.unix_millis("@timestamp").alias("ms"), "id", "msg")
+    return index_rules.typed_index_projection(stored).select(F.unix_millis("@timestamp").alias("ms"), "id", "msg")
 
 
 @query("flatten_envelope", """
 SELECT CAST(event_id AS VARCHAR) AS id, '{"id":"' || event_id || '","value":' || props || '}' AS msg FROM events""")
 def q_flatten_envelope(spark, sf):
-    raw = table(spark, sf, "events").select(
+    messages = table(spark, sf, "events").select(
         F.concat(F.lit('{"id":"'), "event_id", F.lit('","value":'), "props", F.lit("}")).alias("value"))
-    return index_rules.flatten_envelope(raw)
+    return index_rules.flatten_envelope(messages)
 
 
 RETENTION_NOW = 912_470_400_000  # 1998-12-01

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metaloom.functions.state import cut
 from metaloom.operators import attribute_audit, created, deleted, relationship_audit
 from metaloom.operators.edits import apply_edits, union
 from metaloom.plans import fold
@@ -210,7 +211,7 @@ def q_create_filter_relationships(spark, sf):
 def arrived(spark, sf):
     changes = arrivals(spark, sf)
     base = created.with_created(before_arrivals(spark, sf), created.create_document(changes))
-    return changes, base, created.link_pairs(created.create_filter_relationships(changes), base)
+    return base, cut(created.link_pairs(created.create_filter_relationships(changes), base))
 
 
 @query("link_documents", f"""WITH {ARRIVED},
@@ -221,7 +222,7 @@ entry AS (
   UNION ALL SELECT doc, field, guid, name, 1 FROM pair JOIN everyone USING (guid) JOIN tf ON typ = typename)
 {link_sql('entry', 'fresh, guid')}""")
 def q_link_documents(spark, sf):
-    _, base, pairs = arrived(spark, sf)
+    base, pairs = arrived(spark, sf)
     return link_rows(apply_edits(base, created.link_documents(pairs, base)))
 
 
@@ -229,32 +230,32 @@ def q_link_documents(spark, sf):
 SELECT {PATHS}, pg[len(pg)] AS parentguid FROM nodes WHERE guid IN (
   SELECT 'O' || o_orderkey FROM orders WHERE o_orderstatus = 'O')""")
 def q_create_breadcrumb_from_parent(spark, sf):
-    changes, base, pairs = arrived(spark, sf)
-    return path_rows(
-        apply_edits(base, created.create_breadcrumb_from_parent(changes, pairs, base)), "parentguid")
+    base, pairs = arrived(spark, sf)
+    return path_rows(apply_edits(base, created.create_breadcrumb_from_parent(pairs, base)), "parentguid")
 
 
 def region_parts(spark, sf):
     changes, docs = new_regions(spark, sf), Star(spark, sf, regions=False).documents()
-    base = created.with_created(docs, created.create_document(changes))
+    documents_made = created.create_document(changes)
+    base = created.with_created(docs, documents_made)
     refs = created.create_filter_relationships(changes)
-    pairs = created.link_pairs(refs, base)
-    paths = created.created_paths(changes, created.create_breadcrumb_from_parent(changes, pairs, base))
-    return docs, base, pairs, paths, created.child_refs(changes, refs, "new_value")
+    pairs = cut(created.link_pairs(refs, base))
+    paths = created.created_paths(refs, documents_made, created.create_breadcrumb_from_parent(pairs, base))
+    return docs, base, refs, pairs, paths
 
 
 @query("attach_children", f"""WITH {star_sql()}
 SELECT {PATHS}, pg[len(pg)] AS parentguid FROM nodes WHERE typename = 'm4i_collection'""")
 def q_attach_children(spark, sf):
-    _, base, pairs, paths, children = region_parts(spark, sf)
-    return path_rows(apply_edits(base, created.attach_children(children, pairs, paths)), "parentguid")
+    _, base, _, pairs, paths = region_parts(spark, sf)
+    return path_rows(apply_edits(base, created.attach_children(pairs, paths)), "parentguid")
 
 
 @query("attach_descendants", f"""WITH {star_sql()}
 SELECT {PATHS}, pg[len(pg)] AS parentguid FROM nodes WHERE typename IN ('m4i_dataset', 'm4i_field')""")
 def q_attach_descendants(spark, sf):
-    docs, base, _, paths, children = region_parts(spark, sf)
-    return path_rows(apply_edits(base, created.attach_descendants(children, docs, paths)), "parentguid")
+    docs, base, refs, _, paths = region_parts(spark, sf)
+    return path_rows(apply_edits(base, created.attach_descendants(refs, docs, paths)), "parentguid")
 
 
 # --------------------------------------------------------------------------- attribute changes
@@ -299,9 +300,9 @@ trimmed AS (SELECT guid, pg[p + 1:] AS pg, pn[p + 1:] AS pn, pt[p + 1:] AS pt, p
 @query("delete_truncate_breadcrumbs", f"""WITH {_CUT}
 SELECT {PATHS}, parentguid, pg[len(pg)] AS fixed_parent FROM trimmed""")
 def q_delete_truncate_breadcrumbs(spark, sf):
-    cut = deleted.delete_truncate_breadcrumbs(deletions(spark, sf), Star(spark, sf).documents())
+    truncated = deleted.delete_truncate_breadcrumbs(deletions(spark, sf), Star(spark, sf).documents())
     fixed = F.get("breadcrumbguid", F.size("breadcrumbguid") - 1)
-    return path_rows(cut.withColumn("fixed_parent", fixed), "parentguid", "fixed_parent")
+    return path_rows(truncated.withColumn("fixed_parent", fixed), "parentguid", "fixed_parent")
 
 
 @query("delete_unlink", f"""WITH {star_sql()}, {DEL_SQL},
@@ -384,6 +385,11 @@ def q_audit_child_side_filter(spark, sf):
     ])
 
 
+def lost_refs(changes, docs):
+    lost = relationship_audit.audit_child_side_filter(changes, "deleted")
+    return lost, cut(created.link_pairs(lost, docs))
+
+
 @query("audit_unlink", f"""WITH {star_sql()}, {LOST},
 back AS (SELECT DISTINCT 'O' || l_orderkey AS a, 'P' || l_partkey AS b FROM lineitem WHERE l_returnflag = 'R'
   UNION ALL SELECT owner, moved FROM urgent),
@@ -393,8 +399,8 @@ entry AS (SELECT * FROM lk WHERE doc IN (SELECT doc FROM removed)
 {link_sql('entry')}""")
 def q_audit_unlink(spark, sf):
     docs = Star(spark, sf).documents()
-    changes = losses(spark, sf).unionByName(returns(spark, sf))
-    return link_rows(apply_edits(docs, relationship_audit.audit_unlink(changes, docs)))
+    lost, pairs = lost_refs(losses(spark, sf).unionByName(returns(spark, sf)), docs)
+    return link_rows(apply_edits(docs, relationship_audit.audit_unlink(pairs, docs)))
 
 
 @query("audit_reset_root_breadcrumb", f"""WITH {LOST}
@@ -408,16 +414,17 @@ def q_audit_reset_root_breadcrumb(spark, sf):
 @query("audit_detach_children", f"""WITH {LOST}
 SELECT moved AS guid, '' AS path, '' AS names, '' AS types, CAST(NULL AS VARCHAR) AS parentguid FROM urgent""")
 def q_audit_detach_children(spark, sf):
-    edits = relationship_audit.audit_detach_children(losses(spark, sf))
-    return path_rows(apply_edits(Star(spark, sf).documents(), edits), "parentguid")
+    lost = relationship_audit.audit_child_side_filter(losses(spark, sf), "deleted")
+    return path_rows(
+        apply_edits(Star(spark, sf).documents(), relationship_audit.audit_detach_children(lost)), "parentguid")
 
 
 @query("audit_detach_descendants", f"""WITH {star_sql(regions=False)}
 SELECT {PATHS}, pg[len(pg)] AS parentguid FROM nodes WHERE typename IN ('m4i_dataset', 'm4i_field')""")
 def q_audit_detach_descendants(spark, sf):
     docs = Star(spark, sf).documents()
-    return path_rows(
-        apply_edits(docs, relationship_audit.audit_detach_descendants(splits(spark, sf), docs)), "parentguid")
+    lost = relationship_audit.audit_child_side_filter(splits(spark, sf), "deleted")
+    return path_rows(apply_edits(docs, relationship_audit.audit_detach_descendants(lost, docs)), "parentguid")
 
 
 GAINED = f"""{star_sql()}, {LOST},
@@ -436,8 +443,12 @@ SELECT n.guid, array_to_string(COALESCE(p.pg, n.pg), '/') AS path, array_to_stri
 FROM lists JOIN nodes n ON n.guid = lists.doc LEFT JOIN place p ON p.guid = n.guid""")
 def q_audit_insert(spark, sf):
     changes, docs = gains(spark, sf), Star(spark, sf).documents()
+    refs = cut(relationship_audit.audit_child_side_filter(changes, "inserted"))
+    pairs = cut(created.link_pairs(refs, docs))
+    lost, lost_pairs = lost_refs(changes, docs)
     edits = fold.message_atomicity(
-        relationship_audit.audit_insert(changes, docs), relationship_audit.audit_errors(changes, docs))
+        relationship_audit.audit_insert(changes, refs, pairs, docs),
+        relationship_audit.audit_errors(changes, lost, lost_pairs, docs))
     after = apply_edits(docs, edits).withColumn(
         "linked", F.array_join(F.concat("derivedfieldguid", "deriveddatasetguid"), ","))
     return path_rows(after, "parentguid", "linked")
@@ -458,8 +469,9 @@ SELECT DISTINCT c.guid, CASE WHEN c_acctbal >= 0 THEN pg[len(pg)] END AS parentg
 FROM urgent JOIN customer ON c_custkey = o_custkey JOIN cus c ON c.guid = owner""")
 def q_audit_finalize_parent(spark, sf):
     changes, docs = losses(spark, sf), Star(spark, sf).documents()
-    edits = relationship_audit.audit_unlink(changes, docs).unionByName(
-        relationship_audit.audit_reset_root_breadcrumb(changes))
+    _, pairs = lost_refs(changes, docs)
+    edits = cut(relationship_audit.audit_unlink(pairs, docs).unionByName(
+        relationship_audit.audit_reset_root_breadcrumb(changes)))
     final = relationship_audit.audit_finalize_parent(changes, edits)
     after = apply_edits(docs, edits.unionByName(final))
     return after.filter(F.col("typename") == "m4i_dataset").select("guid", "parentguid")

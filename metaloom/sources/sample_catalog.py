@@ -7,10 +7,13 @@ and suppliers (persons) linked to parts. Whole tables are used throughout.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metaloom.functions.attributes import each, entity, ref
+from metaloom.functions.state import cut
 from metaloom.operators.edits import union
 from metaloom.schemas import (
     ATTRIBUTE_AUDIT,
@@ -36,6 +39,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+_STAGED: dict[tuple, DataFrame] = {}
+
+
+def staged(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """An input table of the catalog, written once per application: the state that operators start from."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STAGED:
+        _STAGED[key] = cut(build())
+    return _STAGED[key]
+
+
 # --------------------------------------------------------------------------- change log
 def event_rows(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
@@ -145,6 +159,7 @@ class Star:
     """The star schema as documents. Open orders, suppliers or regions can be left out, to be created later."""
 
     def __init__(self, spark: SparkSession, sf: str, open_orders=True, suppliers=True, regions=True):
+        self.spark, self.sf = spark, sf
         self.t = {n: table(spark, sf, n) for n in ("region", "nation", "customer", "orders", "supplier", "part",
                                                    "lineitem")}
         self.open_orders, self.suppliers, self.regions = open_orders, suppliers, regions
@@ -222,10 +237,19 @@ class Star:
         return union(*out)
 
     def documents(self) -> DataFrame:
-        return assemble_documents(self.nodes(), self.links())
+        name = f"documents-{self.open_orders}-{self.suppliers}-{self.regions}"
+        return staged(self.spark, self.sf, name, lambda: assemble_documents(self.nodes(), self.links()))
 
 
 # --------------------------------------------------------------------------- change rows
+def _staged_changes(build):
+    @wraps(build)
+    def get(spark: SparkSession, sf: str) -> DataFrame:
+        return staged(spark, sf, build.__name__, lambda: build(spark, sf))
+
+    return get
+
+
 def change(df: DataFrame, event_type: str, guid: Column, type_name: str, ms, seq: int = 0, **columns: Column
            ) -> DataFrame:
     """Change rows of one kind; what is not given is empty."""
@@ -257,6 +281,7 @@ def _names(*names: str) -> Column:
     return F.array(*[F.lit(n) for n in names])
 
 
+@_staged_changes
 def renames(spark: SparkSession, sf: str) -> DataFrame:
     """Every nation gets its region in its name; overdrawn customers and the largest parts are renamed.
 
@@ -289,6 +314,7 @@ def renames(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_staged_changes
 def deletions(spark: SparkSession, sf: str) -> DataFrame:
     """One region, the nations of suppliers in debt, overdrawn customers, the largest parts, suppliers in debt."""
     nation, region, customer, part, supplier = (
@@ -328,6 +354,7 @@ def _urgent(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_staged_changes
 def losses(spark: SparkSession, sf: str) -> DataFrame:
     """Customers lose their urgent orders.
 
@@ -352,6 +379,7 @@ def losses(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_staged_changes
 def returns(spark: SparkSession, sf: str) -> DataFrame:
     """Orders lose the parts that were returned; their parent is among the lost references."""
     returned = (
@@ -372,6 +400,7 @@ def returns(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_staged_changes
 def splits(spark: SparkSession, sf: str) -> DataFrame:
     """Every region loses all its nations."""
     region = _with_nations(spark, sf)
@@ -392,6 +421,7 @@ def _with_nations(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "region").join(nations, F.col("r_regionkey") == F.col("n_regionkey"))
 
 
+@_staged_changes
 def gains(spark: SparkSession, sf: str) -> DataFrame:
     """Each customer takes over the urgent orders of the customer before.
 
@@ -414,6 +444,7 @@ def gains(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_staged_changes
 def arrivals(spark: SparkSession, sf: str) -> DataFrame:
     """Open orders and all suppliers are created.
 
@@ -455,6 +486,7 @@ def arrivals(spark: SparkSession, sf: str) -> DataFrame:
     return orders.unionByName(suppliers)
 
 
+@_staged_changes
 def new_regions(spark: SparkSession, sf: str) -> DataFrame:
     """All regions are created on top of their nations."""
     region = _with_nations(spark, sf)
