@@ -168,4 +168,6 @@ def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
     df = _set(df, parentguid=f"IF({_has('finalize')}, {_LAST}, parentguid)")
     always = ", ".join(f"'{k}'" for k in _ALWAYS)
     emitted = f"exists(_e, e -> e.kind IN ({always})) OR NOT (_before <=> struct(breadcrumbguid, breadcrumbname))"
-    return df.filter(F.expr(emitted)).select(*DOCUMENT_COLUMNS)
+    # One-element inline: a plain filter would be pushed below all of the above, with a copy of it.
+    out = df.select(F.inline(F.array(F.struct(*DOCUMENT_COLUMNS, F.expr(emitted).alias("_emitted")))))
+    return out.filter("_emitted").drop("_emitted")

@@ -9,8 +9,9 @@ from metaloom.functions.state import cut
 from metaloom.operators import attribute_audit, created, deleted, relationship_audit
 from metaloom.operators.edits import apply_edits, union
 from metaloom.plans import fold
+from metaloom.plans.jobs import Tables, job_synchronize_app_search
 from metaloom.plans.registry import query
-from metaloom.schemas import LINK_FIELDS
+from metaloom.schemas import DOCUMENT, LINK_FIELDS
 from metaloom.sources import documents, sinks
 from metaloom.sources.sample_catalog import (
     Star,
@@ -18,11 +19,15 @@ from metaloom.sources.sample_catalog import (
     change,
     deletions,
     gains,
+    history_of,
     losses,
     new_regions,
+    registered_types,
     renames,
     returns,
     splits,
+    staged,
+    star_log,
     table,
 )
 
@@ -508,3 +513,35 @@ def q_dispatch_change(spark, sf):
         edits.select("kind"), tombstones.select(F.lit("tombstone").alias("kind")),
         errors.select(F.col("error.kind").alias("kind")))
     return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# --------------------------------------------------------------------------- the whole job
+@query("job_synchronize_app_search", f"""WITH {LOST},
+who AS (SELECT c_custkey, 'C' || c_custkey AS guid, c_name AS name, c_acctbal < 0 AS gone FROM customer),
+owner AS (
+  SELECT 'O' || o_orderkey AS guid, 'Order ' || o_orderkey AS name, h.guid AS cguid, h.name AS cname, u.moved IS NULL AS own,
+    CASE WHEN u.moved IS NULL THEN 'C' || orders.o_custkey ELSE h.guid END AS parentguid
+  FROM orders LEFT JOIN urgent u ON 'O' || o_orderkey = u.moved
+  LEFT JOIN who h ON NOT h.gone AND h.c_custkey = CASE WHEN u.moved IS NULL THEN orders.o_custkey ELSE orders.o_custkey + 1 END),
+live_part AS (SELECT 'P' || p_partkey AS guid, p_name AS name FROM part WHERE p_size <> 50),
+op AS (SELECT DISTINCT 'O' || l_orderkey AS o, 'P' || l_partkey AS p FROM lineitem),
+op_o AS (SELECT o, string_agg(p, ',' ORDER BY p) AS parts FROM op JOIN live_part ON p = guid GROUP BY o),
+op_p AS (SELECT p, string_agg(o, ',' ORDER BY o) AS fields FROM op GROUP BY p),
+c_f AS (SELECT cguid, string_agg(guid, ',' ORDER BY own DESC, guid) AS fields FROM owner WHERE cguid IS NOT NULL GROUP BY cguid)
+SELECT guid, 'm4i_field' AS typename, name, COALESCE(cguid, '') AS path, COALESCE(cname, '') AS names, parentguid,
+  COALESCE(cguid, '') AS datasets, '' AS fields, COALESCE(parts, '') AS parts FROM owner LEFT JOIN op_o ON o = guid
+UNION ALL SELECT guid, 'm4i_data_attribute', name, '', '', NULL, '', COALESCE(fields, ''), '' FROM live_part
+  LEFT JOIN op_p ON p = guid
+UNION ALL SELECT guid, 'm4i_dataset', name, '', '', NULL, '', COALESCE(fields, ''), '' FROM who
+  LEFT JOIN c_f ON cguid = guid WHERE NOT gone""")
+def q_job_synchronize_app_search(spark, sf):
+    raw = staged(spark, sf, "star_log", lambda: star_log(spark, sf))
+    history = staged(spark, sf, "star_history", lambda: history_of(raw))
+    empty = spark.createDataFrame([], DOCUMENT)
+    tables = Tables(history, registered_types(spark), None, empty, "as_of")
+    docs, _, _ = job_synchronize_app_search(raw, tables)
+    return docs.select(
+        "guid", "typename", "name", F.array_join("breadcrumbguid", "/").alias("path"),
+        F.array_join("breadcrumbname", "/").alias("names"), "parentguid",
+        *[F.array_join(f + "guid", ",").alias(a) for f, a in
+          (("deriveddataset", "datasets"), ("derivedfield", "fields"), ("deriveddataattribute", "parts"))])

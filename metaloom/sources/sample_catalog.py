@@ -498,3 +498,75 @@ def new_regions(spark: SparkSession, sf: str) -> DataFrame:
             F.lit("name"), quoted(F.col("r_name")), F.lit("collections"), _ref_json("nations", "m4i_collection")),
             relations),
     )
+
+
+# --------------------------------------------------------------------------- a life of the star schema
+def star_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Notification text for a catalog that starts empty.
+
+    Customers and parts are created, then orders under their customers. Overdrawn customers are renamed.
+    Customers report their urgent orders, lose them, and take over those of the customer before; overdrawn
+    ones also name something that does not exist. In the end overdrawn customers and the largest parts are
+    deleted.
+    """
+    customer, part, orders, lineitem = (table(spark, sf, n) for n in ("customer", "part", "orders", "lineitem"))
+    urgent = _urgent(spark, sf).withColumn("c_custkey", F.col("owner")).drop("owner")
+    customers = customer.join(urgent, "c_custkey", "left").join(
+        urgent.select((F.col("c_custkey") + 1).alias("c_custkey"), F.col("moved").alias("taken")), "c_custkey", "left")
+    bought = lineitem.select("l_orderkey", "l_partkey").distinct().groupBy("l_orderkey").agg(
+        F.collect_list(_key("P", "l_partkey")).alias("parts"))
+    none = F.array().cast("array<string>")
+    overdrawn = F.col("c_acctbal") < 0
+
+    def refs(guids: Column, type_name: str) -> Column:
+        return F.transform(guids, lambda g: F.struct(g.alias("guid"), F.lit(type_name).alias("typeName")))
+
+    def rows(df: DataFrame, ms: int, operation: str, guid: Column, type_name: str, attributes: dict, relations: dict
+             ) -> DataFrame:
+        def text_of(fields: dict) -> Column:
+            return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])) if fields else F.lit("{}")
+
+        return df.select(F.concat(
+            F.lit(f'{{"msgCreationTime":{ms},"message":{{"eventTime":{ms},"operationType":"{operation}",'
+                  f'"type":"ENTITY_NOTIFICATION_V2","entity":{{"guid":"'),
+            guid, F.lit(f'","typeName":"{type_name}","attributes":'), text_of(attributes),
+            F.lit(',"relationshipAttributes":'), text_of(relations), F.lit("}}}"),
+        ).alias("value"))
+
+    def of_customers(df, ms, operation, fields=None, others=None):
+        renamed = ms >= 4000
+        name = F.when(overdrawn & F.lit(renamed), F.concat("c_name", F.lit(" (overdrawn)"))).otherwise(F.col("c_name"))
+        attributes = {"name": name, "definition": F.when(overdrawn & F.lit(renamed), F.col("c_mktsegment"))}
+        relations = {}
+        if fields is not None:
+            attributes["fields"] = relations["fields"] = refs(fields, "m4i_field")
+            if others is not None:
+                relations["others"] = refs(others, "m4i_person")
+        return rows(df, ms, operation, _key("C", "c_custkey"), "m4i_dataset", attributes, relations)
+
+    def of_parts(df, ms, operation):
+        return rows(df, ms, operation, _key("P", "p_partkey"), "m4i_data_attribute", {"name": F.col("p_name")}, {})
+
+    holder = refs(F.array(_key("C", "o_custkey")), "m4i_dataset")
+    owners, takers = customers.filter("moved IS NOT NULL"), customers.filter("taken IS NOT NULL")
+    return union(
+        of_customers(customers, 1000, "ENTITY_CREATE"),
+        of_parts(part, 2000, "ENTITY_CREATE"),
+        rows(orders.join(bought, F.col("o_orderkey") == F.col("l_orderkey"), "left"), 3000, "ENTITY_CREATE",
+             _key("O", "o_orderkey"), "m4i_field", {"name": order_name(), "datasets": holder},
+             {"datasets": holder, "parts": refs(F.coalesce("parts", none), "m4i_data_attribute")}),
+        of_customers(customers.filter(overdrawn), 4000, "ENTITY_UPDATE"),
+        of_customers(owners, 5000, "ENTITY_UPDATE", F.col("moved")),
+        of_customers(owners, 6000, "ENTITY_UPDATE", none),
+        of_customers(takers, 7000, "ENTITY_UPDATE", F.col("taken"), F.when(overdrawn, F.array(_key("X", "c_custkey")))),
+        of_customers(customers.filter(overdrawn), 8000, "ENTITY_DELETE"),
+        of_parts(part.filter("p_size = 50"), 8000, "ENTITY_DELETE"),
+    )
+
+
+def history_of(raw: DataFrame) -> DataFrame:
+    """The catalog's own history of the entities in a log, for as-of lookups."""
+    from metaloom.operators.validate import split_main_errors, validated
+    from metaloom.operators.versions import entity_versions, versions_dedupe
+
+    return versions_dedupe(entity_versions(split_main_errors(validated(raw))[0]))
