@@ -18,24 +18,17 @@ def text(attributes: Column, name: str) -> Column:
     return F.try_variant_get(F.try_parse_json(F.try_element_at(attributes, F.lit(name))), "$", "string")
 
 
-def refs(attributes: Column, name: str) -> Column:
-    """Attribute value as a list of references; an empty list when it is missing."""
-    value = F.from_json(F.try_element_at(attributes, F.lit(name)), f"array<{REF}>")
-    return F.coalesce(value, F.array().cast(f"array<{REF}>"))
-
-
-def relatives(entity: Column, role: str, rules=HIERARCHY_RULES) -> Column:
-    """Guids of the parents (``role='parent'``) or children of an entity, in list order."""
+def relatives(entity: str, role: str, rules=HIERARCHY_RULES) -> Column:
+    """Guids of the parents (``role='parent'``) or children of the entity in a column, in list order."""
     branches: dict[str, list[str]] = {}
     for type_name, attribute, kind in rules:
         if kind == role:
-            branches.setdefault(type_name, []).append(attribute)
-    empty = F.array().cast("array<string>")
-    found = empty
-    for type_name, names in branches.items():
-        guids = F.concat(*[F.transform(refs(entity["attributes"], n), lambda r: r["guid"]) for n in names])
-        found = F.when(entity["typeName"] == type_name, guids).otherwise(found)
-    return F.filter(F.coalesce(found, empty), lambda g: g.isNotNull())
+            value = f"from_json(try_element_at({entity}.attributes, '{attribute}'), 'array<struct<guid:string>>').guid"
+            branches.setdefault(type_name, []).append(f"coalesce({value}, array())")
+    cases = " ".join(f"WHEN '{t}' THEN concat({', '.join(lists)})" for t, lists in branches.items())
+    none = "CAST(array() AS ARRAY<STRING>)"
+    found = f"CASE {entity}.typeName {cases} ELSE {none} END" if cases else none
+    return F.expr(f"filter(coalesce({found}, {none}), g -> g IS NOT NULL)")
 
 
 def each(structs, field: str) -> Column:

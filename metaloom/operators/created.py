@@ -74,10 +74,9 @@ def create_filter_relationships(changes: DataFrame, rules=HIERARCHY_RULES) -> Da
         all_refs(F.col("inserted_relationships")),
         lambda r: r["guid"].isNotNull() & F.coalesce(~r["typeName"].isin(CREATE_BLACKLIST), F.lit(True)),
     )
-    entity = F.col("new_value")
     return flagged_refs(
-        changes.filter(entity.isNotNull()), each(allowed, "guid"), relatives(entity, "child", rules),
-        relatives(entity, "parent", rules))
+        changes.filter(F.col("new_value").isNotNull()), each(allowed, "guid"), relatives("new_value", "child", rules),
+        relatives("new_value", "parent", rules))
 
 
 def with_created(docs: DataFrame, created: DataFrame) -> DataFrame:
@@ -88,7 +87,7 @@ def with_created(docs: DataFrame, created: DataFrame) -> DataFrame:
 def link_pairs(refs: DataFrame, docs: DataFrame) -> DataFrame:
     """References whose both documents exist and have linkable types, with the type field and name of both."""
     mine = docs.select(
-        F.col("guid"), F.col("name").alias("doc_name"), link_field(F.col("typename")).alias("doc_field"),
+        F.col("guid"), F.col("name").alias("doc_name"), link_field("typename").alias("doc_field"),
     ).filter(F.col("doc_field").isNotNull())
     theirs = mine.toDF("ref", "ref_name", "ref_field")
     return refs.join(theirs, "ref").join(mine, "guid")
@@ -174,12 +173,16 @@ def created_errors(changes: DataFrame) -> DataFrame:
     )
 
 
-def entity_created(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with the new ones in place, edits, errors) of a set of created entities."""
+def entity_created(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES, refs: DataFrame | None = None
+                   ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents with the new ones in place, edits, errors) of a set of created entities.
+
+    ``refs`` are their references, if they are known already.
+    """
     ok = changes.filter(F.col("new_value").isNotNull())
     created = cut(create_document(ok))
     base = with_created(docs, created)
-    refs = cut(create_filter_relationships(ok, rules))
+    refs = cut(create_filter_relationships(ok, rules)) if refs is None else refs
     pairs = cut(link_pairs(refs, base))
     placed = create_breadcrumb_from_parent(pairs, base)
     paths = created_paths(refs, created, placed)

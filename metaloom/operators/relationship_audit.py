@@ -34,15 +34,15 @@ def audit_noop_guard(changes: DataFrame) -> DataFrame:
 
 def requested(side: str, rules=HIERARCHY_RULES) -> Column:
     """Guids on one side of a change, without the parents of the entity. Repeats are kept."""
-    parents = relatives(F.col(SIDES[side]), "parent", rules)
+    parents = relatives(SIDES[side], "parent", rules)
     return F.filter(guids_of(F.col(f"{side}_relationships")), lambda g: ~F.array_contains(parents, g))
 
 
 def audit_child_side_filter(changes: DataFrame, side: str, rules=HIERARCHY_RULES) -> DataFrame:
     """References to follow, as of ``flagged_refs``. Those to parents are left to the parent's own event."""
-    entity = F.col(SIDES[side])
+    entity = SIDES[side]
     return flagged_refs(
-        changes.filter(entity.isNotNull()), requested(side, rules), relatives(entity, "child", rules),
+        changes.filter(F.col(entity).isNotNull()), requested(side, rules), relatives(entity, "child", rules),
         relatives(entity, "parent", rules))
 
 
@@ -51,18 +51,18 @@ def audit_unlink(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return unlink_documents(pairs, docs)
 
 
-def _resets(rules=HIERARCHY_RULES) -> Column:
+def resets(rules=HIERARCHY_RULES) -> Column:
     """A change that deletes references of an entity without parents puts it at the root."""
     return F.coalesce(
         F.col("old_value").isNotNull()
-        & (F.size(relatives(F.col("old_value"), "parent", rules)) == 0)
+        & (F.size(relatives("old_value", "parent", rules)) == 0)
         & (F.size(requested("deleted", rules)) > 0),
         F.lit(False),
     )
 
 
 def audit_reset_root_breadcrumb(changes: DataFrame, rules=HIERARCHY_RULES) -> DataFrame:
-    return edit(changes.filter(_resets(rules)), "reset", doc="guid")
+    return edit(changes.filter(resets(rules)), "reset", doc="guid")
 
 
 def audit_detach_children(lost: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def _paths(changes: DataFrame, docs: DataFrame, rules) -> DataFrame:
     own = F.array(F.struct(F.col("guid"), F.col("name"), F.col("typename").alias("type"))).cast(PATH)
     documents = docs.select("guid", path_of().alias("_path"), own.alias("_own"))
     return (
-        changes.withColumn("_reset", _resets(rules)).select("change_id", "guid", "_reset").join(documents, "guid")
+        changes.withColumn("_reset", resets(rules)).select("change_id", "guid", "_reset").join(documents, "guid")
         .select("change_id", F.when(F.col("_reset"), F.col("_own")).otherwise(F.concat("_path", "_own")).alias("path"))
     )
 
@@ -141,12 +141,16 @@ def audit_errors(changes: DataFrame, lost: DataFrame, lost_pairs: DataFrame, doc
         "change_id", "msg_creation_time", "error")
 
 
-def relationship_audit(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> tuple[DataFrame, DataFrame]:
-    """(edits, errors) of a set of relationship changes."""
+def audit_refs(changes: DataFrame, rules=HIERARCHY_RULES) -> DataFrame:
+    """References of both sides, with ``side``."""
+    return union(*[audit_child_side_filter(changes, side, rules).withColumn("side", F.lit(side)) for side in SIDES])
+
+
+def relationship_audit(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES, refs: DataFrame | None = None
+                       ) -> tuple[DataFrame, DataFrame]:
+    """(edits, errors) of a set of relationship changes; ``refs`` are their references, if known already."""
     active = audit_noop_guard(changes)
-    refs = cut(
-        audit_child_side_filter(active, "deleted", rules).withColumn("side", F.lit("deleted")).unionByName(
-            audit_child_side_filter(active, "inserted", rules).withColumn("side", F.lit("inserted"))))
+    refs = cut(audit_refs(active, rules)) if refs is None else refs
     pairs = cut(link_pairs(refs, docs))
     lost, new = (refs.filter(F.col("side") == side) for side in SIDES)
     lost_pairs, new_pairs = (pairs.filter(F.col("side") == side) for side in SIDES)

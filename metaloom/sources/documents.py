@@ -9,36 +9,29 @@ from metaloom.operators.validate import error
 from metaloom.schemas import LINK_FIELDS
 
 
-def link_field(type_name: Column) -> Column:
+def link_field(type_column: str) -> Column:
     """Link field that holds entities of a type; null for types that are not linked."""
-    field = F.lit(None).cast("string")
-    for name, value in LINK_FIELDS.items():
-        field = F.when(type_name == name, value).otherwise(field)
-    return field
+    cases = " ".join(f"WHEN '{name}' THEN '{field}'" for name, field in LINK_FIELDS.items())
+    return F.expr(f"CASE {type_column} {cases} END")
 
 
-def ancestors(docs: DataFrame) -> DataFrame:
+def ancestors(docs: DataFrame, *more: str) -> DataFrame:
     """Inverted index of the breadcrumbs: (doc, guid, pos), the first position of each guid."""
     exploded = docs.select(
-        F.col("guid").alias("doc"), "breadcrumbguid", F.posexplode("breadcrumbguid").alias("pos", "ancestor")
+        F.col("guid").alias("doc"), "breadcrumbguid", *more, F.posexplode("breadcrumbguid").alias("pos", "ancestor")
     )
     return exploded.filter(F.array_position("breadcrumbguid", F.col("ancestor")) == F.col("pos") + 1).select(
-        "doc", F.col("ancestor").alias("guid"), "pos"
-    )
-
-
-def _entries(field: str) -> Column:
-    return F.transform(
-        F.col(field + "guid"),
-        lambda g, i: F.struct(F.lit(field).alias("field"), i.alias("pos"), g.alias("guid"),
-                              F.get(F.col(field), i).alias("name")),
+        "doc", F.col("ancestor").alias("guid"), "pos", *more
     )
 
 
 def links(docs: DataFrame) -> DataFrame:
     """Inverted index of the link lists: (doc, field, pos, guid, name)."""
-    lists = [_entries(f) for f in LINK_FIELDS.values()]
-    return docs.select(F.col("guid").alias("doc"), F.inline(F.concat(*lists)))
+    lists = ", ".join(
+        f"transform({f}guid, (g, i) -> named_struct('field', '{f}', 'pos', i, 'guid', g, 'name', get({f}, i)))"
+        for f in LINK_FIELDS.values()
+    )
+    return docs.select(F.col("guid").alias("doc"), F.expr(f"inline(concat({lists}))"))
 
 
 def scan_documents_by_ancestor(docs: DataFrame, guids: DataFrame) -> DataFrame:
@@ -49,7 +42,7 @@ def scan_documents_by_ancestor(docs: DataFrame, guids: DataFrame) -> DataFrame:
 
 def holders(docs: DataFrame, guids_with_type: DataFrame) -> DataFrame:
     """(doc, field, guid, pos) of each document that links to a guid of the given type; first positions."""
-    wanted = guids_with_type.select("guid", link_field(F.col("type_name")).alias("field")).filter(
+    wanted = guids_with_type.select("guid", link_field("type_name").alias("field")).filter(
         F.col("field").isNotNull()
     )
     return (
