@@ -5,15 +5,16 @@ from pyspark.sql import SparkSession
 from metaloom.functions.skew import SETTINGS
 
 
-def session():
+def session(**more):
     builder = (
         SparkSession.builder.master("local[8]").appName("metaloom-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **more}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
