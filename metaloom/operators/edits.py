@@ -132,9 +132,7 @@ def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
     """The documents that the edits touch, after the edits."""
     df = docs.join(merge_edits(edits).withColumnRenamed("doc", "guid"), "guid")
     df = df.withColumns({f"_{f}": _links_after(f) for f in LINK_FIELDS.values()})
-    df = _set(
-        df,
-        _before="struct(breadcrumbguid, breadcrumbname)",
+    edited = {
         **{
             a: f"IF(exists(_e, e -> e.kind = 'attr' AND e.field = '{a}'), "
                f"get(filter(_e, e -> e.kind = 'attr' AND e.field = '{a}'), 0).value, {a})"
@@ -142,7 +140,14 @@ def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
         },
         **{f + "guid": f"coalesce(_{f}.guid, {f}guid)" for f in LINK_FIELDS.values()},
         **{f: f"coalesce(_{f}.name, {f})" for f in LINK_FIELDS.values()},
-        _names=f"map_from_entries(transform({_of('crumb_name')}, e -> struct(e.guid, e.value)))",
+    }
+    # The many columns that are done travel as one, so that each of the next steps copies few columns.
+    done = [c for c in DOCUMENT_COLUMNS if c not in (*_CRUMBS, "parentguid")]
+    df = df.select(
+        "_e", "parentguid", *_CRUMBS,
+        F.struct("parentguid", "breadcrumbguid", "breadcrumbname").alias("_before"),
+        F.struct(*[F.expr(edited.get(c, c)).alias(c) for c in done]).alias("_done"),
+        F.expr(f"map_from_entries(transform({_of('crumb_name')}, e -> struct(e.guid, e.value)))").alias("_names"),
     )
     df = _set(df, breadcrumbname="""
       CASE WHEN size(_names) > 0 AND size(breadcrumbguid) = size(breadcrumbname) THEN transform(breadcrumbname, (n, i) ->
@@ -167,7 +172,8 @@ def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
         df = _set(df, parentguid=f"IF(_a IS NULL, parentguid, {_LAST})")
     df = _set(df, parentguid=f"IF({_has('finalize')}, {_LAST}, parentguid)")
     always = ", ".join(f"'{k}'" for k in _ALWAYS)
-    emitted = f"exists(_e, e -> e.kind IN ({always})) OR NOT (_before <=> struct(breadcrumbguid, breadcrumbname))"
+    emitted = f"exists(_e, e -> e.kind IN ({always})) OR NOT (_before <=> struct(parentguid, breadcrumbguid, breadcrumbname))"
     # One-element inline: a plain filter would be pushed below all of the above, with a copy of it.
-    out = df.select(F.inline(F.array(F.struct(*DOCUMENT_COLUMNS, F.expr(emitted).alias("_emitted")))))
+    columns = [F.col(f"_done.{c}").alias(c) if c in done else F.col(c) for c in DOCUMENT_COLUMNS]
+    out = df.select(F.inline(F.array(F.struct(*columns, F.expr(emitted).alias("_emitted")))))
     return out.filter("_emitted").drop("_emitted")

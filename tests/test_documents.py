@@ -166,7 +166,8 @@ def test_moving_a_child_one_level_up_in_one_event(spark):
         "g", DOMAIN, deleted={"dataEntity": refs("c1", type_name=ENTITY)}, old={"dataEntity": ids("c1")},
         inserted={"dataEntity": refs("c2", type_name=ENTITY)}, new={"dataEntity": ids("c2")}))
     assert got["c1"]["breadcrumbguid"] == [] and got["c2"]["breadcrumbguid"] == ["g"]
-    assert got["x"]["breadcrumbguid"] == ["g", "c1", "c2"]
+    # What is below loses "g" with the old child and gets it back with the new one, so it stays as it was.
+    assert "x" not in got
 
 
 def test_missing_references_fail_an_insert_but_not_a_delete(spark):
