@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from metaloom.llm.common import table
 from metaloom.llm.decontaminate import find_contamination
+from metaloom.llm.quality import ORACLE as QUALITY_SQL
+from metaloom.llm.quality import quality
 from metaloom.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +33,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@query("op6_adaptive_quality", sql=QUALITY_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query("op10_benchmark_decontamination", sql="""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
