@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from metaloom.llm.common import table
 from metaloom.llm.decontaminate import find_contamination
+from metaloom.llm.mixing import mix
 from metaloom.llm.quality import ORACLE as QUALITY_SQL
 from metaloom.llm.quality import quality
 from metaloom.llm.simhash import near_duplicates
+from metaloom.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +29,27 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_source_mixing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+@query("op3_warc", sql="""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+     f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = round_trip(spark, table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
