@@ -13,7 +13,8 @@ from metaloom.llm.mixing import mix
 from metaloom.llm.quality import ORACLE as QUALITY_SQL
 from metaloom.llm.quality import quality
 from metaloom.llm.simhash import near_duplicates
-from metaloom.llm.warc import round_trip
+from metaloom.llm.token_files import round_trip as token_round_trip
+from metaloom.llm.warc import round_trip as warc_round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,12 +45,18 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = round_trip(spark, table(spark, sf_dir, "pages"))
+    found = warc_round_trip(spark, table(spark, sf_dir, "pages"))
     return found.select(
         F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+@query("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = token_round_trip(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query("op5_simhash_near_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
