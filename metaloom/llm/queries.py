@@ -12,6 +12,7 @@ from metaloom.llm.decontaminate import find_contamination
 from metaloom.llm.mixing import mix
 from metaloom.llm.quality import ORACLE as QUALITY_SQL
 from metaloom.llm.quality import quality
+from metaloom.llm.secrets import find_secrets, listed
 from metaloom.llm.simhash import near_duplicates
 from metaloom.llm.token_files import round_trip as token_round_trip
 from metaloom.llm.warc import round_trip as warc_round_trip
@@ -69,6 +70,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+    judged = lambda verdict: F.size(F.filter("spans", lambda s: s["verdict"] == verdict)).cast("bigint")
+    return found.select(
+        "doc_id", number(0).alias("n_assign"), number(1).alias("n_access"), number(2).alias("n_hex"),
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+        judged("live").alias("n_live"), judged("example").alias("n_example"))
+
+
 @query("op10_benchmark_decontamination", sql="""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
