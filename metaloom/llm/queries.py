@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from metaloom.llm.common import table
 from metaloom.llm.decontaminate import find_contamination
+from metaloom.llm.html_extract import extract
 from metaloom.llm.mixing import mix
 from metaloom.llm.quality import ORACLE as QUALITY_SQL
 from metaloom.llm.quality import quality
@@ -82,6 +83,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         judged("live").alias("n_live"), judged("example").alias("n_example"))
 
 
+@query("op9_main_text")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).drop("blocks")
+
+
 @query("op10_benchmark_decontamination", sql="""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
