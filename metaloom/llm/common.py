@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metaloom.functions.state import checkpoint_dir, cut
 
-__all__ = ["blanks_out", "checkpoint_dir", "count_words", "cut", "pick", "table", "utf8", "word_array"]
+__all__ = ["blanks_out", "checkpoint_dir", "count_words", "cut", "joined_by_row", "kept_by", "pick", "table", "utf8", "word_array"]
 
 #: The white space that parts words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
@@ -51,7 +52,35 @@ def count_words(text: Column) -> Column:
     return F.size(word_array(text)).cast("bigint")
 
 
-def local_path(uri: str) -> str | None:
-    """The path of a file URI or plain path; None for another store."""
-    parsed = urlparse(uri)
-    return parsed.path if parsed.scheme in ("", "file") else None
+def kept_by(df: DataFrame, column: str, prepare: Callable[[], Callable[[list[bytes | None]], list[bool]]]) -> DataFrame:
+    """The rows that a function of one text column keeps, with all columns as they were, whatever their names.
+
+    ``prepare`` is called once a task and gives the function, which answers for a batch of texts.
+    """
+    names = df.columns
+    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
+    source = f"c{names.index(column)}"
+    schema = T.StructType([*plain.schema.fields, T.StructField("kept", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decide = None
+        for batch in batches:
+            decide = decide or prepare()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decide(utf8(batch, source)), pa.bool_())], names=schema.names)
+
+    return plain.mapInArrow(run, schema).where("kept").drop("kept").toDF(*names)
+
+
+def joined_by_row(df: DataFrame, id_col: str, text_col: str, chosen: DataFrame) -> tuple[DataFrame, list[str]]:
+    """One row of each (id, hash of id and text) that ``chosen`` (doc_id, spot, ...) lists, with the rest of its columns.
+
+    Returns columns c0, c1, ... for those of ``df``, then those of ``chosen``, and the names of ``df``. Rows equal in id and
+    text count as one.
+    """
+    names = df.columns
+    plain = df.toDF(*[f"c{i}" for i in range(len(names))])
+    own_id, own_text = F.col(f"c{names.index(id_col)}"), F.col(f"c{names.index(text_col)}")
+    plain = plain.withColumn("at", F.xxhash64(own_id, own_text))
+    chosen = chosen.withColumnRenamed("doc_id", "of")
+    joined = plain.join(chosen, (F.col("at") == F.col("spot")) & own_id.eqNullSafe(F.col("of")))
+    return joined.dropDuplicates(["at", f"c{names.index(id_col)}"]), names

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metaloom.llm.common import pick, utf8
+from metaloom.llm.common import kept_by, pick, utf8
 
 WINDOW = 10
 #: Words in one shard's suffix array; bounds a task's memory, not what is searched.
@@ -162,6 +162,23 @@ def _shard(queries: Queries, documents: list[np.ndarray]) -> list[dict]:
     return out
 
 
+def search_texts(queries: Queries, texts: list[bytes | None], shard_words: int = SHARD_WORDS) -> tuple[list[int], list[dict]]:
+    """Words and hits of each text, in shards of whole texts."""
+    number = queries.vocabulary.get
+    counts, found, shard, held = [], [], [], 0
+    for text in texts:
+        words = np.array([number(w, 0) for w in words_of(text)], np.uint64)
+        counts.append(len(words))
+        shard.append(words)
+        held += len(words)
+        if held >= shard_words:
+            found += _shard(queries, shard)
+            shard, held = [], 0
+    if shard:
+        found += _shard(queries, shard)
+    return counts, found
+
+
 MATCH = T.StructType([
     T.StructField("item_id", T.StringType()), T.StructField("item_start", T.LongType()),
     T.StructField("doc_start", T.LongType()), T.StructField("n_words", T.LongType()),
@@ -178,6 +195,19 @@ def benchmark_items(benchmark: DataFrame, item_col: str, text_col: str, limit: i
     return [(r[0], r[1].encode()) for r in items.select(F.col("item").cast("string"), "body").collect()]
 
 
+def _shared(documents: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, limit: int):
+    return documents.sparkSession.sparkContext.broadcast(Queries(benchmark_items(benchmark, item_col, item_text_col, limit), window))
+
+
+def without_contaminated(
+    documents: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    window: int = WINDOW, max_benchmark_bytes: int = MAX_BENCHMARK_BYTES,
+) -> DataFrame:
+    """The documents without any match, with all their columns."""
+    queries = _shared(documents, benchmark, item_col, item_text_col, window, max_benchmark_bytes)
+    return kept_by(documents, text_col, lambda: lambda texts: [not f["n_hit"] for f in search_texts(queries.value, texts)[1]])
+
+
 def find_contamination(
     documents: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
@@ -188,9 +218,7 @@ def find_contamination(
     Returns a row per document: doc_id, n_words, n_hit (words inside a match), items (ids, sorted as text), longest
     (words of the longest match), matches (item, first word in the item and in the document, words).
     """
-    queries = documents.sparkSession.sparkContext.broadcast(
-        Queries(benchmark_items(benchmark, item_col, item_text_col, max_benchmark_bytes), window)
-    )
+    queries = _shared(documents, benchmark, item_col, item_text_col, window, max_benchmark_bytes)
     rows = pick(documents, doc_id=id_col, body=text_col)
     schema = T.StructType([
         T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()),
@@ -200,19 +228,8 @@ def find_contamination(
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = queries.value
-        number = known.vocabulary.get
         for batch in batches:
-            counts, found, shard, held = [], [], [], 0
-            for text in utf8(batch, "body"):
-                words = np.array([number(w, 0) for w in words_of(text)], np.uint64)
-                counts.append(len(words))
-                shard.append(words)
-                held += len(words)
-                if held >= shard_words:
-                    found += _shard(known, shard)
-                    shard, held = [], 0
-            if shard:
-                found += _shard(known, shard)
+            counts, found = search_texts(known, utf8(batch, "body"), shard_words)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array([f["n_hit"] for f in found], pa.int64()),
                 pa.array([f["items"] for f in found], pa.list_(pa.string())),

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metaloom.llm.common import count_words, cut, pick
+from metaloom.llm.common import count_words, cut, joined_by_row, pick
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -108,7 +108,7 @@ def mix(
     documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[int, ...] = WEIGHTS, most: int = MOST, chunk_docs: int = CHUNK_DOCS,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target (its source's), rate, copies and taken of every document."""
+    """doc_id, spot (a hash of id and text), source, size, source_size, target (its source's), rate, copies and taken of every document."""
     rows = pick(documents, doc_id=id_col, source=source_col, body=text_col)
     sized = cut(rows.select("doc_id", "source", count_words(F.col("body")).alias("size"), F.xxhash64("doc_id", "body").alias("spot")))
     counts = cut(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
@@ -151,4 +151,13 @@ def mix(
 
     schema = T.StructType([*dealt.schema.fields, T.StructField("copies", T.LongType())])
     return dealt.mapInArrow(take, schema).select(
-        "doc_id", "source", "size", "source_size", "target", "rate", "copies", F.expr("copies * size").alias("taken"))
+        "doc_id", "spot", "source", "size", "source_size", "target", "rate", "copies", F.expr("copies * size").alias("taken"))
+
+
+def mixed(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix itself: every document as often as it is taken, with all its columns. Those without words stay once."""
+    plan = mix(documents, id_col=id_col, text_col=text_col, source_col=source_col)
+    taken = plan.groupBy("doc_id", "spot").agg(F.sum("copies").cast("int").alias("copies")).where("copies > 0")
+    rows, names = joined_by_row(documents, id_col, text_col, taken)
+    repeated = rows.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return repeated.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)

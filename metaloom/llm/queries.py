@@ -15,6 +15,7 @@ from metaloom.llm.quality import ORACLE as QUALITY_SQL
 from metaloom.llm.quality import quality
 from metaloom.llm.secrets import find_secrets, listed
 from metaloom.llm.simhash import near_duplicates
+from metaloom.llm.toxicity import score_toxicity
 from metaloom.llm.token_files import round_trip as token_round_trip
 from metaloom.llm.warc import round_trip as warc_round_trip
 
@@ -83,6 +84,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         judged("live").alias("n_live"), judged("example").alias("n_example"))
 
 
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op9_main_text")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).drop("blocks")

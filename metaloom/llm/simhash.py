@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metaloom.llm.common import cut, pick, utf8
+from metaloom.llm.common import cut, joined_by_row, pick, utf8
 from metaloom.llm.components import roots
 
 SHINGLE = 4
@@ -215,14 +215,14 @@ def links(prints: DataFrame, threshold: int = THRESHOLD, block: int = BLOCK) ->
 
 
 def fingerprints(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (signed) of each document."""
-    rows = pick(documents, doc_id=id_col, body=text_col)
-    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("fp", T.LongType())])
+    """doc_id, spot (a hash of id and text) and fp (signed) of each document."""
+    rows = pick(documents, doc_id=id_col, body=text_col).withColumn("spot", F.xxhash64("doc_id", "body"))
+    schema = T.StructType([rows.schema["doc_id"], rows.schema["spot"], T.StructField("fp", T.LongType())])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, shingle) for t in utf8(batch, "body")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("spot"), pa.array(found, pa.int64())], names=schema.names)
 
     return rows.mapInArrow(take, schema)
 
@@ -231,12 +231,20 @@ def near_duplicates(
     documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
     threshold: int = THRESHOLD, block: int = BLOCK,
 ) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id that links lead to, itself included) of each document."""
+    """doc_id, spot, fp, root, component_id (smallest doc_id that links lead to, itself included) of each document."""
     prints = cut(fingerprints(documents, id_col=id_col, text_col=text_col, shingle=shingle))
     points = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     hung = roots(links(points.select("fp"), threshold, block))
     rooted = points.join(hung, points.fp == hung.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = cut(rooted)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = rooted.join(named, "root").select("fp", "component_id")
-    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = rooted.join(named, "root").select("fp", "root", "component_id")
+    return prints.join(names, "fp").select("doc_id", "spot", "fp", "root", "component_id")
+
+
+def one_of_each(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """One document of each component, that with the smallest id, with all its columns."""
+    found = near_duplicates(documents, id_col=id_col, text_col=text_col, threshold=threshold)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "spot")).alias("first"))
+    rows, names = joined_by_row(documents, id_col, text_col, first.select("first.doc_id", "first.spot"))
+    return rows.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)

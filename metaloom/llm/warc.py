@@ -40,14 +40,17 @@ SKIPPABLE, FRAME, DICTIONARY = 0x184D2A5D, 0xFD2FB528, 0xEC30A437
 _SCHEMA = "record_id string, record_type string, url string, refers_to string, payload_digest string, payload_bytes bigint, payload binary, error string"
 
 
-def train_dictionary(pages: DataFrame, html_col: str = "html") -> bytes:
+def train_dictionary(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> bytes:
     """A dictionary from a bounded sample of pages; empty if there is too little to train on."""
-    sample = pick(pages, html=html_col).where("length(html) > 0").select(F.substring("html", 1, SAMPLE_BYTES).alias("html"))
-    rows = sample.orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES).collect()
-    samples = [r[0].encode()[:SAMPLE_BYTES] for r in rows]
+    rows = pick(pages, page=id_col, url=url_col, html=html_col).withColumn("turn", F.xxhash64("page", "url"))
+    turns = [r[0] for r in rows.select("turn").distinct().orderBy("turn").limit(SAMPLE_PAGES).collect()]
+    if not turns:
+        return b""
+    some = rows.where((F.col("turn") <= turns[-1]) & (F.length("html") > 0)).groupBy("turn").agg(F.min(F.substring("html", 1, SAMPLE_BYTES)).alias("html"))
+    samples = [r["html"].encode()[:SAMPLE_BYTES] for r in some.orderBy("turn").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=3).as_bytes()
-    except zstandard.ZstdError:
+    except (zstandard.ZstdError, ValueError):
         return b""
 
 
@@ -119,7 +122,7 @@ def write_archives(
     again = F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
     out = joined.select(F.col("page").cast("string").alias("page"), F.col("url").cast("string").alias("url"), "html", "sha1",
                         F.when(again, F.col("first").cast("string")).alias("refers_to"))
-    dictionary = train_dictionary(pages, html_col)
+    dictionary = train_dictionary(pages, id_col, url_col, html_col)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archives = Archives(folder, dictionary, archive_bytes)
