@@ -15,6 +15,7 @@ from metaloom.llm.quality import ORACLE as QUALITY_SQL
 from metaloom.llm.quality import quality
 from metaloom.llm.secrets import find_secrets, listed
 from metaloom.llm.simhash import near_duplicates
+from metaloom.llm.suffix_dedup import repeated_passages
 from metaloom.llm.toxicity import score_toxicity
 from metaloom.llm.token_files import round_trip as token_round_trip
 from metaloom.llm.warc import round_trip as warc_round_trip
@@ -39,6 +40,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(table(spark, sf_dir, "documents"))
+    listed_spans = lambda c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))))
+    return found.select("doc_id", "n_words", "n_repeated", "n_later", listed_spans("spans").alias("spans"), listed_spans("later").alias("later"))
+
+
 @query("op3_warc", sql="""
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
      f AS (SELECT payload_digest, max(page_id) AS first FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
