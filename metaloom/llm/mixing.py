@@ -92,15 +92,22 @@ def tilts(counts: DataFrame, wanted: DataFrame, most: float = MOST) -> DataFrame
     return state.select("source", "unit", F.coalesce("known", "tilt").alias("tilt"))
 
 
-def rounded(sizes: np.ndarray, rates: np.ndarray) -> np.ndarray:
-    """Copies of documents from long to short, each the rate rounded so as to make up for those before."""
-    least, most = np.floor(rates + 1e-9).astype(np.int64), np.ceil(rates - 1e-9).astype(np.int64)
-    out, owed = least.copy(), 0.0
-    for i in np.flatnonzero(least < most).tolist():
+def rounded(sizes: np.ndarray, rates: np.ndarray, most: int = MOST) -> np.ndarray:
+    """Copies of documents from long to short, each the rate rounded so as to make up for those before.
+
+    What few documents leave open is made up by a copy more or less of those that it is worth.
+    """
+    down, up = np.floor(rates + 1e-9).astype(np.int64), np.ceil(rates - 1e-9).astype(np.int64)
+    out, owed = down.copy(), 0.0
+    for i in np.flatnonzero(down < up).tolist():
         size, exact = sizes[i], rates[i] * sizes[i]
-        if owed + exact - least[i] * size > size / 2:
-            out[i] = most[i]
+        if owed + exact - down[i] * size > size / 2:
+            out[i] = up[i]
         owed += exact - out[i] * size
+    for i in np.flatnonzero((sizes > 0) & (sizes < 2 * abs(owed))).tolist():
+        change = min(max(round(owed / sizes[i]), -int(out[i])), most - int(out[i]))
+        out[i] += change
+        owed -= change * sizes[i]
     return out
 
 
@@ -145,7 +152,7 @@ def mix(
         copies, start = np.zeros(n, np.int64), 0
         for end in range(1, n + 1):
             if end == n or key[0][end] != key[0][start] or key[1][end] != key[1][start]:
-                copies[start:end] = rounded(sizes[start:end], rates[start:end])
+                copies[start:end] = rounded(sizes[start:end], rates[start:end], most)
                 start = end
         yield from table.append_column("copies", pa.array(copies)).combine_chunks().to_batches()
 

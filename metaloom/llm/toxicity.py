@@ -145,7 +145,7 @@ def restored(token: str, model: Model) -> list[str]:
     for drawn, letter in DRAWN.items():
         word = word.replace(drawn, letter)
     word = _NOISE.sub("", word) if not _NOISE.fullmatch(word) else ""
-    if len(word) > 64 or not any(c.isalpha() for c in word) and sum(c in LEET for c in word) < 4:
+    if len(word) > 64 or not any(c.isalpha() for c in word):
         return [word] if word else []
     parts = [p for p in _PARTS.split(word) if p]
     if len(parts) > 1 and sum(len(p) > 1 for p in parts) >= len(parts) - 1 and not any(p.isdigit() and len(p) == 1 for p in parts):

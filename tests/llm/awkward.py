@@ -1,0 +1,36 @@
+"""Rows that operators must stand: nulls in any column, empty and long texts, repeated rows, clashing column names."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+WORDS = "the of and to in is that for it was on are as with his they at be this from"
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def sentence(seed: int, n: int) -> str:
+    """n words, different for each seed."""
+    return " ".join(f"w{seed}x{i * 7919 % 1000003}" for i in range(n))
+
+
+def rows() -> list[tuple]:
+    long = " ".join([sentence(9, 30_000), WORDS, "x" * 50_000])
+    return [
+        (1, sentence(1, 120), "en", "a", 1), (2, sentence(1, 120), "en", "a", 1), (2, sentence(1, 120), "en", "a", 1),
+        (3, None, "en", "b", None), (4, "", "en", "b", 0), (5, " \t\n ", None, "b", 3), (6, sentence(6, 80), None, None, None),
+        (None, sentence(7, 60), "de", None, None), (None, None, None, None, None), (8, long, "en", "c", 9),
+        (9, "ÀÉ ß \U0001f600 x y", "fr", "é", 9), (10, sentence(10, 5), "en", "a", 1), (11, sentence(10, 5), "de", "b", 1),
+    ]
+
+
+def frame(spark, extra: bool = True):
+    """With ``extra``, columns that clash with the operators' own and with each other but for case."""
+    df = spark.createDataFrame(rows(), COLUMNS)
+    if not extra:
+        return df
+    more = ["Text", "DOC_ID", "size", "words", "fp", "spot", "kept", "start", "source", "c0", "at", "body"]
+    return df.select("*", *[F.lit("x").alias(c) for c in more])
+
+
+def nothing(spark):
+    return spark.createDataFrame([], COLUMNS)

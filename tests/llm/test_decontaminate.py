@@ -1,0 +1,74 @@
+import re
+
+import pytest
+
+from metaloom.llm.decontaminate import find_contamination, without_contaminated
+from tests.llm import awkward
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(text, items, window=10):
+    own, hit, found, longest = words(text), set(), set(), 0
+    for name, body in items:
+        item = words(body)
+        n = min(window, len(item))
+        for i in range(len(item) - n + 1 if item else 0):
+            for p in range(len(own) - n + 1):
+                if own[p : p + n] == item[i : i + n]:
+                    hit.update(range(p, p + n))
+                    if name is not None:
+                        found.add(str(name))
+                    m = n
+                    while i + m < len(item) and p + m < len(own) and own[p + m] == item[i + m]:
+                        m += 1
+                    longest = max(longest, m)
+    return len(own), len(hit), sorted(found), longest
+
+
+ITEMS = [
+    (1, "Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"), (2, "short item"), (3, None), (4, "..."), (5, ""),
+    (None, "nameless thing"), (1, "second text of one"), (10, "alpha beta gamma delta epsilon zeta eta theta iota kappa other end"),
+]
+TEXTS = [
+    "so ALPHA, beta-gamma delta epsilon zeta eta theta iota kappa lambda mu. and", "alpha beta gamma delta epsilon zeta eta theta iota",
+    "a short item and a Short  Item", "short", None, "", "nameless thing second text of one", "short short item item short item",
+    "x alpha beta gamma delta epsilon zeta eta theta iota kappa alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu",
+]
+
+
+@pytest.mark.parametrize("shard_words", [1, 25, 10_000])
+def test_equals_brute_force(spark, shard_words):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id int, text string").coalesce(1)
+    items = spark.createDataFrame(ITEMS, "item_id int, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"]), r.longest) for r in find_contamination(docs, items, shard_words=shard_words).collect()}
+    assert got == {i: brute(t, ITEMS) for i, t in enumerate(TEXTS)}
+    assert [r.doc_id for r in without_contaminated(docs, items).orderBy("doc_id").collect()] == [i for i, t in enumerate(TEXTS) if not brute(t, ITEMS)[1]]
+
+
+def test_matches_say_where(spark):
+    docs = spark.createDataFrame([(1, TEXTS[0])], "doc_id int, text string")
+    items = spark.createDataFrame(ITEMS[:1], "item_id int, text string")
+    assert [tuple(m) for m in find_contamination(docs, items).first().matches] == [("1", 0, 1, 12)]
+
+
+def test_awkward_rows(spark):
+    items = spark.createDataFrame([(1, awkward.sentence(1, 20)), (2, None)], "item_id int, text string")
+    docs = awkward.frame(spark)
+    got = find_contamination(docs, items).collect()
+    assert len(got) == len(awkward.rows()) and sorted(r.doc_id for r in got if r.n_hit) == [1, 2, 2]
+    left = without_contaminated(docs, items)
+    assert left.columns == docs.columns and left.count() == len(awkward.rows()) - 3
+    assert find_contamination(awkward.nothing(spark), items).count() == 0
+    none = spark.createDataFrame([], "item_id int, text string")
+    assert not any(r.n_hit for r in find_contamination(docs, none).collect())
+
+
+def test_too_large_benchmark_is_refused(spark):
+    items = spark.createDataFrame(ITEMS, "item_id int, text string")
+    with pytest.raises(ValueError, match="split it"):
+        find_contamination(awkward.frame(spark), items, max_benchmark_bytes=10)

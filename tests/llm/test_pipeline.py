@@ -1,0 +1,68 @@
+from collections import Counter
+
+import pytest
+
+import corpus_pipeline
+from metaloom.llm.common import cut, table
+from metaloom.llm.mixing import mix
+from metaloom.llm.toxicity import score_toxicity
+from tests.llm import awkward
+from tests.llm.test_decontaminate import words
+from tests.llm.test_simhash import brute_components, brute_print
+from tests.llm.test_token_files import brute as brute_tokens
+
+NAMES = ["toxicity", "simhash_near_dedup", "benchmark_decontamination", "source_mixing", "token_files"]
+
+
+def test_stages_equal_brute_force(spark, sf):
+    """Each stage against its rule, on what the one before it kept."""
+    assert [n for n, _ in corpus_pipeline.STAGES] == NAMES and corpus_pipeline.ORACLE_SQL is None
+    stages = dict(corpus_pipeline.STAGES)
+    docs = table(spark, sf, "documents")
+    columns, before = docs.columns, docs.collect()
+
+    def run(name, docs):
+        out = cut(stages[name](spark, docs, sf))
+        return out, out.collect()
+
+    out, rows = run("toxicity", docs)
+    rejected = {r.doc_id for r in score_toxicity(docs, table(spark, sf, "labels")).collect() if r.predicted}
+    assert Counter(rows) == Counter(r for r in before if r.doc_id not in rejected) and out.columns == columns
+    before = rows
+
+    out, rows = run("simhash_near_dedup", out)
+    firsts = set(brute_components({r.doc_id: brute_print(r.text) for r in sorted(before)}).values())
+    assert Counter(rows) == Counter(r for r in before if r.doc_id in firsts) and out.columns == columns
+    before = rows
+
+    out, rows = run("benchmark_decontamination", out)
+    items = [words(r.text) for r in table(spark, sf, "benchmark").collect()]
+    windows = {tuple(w[i : i + 10]) for w in items for i in range(max(1, len(w) - 9)) if w}
+    hit = lambda own: any(tuple(own[i : i + n]) in windows for n in {len(w) for w in windows} for i in range(len(own) - n + 1))
+    assert Counter(rows) == Counter(r for r in before if not hit(words(r.text))) and out.columns == columns
+    before = rows
+
+    copies = {r.doc_id: r.copies for r in mix(out).collect()}
+    out, rows = run("source_mixing", out)
+    assert Counter(rows) == Counter({r: copies[r.doc_id] for r in before if copies[r.doc_id]}) and out.columns == columns
+    before = rows
+
+    _, rows = run("token_files", out)
+    start, want = 0, []
+    for doc_id, n, crc, _ in brute_tokens(sorted((r.doc_id, r.text) for r in before)):
+        want.append((doc_id, start, n, crc))
+        start += n
+    assert sorted(map(tuple, rows)) == want
+
+
+@pytest.mark.parametrize("make", [awkward.frame, awkward.nothing])
+def test_awkward_rows(spark, sf, make):
+    docs = make(spark)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+        # Clashing names can't be written as Parquet, so the rows go by position.
+        docs = cut(plain).toDF(*docs.columns)
+        docs = stage(spark, docs, sf)
+        assert name == "token_files" or docs.columns == columns
+    assert (docs.count() == 0) == (make is awkward.nothing)
