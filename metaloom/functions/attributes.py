@@ -8,9 +8,23 @@ from pyspark.sql import functions as F
 from metaloom.schemas import ENTITY, HIERARCHY_RULES, REF, RELATIONSHIPS, fields_of
 
 
+#: A string, or a whole number that is written as a fraction.
+_STRING_OR_NUMBER = r'("(?:[^"\\]|\\.)*")|(-?[0-9]+)\.0+(?![0-9eE.])'
+
+
 def canonical(values: Column) -> Column:
-    """Map of variants -> map of canonical JSON text."""
-    return F.transform_values(values, lambda _, v: F.to_json(v))
+    """Map of variants -> map of canonical JSON text. Numbers of one value have one text, at any depth.
+
+    A whole number read as a double loses its zeros (``1e0`` prints as ``1.0``). Inside objects and lists, doubles from
+    ten million on still print with an exponent.
+    """
+    def one(_, v):
+        number = F.try_variant_get(v, "$", "double")
+        whole = (F.schema_of_variant(v) == "DOUBLE") & (number == F.floor(number)) & (F.abs(number) < 1e15)
+        return F.when(whole, number.cast("bigint").cast("string")).otherwise(
+            F.regexp_replace(F.to_json(v), _STRING_OR_NUMBER, "$1$2"))
+
+    return F.transform_values(values, one)
 
 
 def text(attributes: Column, name: str) -> Column:

@@ -1,19 +1,11 @@
-"""Heavy keys.
+"""Settings that every job should run with; all can be set at run time.
 
-Joins and plain aggregates need nothing from here: aggregates combine on the map side and adaptive
-execution splits an oversized join partition. A window is different - all rows of a key meet in one
-task - so operators that use one split a heavy key into pieces first, and combine the pieces after.
+Aggregates combine on the map side and adaptive execution splits an oversized join partition, so hot keys need
+nothing more there. The one place where all rows of a key had to meet, the as-of lookup, deals them out by range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-MAX_HEAVY = 256
-MIN_ROWS = 100_000
-
-# Settings every job should run with; all can be set at run time.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -26,25 +18,3 @@ SETTINGS = {
 def configure(spark) -> None:
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-
-
-def heavy_values(df: DataFrame, column: str, max_heavy: int = MAX_HEAVY, min_rows: int = MIN_ROWS) -> list:
-    """Values of ``column`` that hold more than ``1 / max_heavy`` of the rows (and at least ``min_rows``).
-
-    One pass over one column with a frequent-items sketch: it never misses such a value, returns at most
-    ``max_heavy`` of them, and shuffles only sketches. Callers may use the list to place rows, never to
-    decide a result, so its precision does not matter to them.
-    """
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k({column}, {max_heavy}, {max_heavy * 16})").alias("top"),
-    ).first()
-    least = max(min_rows, row["rows"] / max_heavy)
-    return [t["item"] for t in (row["top"] or []) if t["item"] is not None and t["count"] >= least]
-
-
-def time_piece(key: Column, time: Column, heavy: list, width_ms: int) -> Column:
-    """Piece number of a row: time slices for heavy keys, one piece (0) for all others."""
-    if not heavy:
-        return F.lit(0).cast("bigint")
-    return F.when(key.isin(heavy), F.floor(time / F.lit(width_ms)).cast("bigint")).otherwise(F.lit(0).cast("bigint"))

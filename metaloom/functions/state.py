@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without one gets a folder here.
-    """
+    """The shared checkpoint folder of the session, which ``spark.checkpoint.dir`` names."""
     context = spark.sparkContext
     folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="metaloom-checkpoint-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder

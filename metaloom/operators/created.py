@@ -9,7 +9,7 @@ from metaloom.functions.attributes import all_refs, each, relatives, text
 from metaloom.functions.state import cut
 from metaloom.operators.edits import edit, path_through, union
 from metaloom.schemas import CREATE_BLACKLIST, DOCUMENT, HIERARCHY_RULES, LISTS, PATH, PERSON_TYPE, SCORES
-from metaloom.sources.documents import ancestors, link_field, links
+from metaloom.sources.documents import ancestors, link_field
 
 
 def _attribute(name: str, default: Column) -> Column:
@@ -101,33 +101,18 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
     return there.unionByName(back)
 
 
-def present_links(pairs_both: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc, field, guid, pos) of the entries that the documents of the pairs have already."""
-    mine = pairs_both.select(F.col("doc").alias("guid")).distinct()
-    return (
-        links(docs.join(mine, "guid", "left_semi"))
-        .join(pairs_both.select("doc", "field", "guid").distinct(), ["doc", "field", "guid"], "left_semi")
-        .groupBy("doc", "field", "guid")
-        .agg(F.min("pos").alias("pos"))
-    )
-
-
-def link_documents(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Edits that link both documents of each pair to each other, where they are not linked yet."""
+def link_documents(pairs: DataFrame) -> DataFrame:
+    """Edits that link both documents of each pair to each other; a link that is there already stays as it is."""
     both = _both_ways(pairs)
-    missing = both.join(present_links(both, docs), ["doc", "field", "guid"], "left_anti")
     return union(
-        edit(both, "touch", doc="doc"), edit(missing, "link", doc="doc", field="field", guid="guid", value="value")
+        edit(both, "touch", doc="doc"), edit(both, "link", doc="doc", field="field", guid="guid", value="value")
     )
 
 
-def unlink_documents(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Edits that remove the links of each pair, both ways."""
+def unlink_documents(pairs: DataFrame) -> DataFrame:
+    """Edits that remove the links of each pair, both ways; one that is not there is no loss."""
     both = _both_ways(pairs)
-    present = both.join(present_links(both, docs), ["doc", "field", "guid"])
-    return union(
-        edit(both, "touch", doc="doc"), edit(present, "unlink", doc="doc", field="field", guid="guid", pos="pos")
-    )
+    return union(edit(both, "touch", doc="doc"), edit(both, "unlink", doc="doc", field="field", guid="guid"))
 
 
 def create_breadcrumb_from_parent(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -188,7 +173,7 @@ def entity_created(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES, r
     paths = created_paths(refs, created, placed)
     edits = union(
         edit(ok, "touch", doc="guid"),
-        link_documents(pairs, base),
+        link_documents(pairs),
         placed,
         attach_children(pairs, paths),
         attach_descendants(refs, docs, paths),

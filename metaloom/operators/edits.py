@@ -6,9 +6,9 @@ list entry - and ``apply_edits`` brings all edits of a document together and app
 kind        meaning
 attr        set the scalar ``field`` to ``value``
 touch       emit the document, change nothing
-link        append (``guid``, ``value``) to the link list ``field``
-relink      set the name at position ``pos`` of the link list ``field``
-unlink      drop position ``pos`` of the link list ``field``
+link        append (``guid``, ``value``) to the link list ``field``, unless ``guid`` is in it
+relink      set the name of the first entry ``guid`` of the link list ``field``
+unlink      drop the first entry ``guid`` of the link list ``field``
 crumb_name  set the name of ancestor ``guid`` in the breadcrumb
 crumb_cut   keep the breadcrumb after ancestor ``guid``; the parent stays as it is
 reset       empty breadcrumb, no parent
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metaloom.schemas import DOCUMENT_ATTRIBUTES, DOCUMENT_COLUMNS, EDIT, LINK_FIELDS, PATH, fields_of
+from metaloom.schemas import DOCUMENT_ATTRIBUTES, DOCUMENT_COLUMNS, EDIT, LINK_FIELDS, ORDER, PATH, fields_of
 
 _ALWAYS = ["attr", "touch", "link", "relink", "unlink", "reset"]
 
@@ -80,25 +80,29 @@ def merge_edits(edits: DataFrame) -> DataFrame:
 
 
 def _links_after(field: str) -> Column:
-    """The entries (pos, guid, name) of one link list after its edits; null when there are none.
+    """The entries (guid, name) of one link list after its edits; null when there are none.
 
-    Entries are addressed by position and set operations work by hashing, so a long list costs n log n.
+    Sorted by guid, an edit stands right before the first entry that it is about, and a new link right after the
+    last entry that could make it needless, so each decides by its neighbour: a long list costs n log n.
     """
+    item = f"named_struct('guid', {{}}, 'kind', {{}}, 'pos', {{}}, 'ord', CAST({{}} AS {ORDER}), 'name', {{}})"
+    of = f"filter(_e, e -> e.field = '{field}' AND e.kind IN ({{}}))"
     return F.expr(f"""
-      CASE WHEN exists(_e, e -> e.field = '{field}' AND e.kind IN ('link', 'relink', 'unlink')) THEN concat(
-        array_sort(concat(
-          transform(
-            array_except(
-              IF(size({field}guid) > 0, sequence(0, size({field}guid) - 1), array()),
-              transform(filter(_e, e -> e.field = '{field}' AND e.kind IN ('relink', 'unlink')), e -> e.pos)),
-            i -> named_struct('pos', i, 'guid', get({field}guid, i), 'name', get({field}, i))),
-          transform(
-            filter(_e, e -> e.field = '{field}' AND e.kind = 'relink'),
-            e -> named_struct('pos', e.pos, 'guid', e.guid, 'name', e.value)))),
-        transform(
-          array_sort(transform(filter(_e, e -> e.field = '{field}' AND e.kind = 'link'),
-            e -> named_struct('ord', e.ord, 'guid', e.guid, 'name', e.value))),
-          e -> named_struct('pos', CAST(NULL AS INT), 'guid', e.guid, 'name', e.name))) END""")
+      CASE WHEN exists(_e, e -> e.field = '{field}' AND e.kind IN ('link', 'relink', 'unlink')) THEN
+        array_sort(filter(flatten(transform(
+          array(array_sort(concat(
+            transform({of.format("'relink'")}, e -> {item.format('e.guid', 0, '-1', 'NULL', 'e.value')}),
+            transform({of.format("'unlink'")}, e -> {item.format('e.guid', 1, '-1', 'NULL', 'NULL')}),
+            transform({field}guid, (g, i) -> {item.format('g', 2, 'i', 'NULL', f'get({field}, i)')}),
+            transform({of.format("'link'")}, e -> {item.format('e.guid', 3, '-1', 'e.ord', 'e.value')})))),
+          s -> transform(s, (x, i) -> CASE
+            WHEN x.kind < 2 THEN NULL
+            WHEN x.kind = 2 AND coalesce(get(s, i - 1).guid = x.guid AND get(s, i - 1).kind = 1, false) THEN NULL
+            WHEN x.kind = 3 AND coalesce(get(s, i - 1).guid = x.guid AND get(s, i - 1).kind = 2
+              AND NOT coalesce(get(s, i - 2).guid = x.guid AND get(s, i - 2).kind = 1, false), false) THEN NULL
+            ELSE named_struct('fresh', x.kind = 3, 'pos', x.pos, 'ord', x.ord, 'guid', x.guid, 'name',
+              IF(x.kind = 2 AND coalesce(get(s, i - 1).guid = x.guid AND get(s, i - 1).kind = 0, false),
+                 get(s, i - 1).name, x.name)) END))), x -> x IS NOT NULL)) END""")
 
 
 def _has(kind: str) -> str:

@@ -46,9 +46,9 @@ def audit_child_side_filter(changes: DataFrame, side: str, rules=HIERARCHY_RULES
         relatives(entity, "parent", rules))
 
 
-def audit_unlink(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def audit_unlink(pairs: DataFrame) -> DataFrame:
     """Edits that remove the links of deleted references, both ways. References without a document are skipped."""
-    return unlink_documents(pairs, docs)
+    return unlink_documents(pairs)
 
 
 def resets(rules=HIERARCHY_RULES) -> Column:
@@ -89,7 +89,7 @@ def audit_insert(changes: DataFrame, refs: DataFrame, pairs: DataFrame, docs: Da
                  ) -> DataFrame:
     """Edits for inserted references: links both ways, and children with all below them move under the document."""
     paths = _paths(changes, docs, rules)
-    return union(link_documents(pairs, docs), attach_children(pairs, paths), attach_descendants(refs, docs, paths))
+    return union(link_documents(pairs), attach_children(pairs, paths), attach_descendants(refs, docs, paths))
 
 
 def audit_delete_partial(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULES) -> tuple[DataFrame, DataFrame]:
@@ -155,7 +155,7 @@ def relationship_audit(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RULE
     lost, new = (refs.filter(F.col("side") == side) for side in SIDES)
     lost_pairs, new_pairs = (pairs.filter(F.col("side") == side) for side in SIDES)
     edits = cut(union(
-        audit_unlink(lost_pairs, docs),
+        audit_unlink(lost_pairs),
         audit_reset_root_breadcrumb(active, rules),
         audit_detach_children(lost),
         audit_detach_descendants(lost, docs),

@@ -33,14 +33,19 @@ def _entity(raw: Column) -> Column:
 
 
 def parse_notifications(raw: DataFrame) -> DataFrame:
-    """JSON text in ``value`` -> one message row; text of another shape gets a validation error."""
+    """JSON text in ``value`` -> one message row; text of another shape gets a validation error.
+
+    ``position`` is where a message stands in the log: it tells messages of one entity and time apart, and
+    orders them. A log without positions takes a hash of the text, so that only equal messages are the same.
+    """
+    given = F.col("position") if "position" in raw.columns else F.lit(None).cast("string")
     parsed = raw.select(
-        "value",
+        "value", F.coalesce(given, F.md5(F.coalesce("value", F.lit("")))).alias("position"),
         F.from_json("value", NOTIFICATION, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("n"),
     )
     n = F.col("n")
     columns = [
-        "value",
+        "value", "position",
         n["msgCreationTime"].alias("msg_creation_time"),
         n["message"]["eventTime"].alias("event_time"),
         n["message"]["operationType"].alias("operation"),
@@ -133,7 +138,7 @@ def reject_unknown_type(messages: DataFrame, types: DataFrame) -> DataFrame:
 
 def reject_lookup_failure(messages: DataFrame) -> DataFrame:
     return tag(
-        messages, ~F.col("looked_up"), "lookup", "lookup_failed", "HTTP error during entity lookup"
+        messages, ~F.col("looked_up"), "lookup", "lookup_failed", "The catalog has no such entity"
     ).drop("looked_up")
 
 

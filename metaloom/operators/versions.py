@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metaloom.functions.skew import heavy_values, time_piece
 from metaloom.functions.state import cut
 from metaloom.operators.validate import spread, tag
 from metaloom.schemas import CREATE, DELETE, ENTITY, ERROR
 
-HOUR_MS = 3_600_000
-
 
 def versions_reject_missing_entity(messages: DataFrame) -> DataFrame:
     return tag(messages, F.col("entity").isNull(), "versions", "missing_entity", "Entity is required for indexing")
@@ -27,70 +24,76 @@ def entity_versions(messages: DataFrame) -> DataFrame:
         F.concat_ws("_", F.col("entity.guid"), F.col("msg_creation_time")).alias("doc_id"),
         "event_time",
         "msg_creation_time",
+        *(["position"] if "position" in messages.columns else []),
     )
 
 
 def versions_dedupe(versions: DataFrame, watermark: str | None = None) -> DataFrame:
-    """One version per doc_id. On a stream, ids are remembered for the length of the watermark."""
+    """One version per doc_id: the last in the log. Without positions, it is the last by the text of its body.
+
+    On a stream, ids are remembered for the length of the watermark, and the first to arrive stays.
+    """
     if versions.isStreaming:
         timed = versions.withColumn("_t", F.timestamp_millis("msg_creation_time"))
         return timed.withWatermark("_t", watermark or "1 hour").dropDuplicatesWithinWatermark(["doc_id"]).drop("_t")
-    return versions.dropDuplicates(["doc_id"])
+    place = [F.col("position")] if "position" in versions.columns else []
+    rest = [c for c in versions.columns if c != "doc_id"]
+    last = versions.groupBy("doc_id").agg(F.max_by(F.struct(*rest), F.struct(*place, F.to_json("body"))).alias("_last"))
+    return last.select(*[F.col(c) if c == "doc_id" else F.col(f"_last.{c}").alias(c) for c in versions.columns])
 
 
-def as_of(messages: DataFrame, versions: DataFrame, strict: bool = True, width_ms: int = HOUR_MS,
-          heavy: list | None = None) -> DataFrame:
+def with_versions(history: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The history with new versions in it, which replace those of the same doc_id.
+
+    Only the ids of the new ones meet the history, so a large history is not shuffled for a small batch.
+    """
+    kept = history.join(fresh.select("doc_id"), "doc_id", "left_anti")
+    return kept.select(*fresh.columns).unionByName(fresh)
+
+
+def as_of(messages: DataFrame, versions: DataFrame, strict: bool = True) -> DataFrame:
     """Add ``previous_version``: the newest body of the same guid before (strict) or up to the message.
 
-    The lookup depends on (guid, time) only, so it runs over the distinct pairs: copies of a message
-    collapse on the map side. A guid with very many rows is cut into time slices; each slice looks inside
-    itself and falls back to the last version of the slices before it. The answer goes back to the
-    messages by an equi-join, which adaptive execution can split.
+    The lookup depends on (guid, time) only, so it runs over the distinct pairs: copies of a message collapse on
+    the map side. The history is cut down to the guids asked for, and only times are sorted. Times are dealt out
+    by ranges of (guid, time); a piece of a guid looks inside itself and falls back to the last version of the
+    pieces before it, so a guid of any size is spread over tasks. Bodies are fetched for the answers alone, and the
+    answers go back to the messages by equi-joins, which adaptive execution can split.
     """
     ok = F.col("entity").isNotNull()
     if "error" in messages.columns:
         ok = ok & F.col("error").isNull()
-    keys = messages.filter(ok).select(
+    asked = messages.filter(ok).select(
         F.col("entity.guid").alias("_guid"), F.col("msg_creation_time").alias("_t")
     ).distinct()
-    history = versions.select(
-        F.col("body.guid").alias("_guid"), F.col("body.updateTime").alias("_t"), F.col("body").alias("_body")
-    )
-    timeline = keys.withColumn("_body", F.lit(None).cast(ENTITY)).withColumn("_ask", F.lit(True)).unionByName(
-        history.withColumn("_ask", F.lit(False))
-    )
-    if heavy is None:
-        guids = messages.filter(ok).select(F.col("entity.guid").alias("_guid"))
-        heavy = heavy_values(guids.unionByName(history.select("_guid")), "_guid")
-    timeline = timeline.withColumn("_piece", time_piece(F.col("_guid"), F.col("_t"), heavy, width_ms))
-    inside = (
-        Window.partitionBy("_guid", "_piece").orderBy("_t")
-        .rangeBetween(Window.unboundedPreceding, -1 if strict else Window.currentRow)
+    history = versions.select(F.col("body.guid").alias("_guid"), F.col("body.updateTime").alias("_t"))
+    known = history.join(asked.select("_guid").distinct(), "_guid", "left_semi")
+    times = asked.withColumn("_ask", F.lit(True)).unionByName(known.withColumn("_ask", F.lit(False)))
+    # Written down, as the pieces must be the same for both of their uses.
+    dealt = cut(times.repartitionByRange("_guid", "_t").withColumn("_piece", F.spark_partition_id()))
+    version = "CASE WHEN NOT _ask THEN _t END"
+    upto = "1 PRECEDING" if strict else "CURRENT ROW"
+    seen = dealt.withColumn("_prev", F.expr(
+        f"max({version}) OVER (PARTITION BY _guid, _piece ORDER BY _t RANGE BETWEEN UNBOUNDED PRECEDING AND {upto})"))
+    carried = dealt.groupBy("_guid", "_piece").agg(F.expr(f"max({version})").alias("_last")).withColumn("_carry", F.expr(
+        "max(_last) OVER (PARTITION BY _guid ORDER BY _piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"))
+    found = cut(
+        seen.filter("_ask").join(carried.drop("_last"), ["_guid", "_piece"])
+        .select("_guid", "_t", F.coalesce("_prev", "_carry").alias("_prev")).filter("_prev IS NOT NULL")
     )
-    seen = timeline.withColumn("_prev", F.last("_body", ignorenulls=True).over(inside))
-    if heavy:
-        before = Window.partitionBy("_guid").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-        carried = (
-            timeline.filter(F.col("_guid").isin(heavy))
-            .groupBy("_guid", "_piece")
-            .agg(F.max(F.when(F.col("_body").isNotNull(), F.col("_t"))).alias("_last"))
-            .withColumn("_last", F.last("_last", ignorenulls=True).over(before))
-            .join(history.filter(F.col("_guid").isin(heavy)).select("_guid", F.col("_t").alias("_last"),
-                                                                    F.col("_body").alias("_carry")),
-                  ["_guid", "_last"])
-            .select("_guid", "_piece", "_carry")
-            .dropDuplicates(["_guid", "_piece"])
-        )
-        seen = seen.join(carried, ["_guid", "_piece"], "left").withColumn("_prev", F.coalesce("_prev", "_carry"))
-    answers = seen.filter("_ask").select("_guid", "_t", F.col("_prev").alias("previous_version"))
+    wanted = found.select(F.col("_guid").alias("_of"), F.col("_prev").alias("_at")).distinct()
+    bodies = versions.join(wanted, (F.col("body.guid") == F.col("_of")) & (F.col("body.updateTime") == F.col("_at")))
+    bodies = bodies.groupBy("_of", "_at").agg(F.max_by("body", F.to_json("body")).alias("previous_version"))
+    answers = found.join(bodies, (F.col("_guid") == F.col("_of")) & (F.col("_prev") == F.col("_at")))
     return messages.withColumn("_key", spread(ok, F.col("entity.guid"))).join(
-        answers, (F.col("_key") == F.col("_guid")) & (F.col("msg_creation_time") == F.col("_t")), "left"
+        answers.select("_guid", "_t", "previous_version"),
+        (F.col("_key") == F.col("_guid")) & (F.col("msg_creation_time") == F.col("_t")), "left"
     ).drop("_guid", "_t", "_key")
 
 
-def previous_version_asof(messages: DataFrame, versions: DataFrame, **options) -> DataFrame:
+def previous_version_asof(messages: DataFrame, versions: DataFrame) -> DataFrame:
     """The version with the greatest update time strictly before each message."""
-    return as_of(messages, versions, strict=True, **options)
+    return as_of(messages, versions, strict=True)
 
 
 def previous_version_create_bypass(messages: DataFrame) -> DataFrame:

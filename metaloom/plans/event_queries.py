@@ -113,7 +113,7 @@ def outcome(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- sources
 @query("source_change_log", "SELECT props AS value FROM events")
 def q_source_change_log(spark, sf):
-    return source_change_log(spark, {"path": f"{sf}/events.parquet", "column": "props"}, streaming=False)
+    return source_change_log(spark, {"path": f"{sf}/events.parquet", "column": "props"}, streaming=False).select("value")
 
 
 @query("source_collection", "SELECT event_id, event_type, value FROM events")
@@ -139,7 +139,7 @@ UNION ALL
 SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'validation' FROM events""")
 def q_parse_notifications(spark, sf):
     # The properties of the events are JSON too, but no notifications.
-    text_rows = raw(spark, sf).unionByName(table(spark, sf, "events").select(F.col("props").alias("value")))
+    text_rows = raw(spark, sf).select("value").unionByName(table(spark, sf, "events").select(F.col("props").alias("value")))
     raw_attr = F.col("entity.attributes")
     return validate.parse_notifications(text_rows).select(
         "msg_creation_time", "event_time", "operation", F.col("entity.guid").alias("guid"),
@@ -425,7 +425,7 @@ def q_diff_errors(spark, sf):
 
 
 @query("entity_message", f"""WITH {EV}
-SELECT guid || '_' || ms || '_0' AS change_id, guid, typ AS type_name, op AS original_event_type,
+SELECT guid || '_' || ms || '_' || lpad(CAST(event_id AS VARCHAR), 12, '0') || '_0' AS change_id, guid, typ AS type_name, op AS original_event_type,
   'EntityAttributeAudit' AS event_type, true AS direct_change, ms / 1000.0 AS msg_creation_time,
   '' AS inserted_attributes, CAST(0 AS INTEGER) AS changed_relationships FROM valid""")
 def q_entity_message(spark, sf):
@@ -582,7 +582,7 @@ def q_export_entities_by_name(spark, sf):
                             "o_orderkey", "m4i_field", F.col("o_orderstatus"), relations("to", "m4i_data_attribute")))
         .unionByName(bodies(part, "P", "p_partkey", "m4i_data_attribute", F.col("p_name"), F.create_map()))
     )
-    out = index_rules.export_entities_by_name(cut(entities), ["m4i_dataset"], "7", full=True, cut=cut)
+    out = index_rules.export_entities_by_name(cut(entities), ["m4i_dataset"], "7", full=True)
     return out.select(F.col("body.guid").alias("guid"), F.col("body.typeName").alias("type_name"))
 
 

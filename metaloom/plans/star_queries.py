@@ -228,7 +228,7 @@ entry AS (
 {link_sql('entry', 'fresh, guid')}""")
 def q_link_documents(spark, sf):
     base, pairs = arrived(spark, sf)
-    return link_rows(apply_edits(base, created.link_documents(pairs, base)))
+    return link_rows(apply_edits(base, created.link_documents(pairs)))
 
 
 @query("create_breadcrumb_from_parent", f"""WITH {star_sql()}
@@ -360,6 +360,17 @@ def q_sink_document_upserts(spark, sf):
         value.isNull().alias("no_value"), (F.col("key") == F.col("value")).alias("key_is_value"))
 
 
+@query("apply_published_documents", f"""WITH {_FLAT}
+SELECT guid, name, array_to_string(pg, '/') AS path FROM nodes WHERE guid NOT IN (SELECT guid FROM flat)
+UNION ALL SELECT guid, name, array_to_string(pg, '/') FROM flat WHERE NOT deleted""")
+def q_apply_published_documents(spark, sf):
+    """The document table kept up to date from the text that was published for a topic."""
+    published = sinks.sink_document_upserts(after_deletions(spark, sf)).withColumn("offset", F.lit(1))
+    changes = sinks.parse_document_changes(published, "offset")
+    docs = sinks.apply_document_changes(Star(spark, sf).documents(), changes, "guid", "offset")
+    return docs.select("guid", "name", F.array_join("breadcrumbguid", "/").alias("path"))
+
+
 # --------------------------------------------------------------------------- relationship changes
 LOST = f"urgent AS ({URGENT})"
 
@@ -405,7 +416,7 @@ entry AS (SELECT * FROM lk WHERE doc IN (SELECT doc FROM removed)
 def q_audit_unlink(spark, sf):
     docs = Star(spark, sf).documents()
     lost, pairs = lost_refs(losses(spark, sf).unionByName(returns(spark, sf)), docs)
-    return link_rows(apply_edits(docs, relationship_audit.audit_unlink(pairs, docs)))
+    return link_rows(apply_edits(docs, relationship_audit.audit_unlink(pairs)))
 
 
 @query("audit_reset_root_breadcrumb", f"""WITH {LOST}
@@ -475,21 +486,21 @@ FROM urgent JOIN customer ON c_custkey = o_custkey JOIN cus c ON c.guid = owner"
 def q_audit_finalize_parent(spark, sf):
     changes, docs = losses(spark, sf), Star(spark, sf).documents()
     _, pairs = lost_refs(changes, docs)
-    edits = cut(relationship_audit.audit_unlink(pairs, docs).unionByName(
+    edits = cut(relationship_audit.audit_unlink(pairs).unionByName(
         relationship_audit.audit_reset_root_breadcrumb(changes)))
     final = relationship_audit.audit_finalize_parent(changes, edits)
     after = apply_edits(docs, edits.unionByName(final))
     return after.filter(F.col("typename") == "m4i_dataset").select("guid", "parentguid")
 
 
-@query("message_atomicity", f"""WITH {LOST}
-SELECT 'C' || c_custkey || '_3000_1' AS change_id, 2 * count(*) AS link_edits FROM urgent
-JOIN customer ON c_custkey = o_custkey + 1 WHERE c_acctbal >= 0 GROUP BY c_custkey""")
+@query("message_atomicity", f"""WITH {LOST},
+made AS (SELECT 'C' || c_custkey AS owner_now, moved FROM urgent JOIN customer ON c_custkey = o_custkey + 1 WHERE c_acctbal >= 0)
+SELECT owner_now || '_3000_1' AS change_id, owner_now AS doc, 'derivedfield' AS field, moved AS guid FROM made
+UNION ALL SELECT owner_now || '_3000_1', moved, 'deriveddataset', owner_now FROM made""")
 def q_message_atomicity(spark, sf):
     changes, docs = gains(spark, sf), Star(spark, sf).documents()
     edits, errors = relationship_audit.relationship_audit(changes, docs)
-    return fold.message_atomicity(edits, errors).groupBy("change_id").agg(
-        F.count(F.when(F.col("kind") == "link", 1)).alias("link_edits"))
+    return fold.message_atomicity(edits, errors).filter("kind = 'link'").select("change_id", "doc", "field", "guid")
 
 
 

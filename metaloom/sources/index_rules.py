@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metaloom.functions.attributes import guids_of, text
+from metaloom.functions.state import cut
 from metaloom.schemas import RETENTION_DAYS
 
 DAY_MS = 86_400_000
@@ -40,30 +41,23 @@ def retention_delete(df: DataFrame, now_ms, days: int = RETENTION_DAYS, time_col
 
 
 def export_entities_by_name(entities: DataFrame, types: list[str], contains: str, full: bool = False,
-                            max_depth: int = 8, attribute: str = "qualifiedName", cut=None) -> DataFrame:
+                            attribute: str = "qualifiedName") -> DataFrame:
     """Entities (column ``body``) of the given types whose qualified name contains a text.
 
-    ``full`` adds everything reachable over relationships, in at most ``max_depth`` steps. ``cut`` (a
-    function DataFrame -> DataFrame, e.g. ``lambda df: df.checkpoint()``) shortens the plan after each step.
+    ``full`` adds everything that can be reached over relationships, in as many steps as it takes.
     """
     name = text(F.col("body.attributes"), attribute)
     chosen = entities.filter(F.col("body.typeName").isin(types) & F.contains(name, F.lit(contains)))
     if not full:
         return chosen
-    edges = entities.select(
+    edges = cut(entities.select(
         F.col("body.guid").alias("from"), F.explode(guids_of(F.col("body.relationshipAttributes"))).alias("guid")
-    ).distinct()
-    reached = frontier = chosen.select(F.col("body.guid").alias("guid")).distinct()
-    for _ in range(max_depth):
-        step = (
-            edges.join(frontier.withColumnRenamed("guid", "from"), "from", "left_semi").select("guid").distinct()
-            .join(reached, "guid", "left_anti")
-        )
-        if cut is not None:
-            step = cut(step)
-            if step.isEmpty():
-                break
-        reached, frontier = reached.unionByName(step), step
+    ).distinct())
+    reached = frontier = cut(chosen.select(F.col("body.guid").alias("guid")).distinct())
+    while not frontier.isEmpty():
+        step = edges.join(frontier.withColumnRenamed("guid", "from"), "from", "left_semi").select("guid").distinct()
+        frontier = cut(step.join(reached, "guid", "left_anti"))
+        reached = cut(reached.unionByName(frontier))
     return entities.join(reached.select(F.col("guid").alias("_guid")), F.col("body.guid") == F.col("_guid"),
                          "left_semi")
 

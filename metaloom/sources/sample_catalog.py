@@ -50,6 +50,11 @@ def staged(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     return _STAGED[key]
 
 
+def forget() -> None:
+    """Forget what was staged; the next query that needs it builds it anew."""
+    _STAGED.clear()
+
+
 # --------------------------------------------------------------------------- change log
 def event_rows(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
@@ -93,7 +98,7 @@ def _json_entity() -> Column:
 
 
 def notifications(spark: SparkSession, sf: str) -> DataFrame:
-    """Notification text in ``value``, one per event."""
+    """Notification text in ``value``, one per event, and its ``position``."""
     found = F.when(F.col("has_entity"), _json_entity()).otherwise(F.lit("null"))
     ms = F.col("ms").cast("string")
     return event_rows(spark, sf).select(
@@ -102,14 +107,15 @@ def notifications(spark: SparkSession, sf: str) -> DataFrame:
                   '"msgSplitCount":1,"msgSourceIp":"10.0.0.1","msgCreatedBy":"catalog","msgCreationTime":'), ms,
             F.lit(',"spooled":false,"message":{"eventTime":'), ms, F.lit(',"operationType":"'), F.col("operation"),
             F.lit('","type":"ENTITY_NOTIFICATION_V2","entity":'), found, F.lit("}}"),
-        ).alias("value")
+        ).alias("value"),
+        F.format_string("%012d", "event_id").alias("position"),
     )
 
 
 def current_entities(messages: DataFrame) -> DataFrame:
     """(body): the entity of the latest create or update of each guid, unless a delete came later."""
     last = messages.filter(F.col("error").isNull()).groupBy("entity.guid").agg(
-        F.max_by(F.struct("operation", "entity"), "msg_creation_time").alias("last")
+        F.max_by(F.struct("operation", "entity"), F.struct("msg_creation_time", "position")).alias("last")
     )
     return last.filter(F.col("last.operation") != "ENTITY_DELETE").select(F.col("last.entity").alias("body"))
 
@@ -258,7 +264,8 @@ def change(df: DataFrame, event_type: str, guid: Column, type_name: str, ms, seq
     nothing = F.lit(None).cast(ENTITY)
     values = {
         "change_id": F.concat_ws("_", guid, ms.cast("string"), F.lit(str(seq))),
-        "ord": F.struct(ms.cast("bigint").alias("ms"), guid.alias("guid"), F.lit(seq).alias("seq")).cast(ORDER),
+        "ord": F.struct(
+            ms.cast("bigint").alias("ms"), F.lit("").alias("pos"), guid.alias("guid"), F.lit(seq).alias("seq")).cast(ORDER),
         "type_name": F.lit(type_name),
         "guid": guid,
         "original_event_type": F.lit("ENTITY_UPDATE"),

@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from metaloom.functions.state import cut
 from metaloom.operators.diff import determine_changes
 from metaloom.operators.validate import enriched, split_main_errors
-from metaloom.operators.versions import entity_versions, previous_version_wait, versions_dedupe
+from metaloom.operators.versions import entity_versions, previous_version_wait, versions_dedupe, with_versions
 from metaloom.plans.fold import fold
 from metaloom.schemas import DOCUMENT, ENTITY_VERSION, HIERARCHY_RULES
 from metaloom.sources.sinks import dead_letter, sink_document_upserts, sink_entity_versions
@@ -60,16 +60,25 @@ class Catalog:
         if before <= 0:
             return spark.createDataFrame([], ENTITY_VERSION)
         history = spark.read.schema(f"{ENTITY_VERSION}, batch bigint").parquet(f"{self.root}/versions")
-        return history.filter(F.col("batch") < before).drop("batch")
+        history = history.filter(F.col("batch") < before)
+        # A version that came again replaces the one of the batch before.
+        again = history.groupBy("doc_id").agg(F.max("batch").alias("batch"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        stale = history.select("doc_id", "batch").join(again.select("doc_id", F.col("batch").alias("last")), "doc_id")
+        return history.join(stale.filter("batch < last").select("doc_id", "batch"), ["doc_id", "batch"], "left_anti").drop("batch")
 
     def errors(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.root}/errors")
 
 
+def _log(batch: DataFrame) -> DataFrame:
+    """Text and, if the source has them, positions."""
+    return batch.select(*[c for c in ("value", "position") if c in batch.columns])
+
+
 def publish_batch(batch: DataFrame, number: int, catalog: Catalog) -> None:
     """Add the versions of one micro-batch, and the text to publish for them."""
     spark = batch.sparkSession
-    checked = cut(enriched(batch.select("value"), catalog.current(spark), catalog.types(spark), catalog.mode))
+    checked = cut(enriched(_log(batch), catalog.current(spark), catalog.types(spark), catalog.mode))
     main, failed = split_main_errors(checked)
     fresh = versions_dedupe(entity_versions(main)).select("body", "doc_id", "event_time", "msg_creation_time")
     catalog.write(fresh, "versions", number)
@@ -81,10 +90,10 @@ def synchronize_batch(batch: DataFrame, number: int, catalog: Catalog) -> None:
     """Bring history and documents up to date with one micro-batch."""
     spark = batch.sparkSession
     now = catalog.clock()
-    checked = cut(enriched(batch.select("value"), catalog.current(spark), catalog.types(spark), catalog.mode))
+    checked = cut(enriched(_log(batch), catalog.current(spark), catalog.types(spark), catalog.mode))
     main, failed = split_main_errors(checked)
     fresh = cut(versions_dedupe(entity_versions(main)).select("body", "doc_id", "event_time", "msg_creation_time"))
-    history = versions_dedupe(catalog.versions(spark, number).unionByName(fresh))
+    history = with_versions(catalog.versions(spark, number), fresh)
 
     waiting = main.withColumn("first_seen", F.lit(now))
     if number > 0:

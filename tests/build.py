@@ -70,8 +70,9 @@ def changes(spark, *rows):
                "inserted_relationships": {}, "changed_relationships": {}, "deleted_relationships": {},
                "direct_change": True, **row}
         ms, seq = out.pop("ms", 1), out.pop("seq", 0)
-        out["ord"] = {"ms": ms, "guid": out["guid"], "seq": seq}
-        out["change_id"] = f"{out['guid']}_{ms}_{seq}"
+        pos = out.pop("pos", "")
+        out["ord"] = {"ms": ms, "pos": pos, "guid": out["guid"], "seq": seq}
+        out["change_id"] = f"{out['guid']}_{ms}_{pos}_{seq}"
         out["msg_creation_time"] = ms / 1000
         for side in ("old_value", "new_value"):
             if out.get(side):

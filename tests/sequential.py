@@ -169,7 +169,7 @@ def apply_all(changes):
     from copy import deepcopy
 
     table, failed = {}, 0
-    for change in sorted(changes, key=lambda c: (c["ms"], c["guid"], c.get("seq", 0))):
+    for change in sorted(changes, key=lambda c: (c["ms"], c.get("pos", ""), c["guid"], c.get("seq", 0))):
         trial = deepcopy(table)
         row = {"inserted_attributes": [], "changed_attributes": [], "inserted_relationships": {},
                "deleted_relationships": {}, "old_value": None, "new_value": None, **change}

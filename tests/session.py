@@ -1,5 +1,7 @@
 """The session of tests and trial runs."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 from metaloom.functions.skew import SETTINGS
@@ -11,6 +13,7 @@ def session(**more):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="metaloom-checkpoint-"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from metaloom.operators import diff, validate, versions
+from metaloom.operators.validate import parse_notifications
+from metaloom.schemas import ENTITY
+from metaloom.sources import index_rules
+from metaloom.sources.change_log import source_change_log
 from tests.build import ent, messages, note, pair, refs
 
 
@@ -55,20 +60,84 @@ def test_previous_version_is_strictly_older(spark):
                    ("2", "ENTITY_DELETE", None, "no_previous_version")]
 
 
-def test_heavy_entities_are_sliced_without_changing_the_answer(spark):
-    rng = random.Random(1)
+@pytest.mark.parametrize("partitions", [1, 3, 11])
+def test_previous_version_of_an_entity_that_holds_most_rows(spark, partitions):
+    """One entity within a second: its times are dealt to many pieces, with the same answers."""
+    rng = random.Random(partitions)
     log = [(rng.choice(["hot"] * 5 + ["a", "b"]), rng.randrange(300)) for _ in range(400)]
     versions_at = sorted({(rng.choice(["hot", "hot", "a"]), rng.randrange(300)) for _ in range(60)})
     asked = messages(spark, *[note("UPDATE", ent(g), t) for g, t in log])
     history = versions.entity_versions(messages(spark, *[note("UPDATE", ent(g), t) for g, t in versions_at]))
-    for strict in (True, False):
-        out = versions.as_of(asked, history, strict=strict, width_ms=17, heavy=["hot"]).collect()
-        assert len(out) == len(log)
-        for r in out:
-            g, t = r["entity"]["guid"], r["msg_creation_time"]
-            older = [v for h, v in versions_at if h == g and (v < t or (not strict and v == t))]
-            got = r["previous_version"]
-            assert (got and got["updateTime"]) == (max(older) if older else None)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        for strict in (True, False):
+            out = versions.as_of(asked, history, strict=strict).collect()
+            assert len(out) == len(log)
+            for r in out:
+                g, t = r["entity"]["guid"], r["msg_creation_time"]
+                older = [v for h, v in versions_at if h == g and (v < t or (not strict and v == t))]
+                got = r["previous_version"]
+                assert (got and got["updateTime"]) == (max(older) if older else None)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_no_body_below_the_window_of_the_lookup(spark, monkeypatch):
+    monkeypatch.setattr(versions, "cut", lambda df: df)
+    asked = messages(spark, note("UPDATE", ent("1"), 5))
+    history = versions.entity_versions(messages(spark, note("CREATE", ent("1"), 4)))
+    plan = versions.as_of(asked, history)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window" in line]
+    assert windows and not any("body" in line or "attributes" in line for line in windows)
+
+
+def test_the_last_version_of_an_id_stays(spark):
+    rows = [(note("UPDATE", ent("1", attributes={"k": k}), 5), f"{p:03d}") for k, p in (("first", 1), ("last", 7), ("middle", 4))]
+    for order in (rows, rows[::-1]):
+        log = parse_notifications(spark.createDataFrame(order, "value string, position string"))
+        kept = versions.versions_dedupe(versions.entity_versions(log)).collect()
+        assert [(r["doc_id"], r["body"]["attributes"]["k"]) for r in kept] == [("1_5", '"last"')]
+    before = versions.entity_versions(messages(spark, note("UPDATE", ent("1", attributes={"k": "old"}), 5), note("UPDATE", ent("2"), 6)))
+    columns = ["body", "doc_id", "event_time", "msg_creation_time"]
+    both = versions.with_versions(before.select(*columns), versions.versions_dedupe(versions.entity_versions(log)).select(*columns)).collect()
+    assert sorted((r["doc_id"], r["body"]["attributes"].get("k")) for r in both) == [("1_5", '"last"'), ("2_6", None)]
+
+
+def test_numbers_of_one_value_are_equal(spark):
+    text = lambda n: note("UPDATE", ent("1", attributes={"n": "@", "deep": {"x": ["#", "1.0"]}})).replace('"@"', n).replace('"#"', n)
+    got = {n: messages(spark, text(n)).first()["entity"]["attributes"] for n in ("1", "1.0", "1e0", "1.00", "10e-1")}
+    assert all(a == {"n": "1", "deep": '{"x":[1,"1.0"]}'} for a in got.values())
+    other = {n: messages(spark, text(n)).first()["entity"]["attributes"]["n"] for n in ("1.5", "10", "1e3", "1e8", "100000000.0", "-0.0")}
+    assert other == {"1.5": "1.5", "10": "10", "1e3": "1000", "1e8": "100000000", "100000000.0": "100000000", "-0.0": "0"}
+
+
+def test_changes_of_one_time_have_ids_of_their_own(spark):
+    log = parse_notifications(spark.createDataFrame(
+        [(note("CREATE", ent("1"), 5), "a"), (note("CREATE", ent("1"), 5), "b"), (note("CREATE", ent("1"), 5), "b")], "value string, position string"))
+    rows = diff.diff_create(log.withColumn("previous_version", F.lit(None).cast(ENTITY))).collect()
+    assert sorted(r["change_id"] for r in rows) == ["1_5_a_0", "1_5_b_0", "1_5_b_0"] and {r["ord"]["pos"] for r in rows} == {"a", "b"}
+    unplaced = messages(spark, note("CREATE", ent("1"), 5), note("CREATE", ent("1"), 5), note("CREATE", ent("1", attributes={"a": 1}), 5))
+    assert len({r["position"] for r in unplaced.collect()}) == 2
+
+
+def test_positions_sort_like_the_log(spark, tmp_path):
+    spark.range(0, 30).selectExpr("'m' || id AS text").coalesce(1).write.parquet(str(tmp_path / "log"))
+    rows = source_change_log(spark, {"path": str(tmp_path / "log"), "column": "text"}, streaming=False).orderBy("position").collect()
+    assert [r["value"] for r in rows] == [f"m{i}" for i in range(30)] and len({r["position"] for r in rows}) == 30
+
+
+def test_export_follows_a_long_chain(spark):
+    bodies = [ent(f"e{i}", "m4i_dataset", {"qualifiedName": "start" if i == 0 else f"n{i}"}, {"next": refs(f"e{i + 1}")} if i < 13 else {}) for i in range(14)]
+    entities = messages(spark, *[note("UPDATE", b) for b in [*bodies, ent("apart", "m4i_dataset", {"qualifiedName": "x"})]]).select(F.col("entity").alias("body"))
+    found = index_rules.export_entities_by_name(entities, ["m4i_dataset"], "start", full=True).collect()
+    assert {r["body"]["guid"] for r in found} == {f"e{i}" for i in range(14)}
+
+
+def test_import_keeps_versions_that_are_there(spark):
+    have = versions.entity_versions(messages(spark, note("UPDATE", ent("1", attributes={"k": "mine"}), 5))).drop("position")
+    came = versions.entity_versions(messages(spark, note("UPDATE", ent("1", attributes={"k": "theirs"}), 5), note("UPDATE", ent("2"), 6))).drop("position")
+    got = index_rules.import_entities(have, came).collect()
+    assert sorted((r["doc_id"], r["body"]["attributes"].get("k")) for r in got) == [("1_5", '"mine"'), ("2_6", None)]
 
 
 def test_waiting_messages_resolve_stay_or_expire(spark):
