@@ -248,9 +248,10 @@ def repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col:
     kept = cut(suffixes(rows, core))
     compared = neighbours(kept, ["key"], then=("doc_id", "spot", "pos")).where("shared >= 0")
     equal = cut(compared.groupBy("doc_id", "spot", "pos", "key").agg(F.min("first").alias("first")))
-    near = f"OVER (PARTITION BY doc_id, spot ORDER BY pos)"
+    near = "OVER (PARTITION BY doc_id, spot ORDER BY pos)"
     ends = equal.select("*", F.expr(f"pos - lag(pos) {near}").alias("gap"), F.expr(f"lead(pos) {near} - pos").alias("next"))
-    at_end = ends.where(f"gap IS NULL OR gap > {core} OR next IS NULL OR next > {core}").select("key").distinct()
+    # Written down, so that the join below reads both sides from shuffles and can split a key that very many share.
+    at_end = cut(ends.where(f"gap IS NULL OR gap > {core} OR next IS NULL OR next > {core}").select("key").distinct())
     asked = equal.join(at_end, "key").groupBy("doc_id", "spot").agg(F.collect_list(F.struct("pos", "key")).alias("places"))
     asked = asked.withColumnsRenamed({"doc_id": "of", "spot": "at"})
     texts = rows.join(asked, F.expr("spot = at AND doc_id <=> of")).select("doc_id", "spot", "body", "places")
