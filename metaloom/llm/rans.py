@@ -12,8 +12,8 @@ import zlib
 
 import numpy as np
 
-LANES = 1024
-BLOCK = 1 << 19
+LANES = 2048
+BLOCK = 1 << 20
 CHECKPOINT_STEPS = 256
 
 _LOW = np.uint64(1 << 31)
@@ -52,7 +52,7 @@ class Table:
         numbers, n = np.array(symbols, np.int64)[order], np.array(counts, np.float64)[order]
         if not len(n):
             return cls(numbers, np.zeros(0), 0)
-        bits = min(24, max(12, int(len(n)).bit_length() + 5))
+        bits = min(24, max(16, int(len(n)).bit_length() + 5))
         slots = np.maximum(1, np.floor(n / n.sum() * (1 << bits))).astype(np.int64)
         off = (1 << bits) - int(slots.sum())
         for i in np.argsort(-slots, kind="stable").tolist():
@@ -83,21 +83,23 @@ def encode(symbols: np.ndarray, table: Table, lanes: int = LANES, checkpoint_ste
     rank = table.rank[symbols] if n else np.zeros(0, np.int64)
     slots, starts = table.slots[rank], table.starts[rank]
     bits = np.uint64(table.bits)
-    full = np.uint64(63 - table.bits)
+    limits = slots << np.uint64(63 - table.bits)
     state = np.full(lanes, _LOW, np.uint64)
     out, sent, held = [], 0, []
     steps = -(-n // lanes)
     for k in range(steps - 1, -1, -1):
         f, c = slots[k * lanes : (k + 1) * lanes], starts[k * lanes : (k + 1) * lanes]
         x = state[: len(f)]
-        over = x >= (f << full)
-        if over.any():
-            words = x[over].astype(np.uint32)[::-1]
-            out.append(words)
+        over = np.flatnonzero(x >= limits[k * lanes : (k + 1) * lanes])
+        if len(over):
+            words = x[over]
+            out.append(words[::-1].astype(np.uint32))
             sent += len(words)
-            x[over] >>= _WORD
+            x[over] = words >> _WORD
         whole = x // f
-        state[: len(f)] = (whole << bits) + (x - whole * f) + c
+        # whole * 2^bits + the rest + the start, where the rest is x - whole * f
+        x += whole * ((np.uint64(1) << bits) - f)
+        x += c
         if k and k % checkpoint_steps == 0:
             held.append((sent, state.copy()))
     stream = np.concatenate(out)[::-1] if out else np.zeros(0, np.uint32)
@@ -147,8 +149,8 @@ def decode(data: bytes, table: Table, first: int = 0, last: int | None = None) -
         rank = owner[slot]
         out[(k - begin) * lanes : (k - begin) * lanes + len(x)] = rank
         x = slots[rank] * (x >> bits) + slot - starts[rank]
-        low = x < _LOW
-        if (taken := np.count_nonzero(low)):
+        low = np.flatnonzero(x < _LOW)
+        if (taken := len(low)):
             x[low] = (x[low] << _WORD) | stream[place : place + taken]
             place += taken
         state[: len(x)] = x

@@ -35,46 +35,86 @@ END_ID = 2
 FILE_IDS = 64 << 20
 MAGIC = b"RANSTOK1"
 #: Pieces of text whose ids a worker remembers; it forgets all when it has so many.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 
 
-class Encoder(dict):
+#: The characters by which a byte-level model writes bytes: printable ones for themselves, others from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_MARKS = frozenset(".,;:!?")
+#: Letters below are such in every version of Unicode.
+_PLAIN_BELOW = "\u0250"
+
+
+class Pieces(dict):
+    """Ids of pieces that stand after ``before`` (a space or nothing), remembered."""
+
+    def __init__(self, encoder: Encoder, before: str):
+        super().__init__()
+        self.encoder, self.before = encoder, before
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        encoder = self.encoder
+        if piece.isalpha() and max(piece) < _PLAIN_BELOW:
+            found = encoder.word(self.before + piece)
+        elif piece[-1:] in _MARKS and piece[:-1].isalpha():
+            found = self[piece[:-1]] + encoder.bare_marks[piece[-1]]
+        elif 0 < (at := piece.find("\n")) < len(piece) - 1 and not piece[at - 1].isspace() and not piece[at + 1].isspace():
+            found = self[piece[:at]] + encoder.newline + encoder.bare[piece[at + 1 :]]
+        else:
+            found = encoder.encode(self.before + piece)
+        self[piece] = found
+        return found
+
+
+class Encoder:
     """Ids of a text as little-endian bytes, by the tokenizers library.
 
     A byte-level tokenizer always parts a text before a space that follows something else than white space, or that
-    something else follows. So the pieces between single spaces can be encoded, and remembered, one by one. Texts with
-    other white space beside a space, and other tokenizers, are encoded whole.
+    something else follows; likewise at a line feed between two such, and between letters and a mark after them. So the
+    pieces can be encoded, and remembered, one by one; a word of letters goes to the model directly. Texts with other white
+    space beside a space, and other tokenizers, are encoded whole.
     """
 
     def __init__(self, path: str, width: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             self.whole = not self.parts(json.load(f))
-        self.tokenizer, self.width = Tokenizer.from_file(path), width
+        self.tokenizer, self.code = Tokenizer.from_file(path), {"<u2": "H", "<u4": "I"}[width]
+        self.model = self.tokenizer.model
+        self.bare, self.spaced = Pieces(self, ""), Pieces(self, " ")
+        self.newline, self.bare_marks = self.encode("\n"), {c: self.encode(c) for c in _MARKS}
 
     @staticmethod
     def parts(config: dict) -> bool:
         split = config.get("pre_tokenizer") or {}
-        plain = all(not (t.get("lstrip") or t.get("rstrip") or " " in t["content"]) for t in config.get("added_tokens", []))
+        plain = all(not (t.get("lstrip") or t.get("rstrip") or t["content"].isalpha() or not _MARKS.isdisjoint(t["content"]) or any(c.isspace() for c in t["content"]))
+                    for t in config.get("added_tokens", []))
         return plain and config.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
 
+    def packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[piece] = self.encode(" " + piece)
-        return found
+    def word(self, text: str) -> bytes:
+        """Ids of letters, perhaps after a space; ASCII letters are written by themselves."""
+        if text.isascii():
+            printed = _BYTES[32] + text[1:] if text[0] == " " else text
+        else:
+            printed = "".join(map(_BYTES.__getitem__, text.encode()))
+        return self.packed([t.id for t in self.model.tokenize(printed)])
 
     def ids(self, text: str) -> bytes:
         if self.whole or beside_space(text):
             return self.encode(text)
         first, *rest = text.split(" ")
-        return (self.encode(first) if first else b"") + b"".join(map(self.__getitem__, rest))
+        return (self.bare[first] if first else b"") + b"".join(map(self.spaced.__getitem__, rest))
 
 
 #: White space but the space itself.
@@ -109,16 +149,29 @@ def _width(path: str, end_id: int) -> str:
 
 
 def tokenize(documents: DataFrame, *, id_col: str, text_col: str, tokenizer: str, end_id: int, width: str) -> DataFrame:
-    """doc_id and ids (bytes compressed by themselves), the end id included."""
+    """doc_id and ids (bytes compressed by themselves), the end id included.
+
+    Each task adds a row with ``counts`` alone: how often it has seen which id, as pairs of 64-bit numbers.
+    """
     rows = pick(documents, doc_id=id_col, body=text_col)
-    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("ids", T.BinaryType())])
+    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("ids", T.BinaryType()), T.StructField("counts", T.BinaryType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = _encoder(tokenizer, width), zstandard.ZstdCompressor(level=3)
-        end = np.array([end_id], width).tobytes()
+        encoder, packer = _encoder(tokenizer, width), zstandard.ZstdCompressor(level=1)
+        end, total, id_type = encoder.packed([end_id]), np.zeros(0, np.int64), None
         for batch in batches:
-            ids = [packer.compress((encoder.ids(t.decode("utf-8", "replace")) if t else b"") + end) for t in utf8(batch, "body")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], names=schema.names)
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                ids = [(encoder.ids(t.decode("utf-8", "replace")) if t else b"") + end for t in utf8(part, "body")]
+                seen = np.bincount(np.frombuffer(b"".join(ids), width), minlength=len(total))
+                seen[: len(total)] += total
+                total, id_type = seen, part.column("doc_id").type
+                packed = pa.array(map(packer.compress, ids), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), packed, pa.nulls(len(ids), pa.binary())], names=schema.names)
+        if id_type is not None:
+            found = np.flatnonzero(total)
+            pairs = np.stack([found, total[found]]).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, id_type), pa.nulls(1, pa.binary()), pa.array([pairs], pa.binary())], names=schema.names)
 
     return rows.mapInArrow(encode, schema)
 
@@ -128,20 +181,17 @@ def _unpacked(batch: pa.RecordBatch, width: str) -> list[np.ndarray]:
     return [np.frombuffer(opener.decompress(b), width) for b in batch.column("ids").to_pylist()]
 
 
-def count_ids(tokens: DataFrame, width: str) -> DataFrame:
-    """(id, n) over the whole corpus."""
+def count_ids(tokens: DataFrame) -> DataFrame:
+    """(id, n) over the whole corpus, from what each task has counted."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids in _unpacked(batch, width):
-                seen = np.bincount(ids, minlength=len(total))
-                seen[: len(total)] += total
-                total = seen
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], names=["id", "n"])
+            for pairs in batch.column("counts").to_pylist():
+                ids, n = np.frombuffer(pairs, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
 
-    return tokens.mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = tokens.where("counts IS NOT NULL").select("counts")
+    return counted.mapInArrow(opened, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 class Writer:
@@ -200,11 +250,12 @@ def write_token_files(
     tokenizer = tokenizer or default_tokenizer()
     width = _width(tokenizer, end_id)
     tokens = cut(tokenize(documents, id_col=id_col, text_col=text_col, tokenizer=tokenizer, end_id=end_id, width=width))
-    counts = count_ids(tokens, width).collect()
+    counts = count_ids(tokens).collect()
     table = rans.Table.of([r["id"] for r in counts], [r["n"] for r in counts])
     with create(f"{folder}/table.bin") as f:
         f.write(table.to_bytes())
     known = documents.sparkSession.sparkContext.broadcast(table.to_bytes())
+    tokens = tokens.where("ids IS NOT NULL").select("doc_id", "ids")
     ordered = tokens.withColumn("spot", F.xxhash64("ids")).repartitionByRange("doc_id", "spot").sortWithinPartitions("doc_id", "spot", "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
