@@ -66,7 +66,9 @@ def kept_by(df: DataFrame, column: str, prepare: Callable[[], Callable[[list[byt
         decide = None
         for batch in batches:
             decide = decide or prepare()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decide(utf8(batch, source)), pa.bool_())], names=schema.names)
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decide(utf8(part, source)), pa.bool_())], names=schema.names)
 
     return plain.mapInArrow(run, schema).where("kept").drop("kept").toDF(*names)
 

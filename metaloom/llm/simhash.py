@@ -221,8 +221,10 @@ def fingerprints(documents: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(t, shingle) for t in utf8(batch, "body")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("spot"), pa.array(found, pa.int64())], names=schema.names)
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                found = [fingerprint(t, shingle) for t in utf8(part, "body")]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("spot"), pa.array(found, pa.int64())], names=schema.names)
 
     return rows.mapInArrow(take, schema)
 

@@ -39,7 +39,7 @@ HELD_OUT_OF = 5
 LEAST_DOCS, LEAST_ODDS = 8, 2.0
 PREFIXES = (4, 5, 6)
 #: Tokens that a worker remembers; it forgets all when it has so many.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 #: What a character can stand for, and the cost. The empty text leaves it out; a space parts two words.
 LEET = {
@@ -173,9 +173,9 @@ def trigrams(documents: DataFrame, text_col: str = "text") -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-        for batch in batches:
+        for part in (batch.slice(i, 2000) for batch in batches for i in range(0, batch.num_rows, 2000)):
             tokens: Counter = Counter()
-            for text in utf8(batch, "body"):
+            for text in utf8(part, "body"):
                 if text:
                     tokens.update(_words(text))
             for token, n in tokens.items():
@@ -328,7 +328,9 @@ def score_toxicity(
         own = None
         for batch in batches:
             own = scorer() if own is None else own
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([own.score(t) for t in utf8(batch, "body")], pa.float64())], names=schema.names)
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([own.score(t) for t in utf8(part, "body")], pa.float64())], names=schema.names)
 
     found = rows.mapInArrow(score, schema)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
