@@ -3,7 +3,9 @@
 A token that is not plain letters, one with a letter three times in a row, and single letters in a row are read as a
 lattice: each character stands for some letters at a cost (leetspeak), for nothing (a separator), or for a parting of
 words, and a run of one letter for one or two of it. The cheapest path under a character trigram model gives the
-restored words. A plain token's lattice has one path, so it is taken as it is. The trigrams are counted over the words
+restored words, at a cost that grows with the token's length, which may be any. Words joined by punctuation are restored
+one by one; in a token of words and single characters, the neighbouring short parts and the whole are read too. A plain
+token's lattice has one path, so it is taken as it is. The trigrams are counted over the words
 of all documents, in cased letters only, which bounds the model by the alphabets.
 
 The score is a logistic regression on how many words of a text are toxic, by how much, and what share. Words and word beginnings
@@ -23,6 +25,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +52,14 @@ LEET = {
 #: Letters drawn with several characters.
 DRAWN = {"|-|": "h", "|_|": "u", "|<": "k", "|)": "d", "|3": "b", "|2": "r", "()": "o", "\\/\\/": "w", "\\/": "v"}
 LEET_COST, DROP_COST, DROP_DIGIT_COST, PART_COST, MASK_COST, RUN_COST = 0.7, 0.5, 8.0, 4.0, 3.0, 0.3
+#: Letters of a piece of a word, at most.
+SHORT = 3
 MASKS, VOWELS = "*#", "aeiou"
 EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…|*%&#~^`=-_/\\"
 
 _RUN = re.compile(r"(.)\1\1")
 _SPACED = re.compile(r"(?:^|(?<=\s))\S(?:[^\S\n]\S){3,}(?=\s|$)", re.MULTILINE)
-_NOISE = re.compile(r"([^\w\s])\1+$")
+_NOISE = re.compile(r"([^\w\s])\1")
 _PARTS = re.compile(r"[.,;:/_|&+=<>()\[\]\"'’-]+")
 
 
@@ -110,10 +115,10 @@ def lattice(text: str) -> list[list[tuple[str, float]]]:
 
 def viterbi(text: str, model: Model) -> list[str]:
     """The words of the cheapest path."""
-    best: dict[str, tuple[float, str]] = {"^^": (0.0, "")}
+    best: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}  # a path is (path before, letters)
     for options in lattice(text):
-        after: dict[str, tuple[float, str]] = {}
-        for before, (paid, word) in best.items():
+        after: dict[str, tuple[float, tuple | None]] = {}
+        for before, (paid, path) in best.items():
             for letters, cost in options:
                 state, total = before, paid + cost
                 for x in letters:
@@ -125,9 +130,19 @@ def viterbi(text: str, model: Model) -> list[str]:
                         total += model.cost(state, x)
                         state = state[1] + x
                 if state not in after or total < after[state][0]:
-                    after[state] = total, word + letters
+                    after[state] = total, (path, letters) if letters else path
         best = after
-    return min((paid + model.cost(state, "$"), word) for state, (paid, word) in best.items())[1].split()
+    ends = [(paid + model.cost(state, "$"), path) for state, (paid, path) in best.items()]
+    least = min(paid for paid, _ in ends)
+    return min(_along(path) for paid, path in ends if paid == least).split()
+
+
+def _along(path: tuple | None) -> str:
+    letters = []
+    while path is not None:
+        path, x = path
+        letters.append(x)
+    return "".join(reversed(letters))
 
 
 def plain(token: str) -> str | None:
@@ -144,13 +159,20 @@ def restored(token: str, model: Model) -> list[str]:
     word = token.lower().strip(".,;:?\"'«»„“”‘’…")
     for drawn, letter in DRAWN.items():
         word = word.replace(drawn, letter)
-    word = _NOISE.sub("", word) if not _NOISE.fullmatch(word) else ""
-    if len(word) > 64 or not any(c.isalpha() for c in word):
+    if _NOISE.fullmatch(word[-2:]):
+        word = word.rstrip(word[-1])
+    if not any(c.isalpha() for c in word):
         return [word] if word else []
     parts = [p for p in _PARTS.split(word) if p]
     if len(parts) > 1 and sum(len(p) > 1 for p in parts) >= len(parts) - 1 and not any(p.isdigit() and len(p) == 1 for p in parts):
         return [w for p in parts for w in restored(p, model)]
-    return viterbi(word, model)
+    found = viterbi(word, model)
+    for most in (1, SHORT):  # some parts are words, others pieces of one
+        for short, run in groupby(parts, lambda p: len(p) <= most):
+            run = list(run)
+            if len(run) < len(parts):
+                found += viterbi(" ".join(run), model) if short else [w for p in run for w in restored(p, model)]
+    return list(dict.fromkeys(found))
 
 
 def spaced(text: str, model: Model) -> list[str]:

@@ -35,6 +35,14 @@ def test_channel_is_undone(model, hidden, words):
     assert toxicity.restored(hidden, model) == words
 
 
+@pytest.mark.parametrize("hidden, word", [
+    ("that/thing/" * 8 + "1d10t", "idiot"), ("the,and," * 20 + "m0r0n" + ",the" * 20, "moron"), ("http://that.thing/" + "the/1/" * 20 + "$tup1d", "stupid"),
+    ("that.thing." * 9 + "7.s.t.u.p.i.d.that", "stupid"), ("=" * 70 + "m0r0n", "moron"), ("the-1-" * 30_000 + "l-o-s-e-r", "loser"),
+])
+def test_long_tokens_are_restored(model, hidden, word):
+    assert len(hidden) > 64 and word in toxicity.restored(hidden, model)
+
+
 def test_spaced_letters(model):
     assert toxicity.spaced("and s t u p i d thing", model) == ["stupid"]
     assert toxicity.spaced("i d i 0 t", model) == ["idiot"]
