@@ -1,12 +1,14 @@
 """Toxicity of texts that may hide their words: a noisy channel undone by Viterbi, then a score of the restored words.
 
-A token that is not plain letters, one with a letter three times in a row, and single letters in a row are read as a
-lattice: each character stands for some letters at a cost (leetspeak), for nothing (a separator), or for a parting of
-words, and a run of one letter for one or two of it. The cheapest path under a character trigram model gives the
-restored words, at a cost that grows with the token's length, which may be any. Words joined by punctuation are restored
-one by one; in a token of words and single characters, the neighbouring short parts and the whole are read too. A plain
-token's lattice has one path, so it is taken as it is. The trigrams are counted over the words
-of all documents, in cased letters only, which bounds the model by the alphabets.
+A token that is not plain letters, one with a letter twice in a row or with signs at its edges that can stand for
+letters, and single letters in a row are read as a lattice: each character stands for some letters at a cost (leetspeak),
+for nothing (a separator), or for a parting of words, a mask after a letter or before the first one for any of a to z,
+other masks for vowels, and a run of one letter for one or two of it. The cheapest path under a character trigram model
+gives the restored words, at a cost that grows with the token's length, which may be any. Words joined by punctuation are
+restored one by one; in a token of words and single characters, the neighbouring short parts and the whole are read too. A
+token of letters whose lattice has one path is taken as it is; if it has more, the word between the signs is another
+reading, and so is the word with the sign before or after it read as a letter; a score takes the worst of them. The trigrams are counted over the words of all documents, in cased letters only, which bounds the model by the
+alphabets.
 
 The score is a logistic regression on how many words of a text are toxic, by how much, and what share. Words and word beginnings
 are toxic by log odds of their document frequencies in labelled documents, each distinct text once. It is fitted on at
@@ -54,10 +56,12 @@ DRAWN = {"|-|": "h", "|_|": "u", "|<": "k", "|)": "d", "|3": "b", "|2": "r", "()
 LEET_COST, DROP_COST, DROP_DIGIT_COST, PART_COST, MASK_COST, RUN_COST = 0.7, 0.5, 8.0, 4.0, 3.0, 0.3
 #: Letters of a piece of a word, at most.
 SHORT = 3
-MASKS, VOWELS = "*#", "aeiou"
+MASKS, VOWELS, LETTERS = "*#", "aeiou", "abcdefghijklmnopqrstuvwxyz"
 EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…|*%&#~^`=-_/\\"
 
 _RUN = re.compile(r"(.)\1\1")
+_READ = re.compile(rf"([^\W\d_])\1|[{re.escape(''.join(LEET) + MASKS)}]")
+_MASKED = re.compile(rf"([{MASKS}]?)[^\W\d_]+([{MASKS}]?)")
 _SPACED = re.compile(r"(?:^|(?<=\s))\S(?:[^\S\n]\S){3,}(?=\s|$)", re.MULTILINE)
 _NOISE = re.compile(r"([^\w\s])\1")
 _PARTS = re.compile(r"[.,;:/_|&+=<>()\[\]\"'’-]+")
@@ -88,9 +92,10 @@ class Model:
         return found
 
 
-def lattice(text: str) -> list[list[tuple[str, float]]]:
-    """What each character, or run of one letter, can stand for."""
+def lattice(text: str, read: tuple[int, ...] = ()) -> list[list[tuple[str, float]]]:
+    """What each character, or run of one letter, can stand for; the signs at the places ``read`` are not left out."""
     out, i = [], 0
+    first = next((k for k, c in enumerate(text) if c.isalnum()), len(text))
     while i < len(text):
         c, n = text[i], 1
         while i + n < len(text) and text[i + n] == c:
@@ -107,16 +112,21 @@ def lattice(text: str) -> list[list[tuple[str, float]]]:
             for _ in range(min(n, 2) if c in LEET else 1):
                 options = [(x, LEET_COST) for x in LEET.get(c, "")]
                 if c in MASKS:
-                    options += [(v, MASK_COST) for v in VOWELS]
+                    # Others would keep very many states alive in a long row of signs.
+                    beside = i + n == first or i > 0 and text[i - 1].isalnum()
+                    options += [(x, MASK_COST) for x in (LETTERS if beside else VOWELS)]
+                if i in read and options:
+                    out.append(options)
+                    continue
                 out.append([*options, ("", DROP_DIGIT_COST if c.isalnum() else DROP_COST + LEET_COST * (c in LEET))])
         i += n
     return out
 
 
-def viterbi(text: str, model: Model) -> list[str]:
+def viterbi(text: str, model: Model, read: tuple[int, ...] = ()) -> list[str]:
     """The words of the cheapest path."""
     best: dict[str, tuple[float, tuple | None]] = {"^^": (0.0, None)}  # a path is (path before, letters)
-    for options in lattice(text):
+    for options in lattice(text, read):
         after: dict[str, tuple[float, tuple | None]] = {}
         for before, (paid, path) in best.items():
             for letters, cost in options:
@@ -146,16 +156,38 @@ def _along(path: tuple | None) -> str:
 
 
 def plain(token: str) -> str | None:
-    """The word of a token that hides nothing, else None."""
+    """The word of a token of letters without a run of three, between any signs, else None."""
     word = token.lower().strip(EDGES)
     return word if (word.isalpha() or not word) and not _RUN.search(word) else None
 
 
+def one_reading(token: str) -> bool:
+    """Whether the lattice of a plain token has one path: no letter is doubled, no sign at its edges stands for letters."""
+    return not _READ.search(token.lower()) and not any(d in token for d in DRAWN)
+
+
 def restored(token: str, model: Model) -> list[str]:
-    """The words of one token."""
+    """The words of one token; of a plain token with several readings, also that without the signs around it."""
     word = plain(token)
-    if word is not None:
+    if word is None:
+        return _decoded(token, model)
+    if one_reading(token):
         return [word] if word else []
+    found = [w for w in _decoded(token, model) if any(c.isalpha() for c in w)]
+    text = token.lower()
+    for drawn, letter in DRAWN.items():
+        text = text.replace(drawn, letter)
+    letters = [i for i, c in enumerate(text) if c.isalpha()]
+    # The sign next to the word is a letter of it: the one before, the one after, or both.
+    signs = [i for i in (letters[0] - 1, letters[-1] + 1) if 0 <= i < len(text) and (text[i] in LEET or text[i] in MASKS)] if letters else []
+    for read in dict.fromkeys([*((i,) for i in signs), tuple(signs)]) if signs else ():
+        start, end = letters[0] - (letters[0] - 1 in read), letters[-1] + 1 + (letters[-1] + 1 in read)
+        found += viterbi(text[start:end], model, tuple(i - start for i in read))
+    return list(dict.fromkeys([*found, word])) if word else found
+
+
+def _decoded(token: str, model: Model) -> list[str]:
+    """The words of a token by its lattice."""
     word = token.lower().strip(".,;:?\"'«»„“”‘’…")
     for drawn, letter in DRAWN.items():
         word = word.replace(drawn, letter)
@@ -217,8 +249,25 @@ def parts_of(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in PREFIXES if len(word) > k)]
 
 
+class Restored(dict):
+    """The words of tokens."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, token: str) -> list[str]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[token] = restored(token, self.model)
+        return found
+
+
 class Scorer(dict):
-    """Weight of a token: the largest of its restored words and their beginnings, 0 for a harmless one."""
+    """Weight of a token: the largest of its restored words and their beginnings, 0 for a harmless one.
+
+    A mask before or after a plain word stands for any letter that makes it a toxic one.
+    """
 
     def __init__(self, model: Model, weights: dict[str, float], factors: list[float]):
         super().__init__()
@@ -230,7 +279,11 @@ class Scorer(dict):
     def __missing__(self, token: str) -> float:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self[token] = self.of(restored(token, self.model))
+        found = self.of(restored(token, self.model))
+        if (word := plain(token)) and (masked := _MASKED.search(token.lower())):
+            whole = [x + word for x in LETTERS if masked[1]] + [word + x for x in LETTERS if masked[2]]
+            found = max(found, max((self.weights.get(w, 0.0) for w in whole), default=0.0))
+        self[token] = found
         return found
 
     def inputs(self, text: bytes | None) -> list[float]:
@@ -290,11 +343,12 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str, text_col: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(shared.value)
+        known = Restored(own)
         totals = Counter(), Counter()
         for batch in batches:
             for text, kind in zip(utf8(batch, "body"), batch.column("toxic").to_pylist()):
                 if text:
-                    words = {w for t in set(_words(text)) for w in restored(t, own)}
+                    words = {w for t in set(_words(text)) for w in known[t]}
                     words.update(spaced(text.decode("utf-8", "replace"), own))
                     totals[kind].update({p for w in words for p in parts_of(w)})
         every = list(totals[0].keys() | totals[1].keys())
@@ -362,6 +416,6 @@ def restore_text(text: str, model: Model) -> str:
     """The text with hidden words restored, for reading."""
     def line(part: str) -> str:
         part = _SPACED.sub(lambda m: " ".join(viterbi(m[0].lower(), model)) if sum(c.isalpha() for c in m[0]) >= 3 else m[0], part)
-        return " ".join(t if plain(t) is not None else " ".join(restored(t, model)) for t in part.split(" "))
+        return " ".join(t if (found := restored(t, model))[:1] == [plain(t)] or not (found or plain(t) is None) else " ".join(found) for t in part.split(" "))
 
     return "\n".join(line(p) for p in text.split("\n"))

@@ -43,6 +43,15 @@ def test_long_tokens_are_restored(model, hidden, word):
     assert len(hidden) > 64 and word in toxicity.restored(hidden, model)
 
 
+@pytest.mark.parametrize("hidden, word", [
+    ("stuupid", "stupid"), ("iidiioott", "idiot"), ("MORROON", "moron"), ("!diot", "idiot"), ("|oser", "loser"), ("*diot", "idiot"), ("idio*", "idiot"),
+    ("stupi|)", "stupid"), ("(*oron)", "moron"),
+])
+def test_doubles_and_signs_at_the_edges_are_read(model, hidden, word):
+    assert word in toxicity.restored(hidden, model)
+    assert "thing" in toxicity.restored("thing!", model) and toxicity.restored("(!|*", model) == [] and "oxxo" in toxicity.restored("(oxxo)", model)
+
+
 def test_spaced_letters(model):
     assert toxicity.spaced("and s t u p i d thing", model) == ["stupid"]
     assert toxicity.spaced("i d i 0 t", model) == ["idiot"]
@@ -94,6 +103,12 @@ def test_hidden_words_score_like_plain_ones(learned):
     assert plain > 0.5 and hidden > 0.5 > learned.score(b"the and of with that thing") and learned.score(b"") == learned.score(None) < 0.5
 
 
+def test_doubles_and_signs_at_the_edges_score(learned):
+    words = "stuupid iidiioott !diot *diot idio* (lown |oser".split()
+    assert all(learned[w] > 0 for w in words) and learned["thing!"] == learned["(and"] == learned["will"] == 0
+    assert all(learned.score(f"the and of {' '.join([w] * 3)} with that thing".encode()) > 0.5 for w in words)
+
+
 def test_learning_uses_no_held_out_row(spark):
     labels = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
     docs = labels.select("doc_id", F.concat(F.lit("text "), F.col("doc_id").cast("string")).alias("text"))
