@@ -366,7 +366,7 @@ UNION ALL SELECT guid, name, array_to_string(pg, '/') FROM flat WHERE NOT delete
 def q_apply_published_documents(spark, sf):
     """The document table kept up to date from the text that was published for a topic."""
     published = sinks.sink_document_upserts(after_deletions(spark, sf)).withColumn("offset", F.lit(1))
-    changes = sinks.parse_document_changes(published, "offset")
+    changes, _ = sinks.parse_document_changes(published, "offset")  # what a sink wrote is readable
     docs = sinks.apply_document_changes(Star(spark, sf).documents(), changes, "guid", "offset")
     return docs.select("guid", "name", F.array_join("breadcrumbguid", "/").alias("path"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from metaloom.operators import attribute_audit, created as created_ops, deleted as deleted_ops
 from metaloom.operators.edits import apply_edits
 from metaloom.plans.fold import dispatch_change, flatten_documents, fold, message_atomicity
+from metaloom.sources import sinks
 from metaloom.sources.documents import lookup_related_documents
 from tests.build import audited, by_guid, changes, created, deleted, doc, docs, ent, refs, renamed
 
@@ -200,3 +201,19 @@ def test_email_of_persons_only(spark):
     rows = changes(spark, created("1", PERSON, attributes={"email": "a"}), created("2", attributes={"email": "b"}),
                    created("3", PERSON))
     assert [(r["guid"], r["email"]) for r in created_ops.create_person_email(rows).collect()] == [("1", "a")]
+
+
+def test_damaged_messages_are_dead_letters(spark):
+    whole = '{"id":"%s","value":{"guid":"%s","name":"n","typename":"t"}}'
+    rows = [
+        ('{"id":"1"}', whole % (1, 1)), ('{"id":"2"}', None), ('{"id":"3"}', '{"id":"3","value":null}'),
+        ('{"id":"4"}', '{"id":"4","value":{"guid":"4","na'), ('{"id":"5"}', '{"id":"5","value":nu'), ('{"id":"6"}', '{"id":"6"}'),
+        ('{"id":"7"}', ""), ('{"id":"8"}', '{"id":"8","value":null}}x'), ('{"id":"9"}', '{"id":"9","value":{"guid":"9","breadcrumbguid":5}}'),
+        ('{"id":"10"}', "null"), ('{"id":"11"}', "[]"), ('{"id', whole % (12, 12)), (None, whole % (13, 13)), ('{"x":1}', None), ("{", None)]
+    messages = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(rows)], "key string, value string, offset int")
+    got, failed = sinks.parse_document_changes(messages, "offset")
+    assert sorted((r.guid, r.name, r.deleted, r.offset) for r in got.collect()) == [("1", "n", False, 0), ("2", None, True, 1), ("3", None, True, 2)]
+    letters = sinks.dead_letter(failed).collect()
+    assert sorted((r.kind, r.payload or "") for r in letters) == sorted(
+        [("unreadable_value", v) for _, v in rows[3:11]] + [("unreadable_key", v or k or "") for k, v in rows[11:]])
+    assert {r.stage for r in letters} == {"publish"}
