@@ -2,7 +2,7 @@
 
 A page is read into blocks: text between block-level tags, with its number of words, link density, whether it is a
 heading, whether it stands in the page's article, and whether a part around it is named as something else (a menu, an
-advert, ...). A block's neighbours' words and link density are features too. The tree is trained on the small labelled
+advert, ...). Start tags of head are passed over, as its end tag may be left out. A block's neighbours' words and link density are features too. The tree is trained on the small labelled
 table below when the operator is set up.
 
 Null and empty html have no text. Pages are taken one by one, so repeated rows and ties give equal results; a very long page
@@ -34,8 +34,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span"
     " strike strong sub sup time tt u var wbr".split())
-#: Their content is not text of the page.
-RAW = frozenset("script style title textarea template svg math iframe object select noscript head".split())
+#: Their content is not text of the page. What has no end tag: RAW goes on to the end of the page; SKIPPED, being no text of
+#: the page, up to the next of ENDING or the end of the element around it.
+RAW = frozenset("script style title textarea".split())
+SKIPPED = frozenset("template svg math iframe object select noscript".split())
+ENDING = frozenset(
+    "address article aside blockquote body center dd details div dl dt figure footer form h1 h2 h3 h4 h5 h6 header hr li main"
+    " nav ol p pre section table ul".split())
 #: Elements, and words in class, id and role, that name what is not the main text.
 NOT_MAIN = frozenset("nav aside footer header form button dialog menu fieldset".split())
 NAMED = frozenset(
@@ -58,7 +63,7 @@ class Block:
 def _is_named(name: str, attributes: str) -> bool:
     if name in NOT_MAIN:
         return True
-    if not attributes or name in ("html", "body"):
+    if not attributes or name in ("html", "head", "body"):
         return False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
@@ -69,13 +74,27 @@ def _is_named(name: str, attributes: str) -> bool:
     return False
 
 
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Where the elements of a name end, by the place after their start tag; those without an end tag are left out."""
+    found, begun = {}, []
+    rest = r"""(?:(?:[^>"']++|"[^"]*"|'[^']*')*+>|[^>]*>)"""
+    for tag in re.compile(rf"<(/?){name}(?=[\s/>]){rest}", re.IGNORECASE).finditer(page):
+        if not tag[1]:
+            if tag[0][-2] != "/":
+                begun.append(tag.end())
+        elif begun:
+            found[begun.pop()] = tag.start()
+    return found
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
     found: list[Block] = []
     stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]  # name, named, inside, heading
     parts: list[str] = []
     words = linked = links = at = 0
-    heading = False
+    heading = unclosed = False
+    ends: dict[str, dict[int, int]] = {}
 
     def close() -> None:
         nonlocal words, linked, heading
@@ -120,6 +139,21 @@ def blocks(page: str) -> list[Block]:
             end = re.compile(rf"</{name}[\s/>]", re.IGNORECASE).search(page, at)
             at = end.start() if end else n
             continue
+        if name in SKIPPED and not rest.endswith("/"):
+            close()
+            if name not in ends:
+                ends[name] = _ends(page, name)
+            if at in ends[name]:
+                at = ends[name][at]
+            else:
+                _, _, inside, head = stack[-1]
+                stack.append((name, True, inside, head))
+                unclosed = True
+            continue
+        if unclosed and name in ENDING and (open_ := next((i for i, e in enumerate(stack) if e[0] in SKIPPED), 0)):
+            close()
+            del stack[open_:]
+            unclosed = False
         if name == "br":
             parts.append(" ")
         elif name in INLINE:

@@ -44,6 +44,19 @@ def test_pages(page, text):
     assert text_of(page) == text
 
 
+@pytest.mark.parametrize("start", [
+    "<head><title>x</title><meta charset=utf-8><body>", "<head class=header><title>x</title>", "<noscript><img src=x>", "<object data=x><param name=y>",
+    "<svg><g><path d=x>", "<select><option>One<option>Two", "<iframe src=x>", "<template>", "<math>", "<div><noscript>no</div>", "<noscript>a<noscript>b</noscript>"])
+def test_elements_without_an_end_tag_cut_nothing(start):
+    page = f"{start}<article><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p></article>"
+    assert text_of(page) == f"Title\n{PROSE}\n{PROSE}"
+
+
+def test_skipped_elements_may_be_nested():
+    assert text_of(f"<article><p>{PROSE}</p><object>a<object>b</object>c</object><svg/><svg title='a>b'><text>x</text></svg><p>{PROSE}</p></article>") == f"{PROSE}\n{PROSE}"
+    assert text_of("<noscript>" * 50_000 + f"<p>{PROSE}</p>") == PROSE
+
+
 def test_neighbours_and_links_are_measured():
     found = blocks("<p>one <a href=x>two three</a></p><p>four</p>")
     x = html_extract.features(found)
