@@ -6,7 +6,7 @@ kept depends on the words alone, so copies of a passage keep the same places: of
 are sorted by their core; those equal to a neighbour are repeated. At the ends of a document's run of repeated cores, the
 suffixes with such a core are sorted once more by the words after the core, and by the words before it from the nearest
 on, and are compared with their neighbours there. As the longest common beginning is always with a neighbour, a run
-extends as far, left and right, as with any partner. Runs of at least ``min_words`` words are passages.
+extends as far, left and right, as with any partner; what is later extends as far as with any that comes before. Runs of at least ``min_words`` words are passages.
 
 So every passage of ``min_words`` words that occurs at two places is found, in all its occurrences; what is found consists
 of repeated pieces of at least ``core`` words each. A word is later if a suffix over it has an equal one that comes before
@@ -235,6 +235,19 @@ def neighbours(rows: DataFrame, keys: list[str], words: str | None = None, then:
     return compared.unionByName(extra)
 
 
+def _shared_before(around: DataFrame, words: str) -> DataFrame:
+    """doc_id, spot, pos, and shared: how many of ``words`` a row shares, from the first on, with a row of its core that comes
+    before it by id and position."""
+    place = F.struct("doc_id", "spot", "pos")
+    each = around.select("doc_id", "spot", "pos", "key", "check", words, F.explode(F.sequence(F.lit(1), F.lit(WINDOW - 1))).alias("n"))
+    each = each.where(F.expr(f"substring({words}, 4 * n - 3, 4) <> X'00000000'"))  # inside the text
+    each = each.select("doc_id", "spot", "pos", "key", "n", F.xxhash64("check", F.expr(f"substring({words}, 1, 4 * n)")).alias("begun"))
+    # Written down, so that the join reads both sides from shuffles and can split what very many share.
+    least = cut(each.groupBy("key", "n", "begun").agg(F.min(place).alias("least")))
+    found = each.join(least, ["key", "n", "begun"]).where(F.col("least") < place)
+    return found.groupBy("doc_id", "spot", "pos").agg(F.max("n").alias("shared"))
+
+
 def repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, n_words, spans and later (arrays of (start, end) in words, end exclusive), n_repeated, n_later of every document.
 
@@ -249,21 +262,29 @@ def repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col:
     compared = neighbours(kept, ["key"], then=("doc_id", "spot", "pos")).where("shared >= 0")
     equal = cut(compared.groupBy("doc_id", "spot", "pos", "key").agg(F.min("first").alias("first")))
     near = "OVER (PARTITION BY doc_id, spot ORDER BY pos)"
-    ends = equal.select("*", F.expr(f"pos - lag(pos) {near}").alias("gap"), F.expr(f"lead(pos) {near} - pos").alias("next"))
+    ends = equal.select(
+        "*", F.expr(f"pos - lag(pos) {near}").alias("gap"), F.expr(f"lead(pos) {near} - pos").alias("next"),
+        F.expr(f"NOT first AND (lag(first) {near} OR lead(first) {near})").alias("turns"))
     # Written down, so that the join below reads both sides from shuffles and can split a key that very many share.
-    at_end = cut(ends.where(f"gap IS NULL OR gap > {core} OR next IS NULL OR next > {core}").select("key").distinct())
+    at_end = cut(ends.where(f"gap IS NULL OR gap > {core} OR next IS NULL OR next > {core} OR turns").select("key").distinct())
     asked = equal.join(at_end, "key").groupBy("doc_id", "spot").agg(F.collect_list(F.struct("pos", "key")).alias("places"))
     asked = asked.withColumnsRenamed({"doc_id": "of", "spot": "at"})
     texts = rows.join(asked, F.expr("spot = at AND doc_id <=> of")).select("doc_id", "spot", "body", "places")
     around = cut(contexts(texts, core))
     after = neighbours(around, ["key", "check"], "after").where("shared >= 0").select("doc_id", "spot", "pos", F.lit(0).alias("left"), F.col("shared").alias("right"))
     before = neighbours(around, ["key", "check"], "before").where("shared >= 0").select("doc_id", "spot", "pos", F.col("shared").alias("left"), F.lit(0).alias("right"))
-    pieces = equal.select("doc_id", "spot", "pos", F.lit(0).alias("left"), F.lit(0).alias("right"), (~F.col("first")).alias("later"))
-    every = pieces.unionByName(after.unionByName(before).withColumn("later", F.lit(None).cast("boolean")))
-    places = every.groupBy("doc_id", "spot", "pos").agg(F.max("left").alias("left"), F.max("right").alias("right"), F.max("later").alias("later"))
-    piece = F.struct((F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + core + F.col("right")).alias("end"))
+    whole = ("doc_id", "spot", "pos")
+    none = F.lit(0)
+    pieces = equal.select(*whole, none.alias("left"), none.alias("right"), none.alias("back"), none.alias("on"), (~F.col("first")).alias("later"))
+    wider = after.unionByName(before).select("*", none.alias("back"), none.alias("on"))
+    earlier = [_shared_before(around, "before").select(*whole, none.alias("left"), none.alias("right"), F.col("shared").alias("back"), none.alias("on")),
+               _shared_before(around, "after").select(*whole, none.alias("left"), none.alias("right"), none.alias("back"), F.col("shared").alias("on"))]
+    every = pieces.unionByName(wider.unionByName(earlier[0]).unionByName(earlier[1]).withColumn("later", F.lit(None).cast("boolean")))
+    places = every.groupBy(*whole).agg(*[F.max(c).alias(c) for c in ("left", "right", "back", "on", "later")])
+    piece = lambda left, right: F.struct((F.col("pos") - F.col(left)).alias("start"), (F.col("pos") + core + F.col(right)).alias("end"))
     found = places.groupBy("doc_id", "spot").agg(
-        F.sort_array(F.collect_list(piece)).alias("pieces"), F.sort_array(F.collect_list(F.when(F.col("later"), piece))).alias("later"))
+        F.sort_array(F.collect_list(piece("left", "right"))).alias("pieces"),
+        F.sort_array(F.collect_list(F.when(F.col("later"), piece("back", "on")))).alias("later"))
     found = found.select(F.col("doc_id").alias("of"), F.col("spot").alias("at"), _merged("pieces", min_words).alias("spans"), _merged("later", min_words).alias("later"))
     counted = rows.select("doc_id", "spot", count_words(F.col("body")).alias("n_words"))
     joined = counted.join(found, F.expr("spot = at AND doc_id <=> of"), "left")

@@ -69,6 +69,41 @@ def test_passages_equal_brute_force(spark, seed, partitions):
     assert sum(len(spans_of(got[i]) - w) for i, w in enumerate(want)) <= 0.1 * sum(map(len, want))
 
 
+def marked_before(texts, least=50):
+    """For each text, the words inside a run of ``least`` words that occurs before too."""
+    seen, marked = set(), []
+    for words in ((t or "").split() for t in texts):
+        marked.append(set())
+        for i in range(len(words) - least + 1):
+            run = tuple(words[i : i + least])
+            if run in seen:
+                marked[-1] |= set(range(i, i + least))
+            seen.add(run)
+    return marked
+
+
+def later_of(row):
+    return {p for s in row.later for p in range(s.start, s.end)}
+
+
+def test_later_goes_as_far_as_an_earlier_copy(spark):
+    r = random.Random(7)
+    text = lambda n: " ".join(f"w{r.randrange(10**9)}" for _ in range(n))
+    passage = text(120).split()
+    texts = [text(4) + " " + " ".join(passage[a:b]) + " " + text(6) for a, b in ((30, 81), (14, 97), (14, 97), (0, 120), (20, 100), (30, 81))]
+    got = {x.doc_id: x for x in suffix_dedup.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert [later_of(got[i]) for i in range(6)] == marked_before(texts)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_later_equals_brute_force(spark, seed):
+    texts = corpus(seed)
+    got = {x.doc_id: x for x in suffix_dedup.repeated_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    want = marked_before(texts)
+    assert all(w <= later_of(got[i]) for i, w in enumerate(want))
+    assert sum(len(later_of(got[i]) - w) for i, w in enumerate(want)) <= 0.1 * sum(map(len, want))
+
+
 def test_a_passage_in_very_many_documents(spark):
     r = random.Random(4)
     text = lambda n: " ".join(f"w{r.randrange(10**9)}" for _ in range(n))
