@@ -238,14 +238,23 @@ def neighbours(rows: DataFrame, keys: list[str], words: str | None = None, then:
 def _shared_before(around: DataFrame, words: str) -> DataFrame:
     """doc_id, spot, pos, and shared: how many of ``words`` a row shares, from the first on, with a row of its core that comes
     before it by id and position."""
-    place = F.struct("doc_id", "spot", "pos")
-    each = around.select("doc_id", "spot", "pos", "key", "check", words, F.explode(F.sequence(F.lit(1), F.lit(WINDOW - 1))).alias("n"))
-    each = each.where(F.expr(f"substring({words}, 4 * n - 3, 4) <> X'00000000'"))  # inside the text
-    each = each.select("doc_id", "spot", "pos", "key", "n", F.xxhash64("check", F.expr(f"substring({words}, 1, 4 * n)")).alias("begun"))
-    # Written down, so that the join reads both sides from shuffles and can split what very many share.
-    least = cut(each.groupBy("key", "n", "begun").agg(F.min(place).alias("least")))
-    found = each.join(least, ["key", "n", "begun"]).where(F.col("least") < place)
-    return found.groupBy("doc_id", "spot", "pos").agg(F.max("n").alias("shared"))
+    place, most = F.struct("doc_id", "spot", "pos"), WINDOW - 1
+    rows = around.select("doc_id", "spot", "pos", "key", "check", words, F.xxhash64("check", F.expr(f"substring({words}, 1, 4)")).alias("near"))
+
+    def shared(rows: DataFrame, lengths: list[int]) -> DataFrame:
+        each = rows.withColumn("n", F.explode(F.array(*map(F.lit, lengths))))
+        each = each.where(F.expr(f"substring({words}, 4 * n - 3, 4) <> X'00000000'"))  # inside the text
+        each = each.select("doc_id", "spot", "pos", "key", "near", "n", F.xxhash64("check", F.expr(f"substring({words}, 1, 4 * n)")).alias("begun"))
+        # Written down, so that the join reads both sides from shuffles and can split what very many share.
+        least = cut(each.groupBy("key", "n", "begun").agg(F.min(place).alias("least")).select("key", "begun", "least"))
+        found = each.join(least, ["key", "begun"]).where(F.col("least") < place)
+        return found.groupBy("doc_id", "spot", "pos", "key", "near").agg(F.max("n").alias("shared"))
+
+    # Who shares no word has none, who shares all has all; the lengths between are asked only where some row needs them.
+    ends = cut(shared(rows, [1, most]))
+    between = ends.where(F.col("shared") < most).select("key", "near").distinct()
+    more = shared(rows.join(between, ["key", "near"], "left_semi"), list(range(2, most)))
+    return ends.unionByName(more)
 
 
 def repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
