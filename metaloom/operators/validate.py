@@ -36,16 +36,19 @@ def parse_notifications(raw: DataFrame) -> DataFrame:
     """JSON text in ``value`` -> one message row; text of another shape gets a validation error.
 
     ``position`` is where a message stands in the log: it tells messages of one entity and time apart, and
-    orders them. A log without positions takes a hash of the text, so that only equal messages are the same.
+    orders them. A message without one has the empty position and a hash of its text in ``digest``, so that only
+    equal messages are the same; the hash tells messages apart, and orders them only where time and guid are equal.
     """
     given = F.col("position") if "position" in raw.columns else F.lit(None).cast("string")
+    hashed = F.md5(F.coalesce("value", F.lit("")))
     parsed = raw.select(
-        "value", F.coalesce(given, F.md5(F.coalesce("value", F.lit("")))).alias("position"),
+        "value", F.coalesce(given, F.lit("")).alias("position"),
+        F.when(given.isNull(), hashed).otherwise(F.lit("")).alias("digest"),
         F.from_json("value", NOTIFICATION, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("n"),
     )
     n = F.col("n")
     columns = [
-        "value", "position",
+        "value", "position", "digest",
         n["msgCreationTime"].alias("msg_creation_time"),
         n["message"]["eventTime"].alias("event_time"),
         n["message"]["operationType"].alias("operation"),

@@ -29,7 +29,7 @@ def entity_versions(messages: DataFrame) -> DataFrame:
 
 
 def versions_dedupe(versions: DataFrame, watermark: str | None = None) -> DataFrame:
-    """One version per doc_id: the last in the log. Without positions, it is the last by the text of its body.
+    """One version per doc_id: the last in the log. Without positions, it is the last by event time, then by body text.
 
     On a stream, ids are remembered for the length of the watermark, and the first to arrive stays.
     """
@@ -38,7 +38,7 @@ def versions_dedupe(versions: DataFrame, watermark: str | None = None) -> DataFr
         return timed.withWatermark("_t", watermark or "1 hour").dropDuplicatesWithinWatermark(["doc_id"]).drop("_t")
     place = [F.col("position")] if "position" in versions.columns else []
     rest = [c for c in versions.columns if c != "doc_id"]
-    last = versions.groupBy("doc_id").agg(F.max_by(F.struct(*rest), F.struct(*place, F.to_json("body"))).alias("_last"))
+    last = versions.groupBy("doc_id").agg(F.max_by(F.struct(*rest), F.struct(*place, "event_time", F.to_json("body"))).alias("_last"))
     return last.select(*[F.col(c) if c == "doc_id" else F.col(f"_last.{c}").alias(c) for c in versions.columns])
 
 

@@ -85,7 +85,7 @@ NOTIFICATION = (
 
 ERROR = "struct<stage:string,kind:string,message:string>"
 ENTITY_VERSION = f"body {ENTITY}, doc_id string, event_time bigint, msg_creation_time bigint"
-ORDER = "struct<ms:bigint,pos:string,guid:string,seq:int>"
+ORDER = "struct<ms:bigint,pos:string,guid:string,seq:int,digest:string>"
 PATH = "array<struct<guid:string,name:string,type:string>>"
 
 SCORES = [

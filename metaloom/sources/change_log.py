@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def source_change_log(spark: SparkSession, options: dict, streaming: bool = True) -> DataFrame:
     """UTF-8 notifications in ``value``, and the place of each in the log in ``position``.
 
-    A position is text that sorts like the log: topic, partition and offset, or file and row for parquet files.
+    A position is text that sorts like the log: topic, partition and offset, or time of writing, file and row for parquet files.
     Text files have none (null); their messages are told apart by what they say.
 
     ``options`` has ``topic`` and Kafka options (``kafka.bootstrap.servers``, ...), or ``path`` for a folder
@@ -28,7 +28,8 @@ def source_change_log(spark: SparkSession, options: dict, streaming: bool = True
     raw = reader.schema(f"`{column}` string").format(fmt).options(**options).load(path)
     place = F.lit(None).cast("string")
     if fmt == "parquet":
-        place = F.format_string("%s:%020d", "_metadata.file_path", "_metadata.row_index")
+        written = F.unix_micros("_metadata.file_modification_time")
+        place = F.format_string("%020d:%s:%020d", written, "_metadata.file_path", "_metadata.row_index")
     return raw.select(F.col(column).alias("value"), place.alias("position"))
 
 

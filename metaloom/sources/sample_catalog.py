@@ -265,7 +265,8 @@ def change(df: DataFrame, event_type: str, guid: Column, type_name: str, ms, seq
     values = {
         "change_id": F.concat_ws("_", guid, ms.cast("string"), F.lit(str(seq))),
         "ord": F.struct(
-            ms.cast("bigint").alias("ms"), F.lit("").alias("pos"), guid.alias("guid"), F.lit(seq).alias("seq")).cast(ORDER),
+            ms.cast("bigint").alias("ms"), F.lit("").alias("pos"), guid.alias("guid"), F.lit(seq).alias("seq"),
+            F.lit("").alias("digest")).cast(ORDER),
         "type_name": F.lit(type_name),
         "guid": guid,
         "original_event_type": F.lit("ENTITY_UPDATE"),

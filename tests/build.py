@@ -71,7 +71,7 @@ def changes(spark, *rows):
                "direct_change": True, **row}
         ms, seq = out.pop("ms", 1), out.pop("seq", 0)
         pos = out.pop("pos", "")
-        out["ord"] = {"ms": ms, "pos": pos, "guid": out["guid"], "seq": seq}
+        out["ord"] = {"ms": ms, "pos": pos, "guid": out["guid"], "seq": seq, "digest": ""}
         out["change_id"] = f"{out['guid']}_{ms}_{pos}_{seq}"
         out["msg_creation_time"] = ms / 1000
         for side in ("old_value", "new_value"):

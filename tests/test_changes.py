@@ -117,7 +117,28 @@ def test_changes_of_one_time_have_ids_of_their_own(spark):
     rows = diff.diff_create(log.withColumn("previous_version", F.lit(None).cast(ENTITY))).collect()
     assert sorted(r["change_id"] for r in rows) == ["1_5_a_0", "1_5_b_0", "1_5_b_0"] and {r["ord"]["pos"] for r in rows} == {"a", "b"}
     unplaced = messages(spark, note("CREATE", ent("1"), 5), note("CREATE", ent("1"), 5), note("CREATE", ent("1", attributes={"a": 1}), 5))
-    assert len({r["position"] for r in unplaced.collect()}) == 2
+    rows = unplaced.collect()
+    assert {r["position"] for r in rows} == {""} and len({r["digest"] for r in rows}) == 2
+
+
+def test_without_positions_one_time_is_ordered_by_guid(spark):
+    log = messages(spark, *[note("CREATE", ent(g), 5) for g in "dbca"]).withColumn("previous_version", F.lit(None).cast(ENTITY))
+    rows = diff.diff_create(log).orderBy("ord").collect()
+    assert [r["guid"] for r in rows] == list("abcd") and len({r["change_id"] for r in rows}) == 4
+
+
+def test_files_written_later_come_later_whatever_their_names(spark, tmp_path):
+    import os
+
+    for k, name in enumerate(("z", "a")):
+        spark.createDataFrame([(f"m{k}",)], "text string").coalesce(1).write.parquet(str(tmp_path / name))
+        part = next((tmp_path / name).glob("part-*.parquet"))
+        target = tmp_path / "log" / f"{name}.parquet"
+        target.parent.mkdir(exist_ok=True)
+        target.write_bytes(part.read_bytes())
+        os.utime(target, (1_000_000 + k, 1_000_000 + k))
+    rows = source_change_log(spark, {"path": str(tmp_path / "log"), "column": "text"}, streaming=False).orderBy("position").collect()
+    assert [r["value"] for r in rows] == ["m0", "m1"]
 
 
 def test_positions_sort_like_the_log(spark, tmp_path):
