@@ -11,8 +11,11 @@ from metaloom.llm.common import table
 from metaloom.llm.decontaminate import find_contamination
 from metaloom.llm.html_extract import extract
 from metaloom.llm.mixing import mix
+from metaloom.llm.negatives import mine
 from metaloom.llm.quality import ORACLE as QUALITY_SQL
 from metaloom.llm.quality import quality
+from metaloom.llm.rules import score_quality
+from metaloom.llm.runs import digest, periodic_runs
 from metaloom.llm.secrets import find_secrets, listed
 from metaloom.llm.simhash import near_duplicates
 from metaloom.llm.suffix_dedup import repeated_passages
@@ -130,3 +133,37 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(periodic_runs(table(spark, sf_dir, "documents"), planted=True))
+
+
+@query("op12_quality_rules")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), least=0.3)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op13_hard_negatives", sql="""
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     a AS (SELECT vec_id AS anchor_id, label AS own, v AS q FROM r WHERE vec_id % 50 = 0),
+     s AS (SELECT anchor_id, own, vec_id, label,
+             CAST(coalesce(list_sum(list_transform(range(1, least(len(q), len(v)) + 1), lambda i: q[i] * v[i])), 0) AS BIGINT) AS score
+           FROM a JOIN r ON vec_id <> anchor_id),
+     p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE label <> own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 3
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.select("vec_id", "embedding", shifted.alias("label")))
