@@ -103,16 +103,12 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
 
 def link_documents(pairs: DataFrame) -> DataFrame:
     """Edits that link both documents of each pair to each other; a link that is there already stays as it is."""
-    both = _both_ways(pairs)
-    return union(
-        edit(both, "touch", doc="doc"), edit(both, "link", doc="doc", field="field", guid="guid", value="value")
-    )
+    return edit(_both_ways(pairs), "link", doc="doc", field="field", guid="guid", value="value")
 
 
 def unlink_documents(pairs: DataFrame) -> DataFrame:
     """Edits that remove the links of each pair, both ways; one that is not there is no loss."""
-    both = _both_ways(pairs)
-    return union(edit(both, "touch", doc="doc"), edit(both, "unlink", doc="doc", field="field", guid="guid"))
+    return edit(_both_ways(pairs), "unlink", doc="doc", field="field", guid="guid")
 
 
 def create_breadcrumb_from_parent(pairs: DataFrame, docs: DataFrame) -> DataFrame:

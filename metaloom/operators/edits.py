@@ -132,18 +132,30 @@ def _rightmost(kind: str) -> str:
     return f"array_max(transform({_of(kind)}, e -> array_position(breadcrumbguid, e.guid)))"
 
 
-def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
-    """The documents that the edits touch, after the edits."""
+def slots(edits: DataFrame) -> set[tuple[str, str | None]]:
+    """The kinds of edits that occur, with their fields: a few dozen at most."""
+    return {(r["kind"], r["field"]) for r in edits.select("kind", "field").distinct().collect()}
+
+
+def apply_edits(docs: DataFrame, edits: DataFrame, present: set[tuple[str, str | None]] | None = None) -> DataFrame:
+    """The documents that the edits touch, after the edits.
+
+    ``present`` are the edits' ``slots`` or more; what is not among them is left out of the plan.
+    """
+    def occurs(*kinds: str, field: str | None = None) -> bool:
+        return present is None or any(k in kinds and field in (None, f) for k, f in present)
+
+    lists = [f for f in LINK_FIELDS.values() if occurs("link", "relink", "unlink", field=f)]
     df = docs.join(merge_edits(edits).withColumnRenamed("doc", "guid"), "guid")
-    df = df.withColumns({f"_{f}": _links_after(f) for f in LINK_FIELDS.values()})
+    df = df.withColumns({f"_{f}": _links_after(f) for f in lists})
     edited = {
         **{
             a: f"IF(exists(_e, e -> e.kind = 'attr' AND e.field = '{a}'), "
                f"get(filter(_e, e -> e.kind = 'attr' AND e.field = '{a}'), 0).value, {a})"
-            for a in DOCUMENT_ATTRIBUTES
+            for a in DOCUMENT_ATTRIBUTES if occurs("attr", field=a)
         },
-        **{f + "guid": f"coalesce(_{f}.guid, {f}guid)" for f in LINK_FIELDS.values()},
-        **{f: f"coalesce(_{f}.name, {f})" for f in LINK_FIELDS.values()},
+        **{f + "guid": f"coalesce(_{f}.guid, {f}guid)" for f in lists},
+        **{f: f"coalesce(_{f}.name, {f})" for f in lists},
     }
     # The many columns that are done travel as one, so that each of the next steps copies few columns.
     done = [c for c in DOCUMENT_COLUMNS if c not in (*_CRUMBS, "parentguid")]
@@ -151,21 +163,26 @@ def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
         "_e", "parentguid", *_CRUMBS,
         F.struct("parentguid", "breadcrumbguid", "breadcrumbname").alias("_before"),
         F.struct(*[F.expr(edited.get(c, c)).alias(c) for c in done]).alias("_done"),
-        F.expr(f"map_from_entries(transform({_of('crumb_name')}, e -> struct(e.guid, e.value)))").alias("_names"),
+        *([F.expr(f"map_from_entries(transform({_of('crumb_name')}, e -> struct(e.guid, e.value)))").alias("_names")]
+          if occurs("crumb_name") else []),
     )
-    df = _set(df, breadcrumbname="""
+    if occurs("crumb_name"):
+        df = _set(df, breadcrumbname="""
       CASE WHEN size(_names) > 0 AND size(breadcrumbguid) = size(breadcrumbname) THEN transform(breadcrumbname, (n, i) ->
         IF(array_position(breadcrumbguid, get(breadcrumbguid, i)) = i + 1,
            coalesce(try_element_at(_names, get(breadcrumbguid, i)), n), n)) ELSE breadcrumbname END""")
     # Cutting at several ancestors one after the other leaves what follows the rightmost of them.
-    df = _keep_after(df, f"""
+    if occurs("crumb_cut"):
+        df = _keep_after(df, f"""
       CASE WHEN size(breadcrumbguid) = size(breadcrumbname) AND size(breadcrumbguid) = size(breadcrumbtype)
       THEN {_rightmost('crumb_cut')} END""")
-    df = _set(
-        df, **{c: f"IF({_has('reset')}, CAST(array() AS ARRAY<STRING>), {c})" for c in _CRUMBS},
-        parentguid=f"IF({_has('reset')}, NULL, parentguid)")
-    df = _set(_keep_after(df, _rightmost("detach")), parentguid=f"IF(_at > 0, {_LAST}, parentguid)")
-    for kind in ("attach", "prepend"):
+    if occurs("reset"):
+        df = _set(
+            df, **{c: f"IF({_has('reset')}, CAST(array() AS ARRAY<STRING>), {c})" for c in _CRUMBS},
+            parentguid=f"IF({_has('reset')}, NULL, parentguid)")
+    if occurs("detach"):
+        df = _set(_keep_after(df, _rightmost("detach")), parentguid=f"IF(_at > 0, {_LAST}, parentguid)")
+    for kind in [k for k in ("attach", "prepend") if occurs(k)]:
         first = f"get({_of(kind)}, 0)"
         df = _set(df, _a=f"IF({_has(kind)} AND NOT array_contains(breadcrumbguid, {first}.guid), {first}.path, NULL)")
         rest = {"attach": "CAST(array() AS ARRAY<STRING>)", "prepend": "breadcrumb{}"}[kind]
@@ -174,7 +191,8 @@ def apply_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
             for part in ("guid", "name", "type")
         })
         df = _set(df, parentguid=f"IF(_a IS NULL, parentguid, {_LAST})")
-    df = _set(df, parentguid=f"IF({_has('finalize')}, {_LAST}, parentguid)")
+    if occurs("finalize"):
+        df = _set(df, parentguid=f"IF({_has('finalize')}, {_LAST}, parentguid)")
     always = ", ".join(f"'{k}'" for k in _ALWAYS)
     emitted = f"exists(_e, e -> e.kind IN ({always})) OR NOT (_before <=> struct(parentguid, breadcrumbguid, breadcrumbname))"
     # One-element inline: a plain filter would be pushed below all of the above, with a copy of it.

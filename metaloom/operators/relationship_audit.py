@@ -102,7 +102,7 @@ def audit_delete_partial(changes: DataFrame, docs: DataFrame, rules=HIERARCHY_RU
 
 def audit_finalize_parent(changes: DataFrame, edits: DataFrame) -> DataFrame:
     """Edits that set the parent to the last ancestor, for documents that their own change has edited."""
-    own = edits.filter(F.col("kind").isin("touch", "reset")).select("change_id", F.col("doc").alias("guid")).distinct()
+    own = edits.filter(F.col("kind").isin("link", "unlink", "reset")).select("change_id", F.col("doc").alias("guid")).distinct()
     return edit(changes.join(own, ["change_id", "guid"], "left_semi"), "finalize", doc="guid")
 
 

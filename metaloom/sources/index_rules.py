@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from metaloom.functions.attributes import guids_of, text
 from metaloom.functions.state import cut
+from metaloom.operators.validate import error
 from metaloom.schemas import RETENTION_DAYS
 
 DAY_MS = 86_400_000
@@ -66,3 +67,40 @@ def import_entities(versions: DataFrame, exported: DataFrame) -> DataFrame:
     """Load exported versions into a history; a version that is there already stays as it is."""
     new = exported.join(versions.select("doc_id"), "doc_id", "left_anti")
     return versions.unionByName(new.select(*versions.columns))
+
+
+def import_levels(guids: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((guid, level), (guid, error)): in which order exported entities can be loaded.
+
+    ``edges`` (guid, needs) say what an entity refers to. Level 0 refers to nothing in the set, and each other entity comes one
+    level after the last of those it needs. Each round takes off the entities that need nothing any more, so there
+    are as many joins as levels. What is left when none can be taken off needs itself by way of others: it is in a
+    cycle or after one, and is an error. References out of the set are no obstacle.
+    """
+    every = cut(guids.select("guid").distinct())
+    open_ = edges.select("guid", "needs").distinct().join(every, "guid", "left_semi")
+    open_ = cut(open_.join(every.withColumnRenamed("guid", "needs"), "needs", "left_semi").select("guid", "needs"))
+    left, levels, level = every, [], 0
+    while True:
+        free = cut(left.join(open_.select("guid"), "guid", "left_anti"))
+        if free.isEmpty():
+            break
+        levels.append(free.withColumn("level", F.lit(level)))
+        left = cut(left.join(free, "guid", "left_anti"))
+        open_ = cut(open_.join(free.withColumnRenamed("guid", "needs"), "needs", "left_anti").select("guid", "needs"))
+        level += 1
+    out = guids.sparkSession.createDataFrame([], "guid string, level int")
+    for part in levels:
+        out = out.unionByName(part)
+    return out, left.withColumn("error", error("import", "cycle", "this entity needs itself by way of others"))
+
+
+def import_in_order(versions: DataFrame, exported: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(versions to load with their ``level``, errors): of an export, what a history does not have yet.
+
+    Loading level by level never refers to an entity that is still missing.
+    """
+    new = cut(exported.join(versions.select("doc_id"), "doc_id", "left_anti"))
+    edges = new.select(F.col("body.guid").alias("guid"), F.explode(guids_of(F.col("body.relationshipAttributes"))).alias("needs"))
+    levels, failed = import_levels(new.select(F.col("body.guid").alias("guid")), edges)
+    return new.join(levels, new["body.guid"] == levels["guid"]).drop("guid"), failed

@@ -1,15 +1,17 @@
 """The jobs as streaming queries.
 
-State lives in parquet tables under one shared folder, one sub-folder per micro-batch:
+State lives in tables under one shared folder:
 
-versions/batch=N    versions that batch N added
-documents/batch=N   the document table after batch N
+versions/           the history as sorted runs with filters (``version_store``)
+documents/          the document table in buckets of the guid (``keyed_store``)
+postings/           the inverted index of the documents, in buckets of the guid that is held (``postings``)
 pending/batch=N     messages that still wait for a previous version after batch N
 errors/batch=N      dead letters of batch N
 changes/batch=N     changed documents of batch N, wave by wave, as (key, value) text
 
-Batch N reads the state of batch N - 1 and overwrites its own folders, so a batch that is run again after
-a failure gives the same state. Old document and pending folders may be removed at any time.
+Batch N reads the state of batch N - 1 and writes a version N of its own, so a batch that is run again after a failure
+gives the same state. What a batch reads and writes follows the batch: the buckets of the documents that it can touch, of
+the index entries of their guids, and the history files that can hold its guids. Old pending folders may be removed.
 """
 
 from __future__ import annotations
@@ -26,9 +28,12 @@ from metaloom.functions.state import cut
 from metaloom.operators.diff import determine_changes
 from metaloom.operators.validate import enriched, split_main_errors
 from metaloom.operators.versions import entity_versions, previous_version_wait, versions_dedupe, with_versions
-from metaloom.plans.fold import fold
-from metaloom.schemas import DOCUMENT, ENTITY_VERSION, HIERARCHY_RULES
+from metaloom.plans.fold import fold_near
+from metaloom.schemas import HIERARCHY_RULES
+from metaloom.sources.keyed_store import KeyedStore
+from metaloom.sources.postings import document_changes, document_store, posting_changes, posting_store, postings, working_guids
 from metaloom.sources.sinks import dead_letter, sink_document_upserts, sink_entity_versions
+from metaloom.sources.version_store import VersionStore
 
 
 @dataclass
@@ -42,6 +47,24 @@ class Catalog:
     max_wait_ms: int = 30_000
     rules: list = field(default_factory=lambda: HIERARCHY_RULES)
     clock: Callable[[], int] = lambda: int(time.time() * 1000)
+    buckets: int = 64
+
+    @property
+    def store(self) -> KeyedStore:
+        return document_store(f"{self.root}/documents", self.buckets)
+
+    @property
+    def index(self) -> KeyedStore:
+        return posting_store(f"{self.root}/postings", self.buckets)
+
+    @property
+    def history(self) -> VersionStore:
+        return VersionStore(f"{self.root}/versions")
+
+    def load(self, documents: DataFrame) -> None:
+        """Start from a document table instead of an empty one, before the first batch."""
+        self.store.create(documents, -1)
+        self.index.create(postings(documents), -1)
 
     def folder(self, table: str, batch: int) -> str:
         return f"{self.root}/{table}/batch={batch}"
@@ -50,21 +73,12 @@ class Catalog:
         df.write.mode("overwrite").parquet(self.folder(table, batch))
 
     def documents(self, spark: SparkSession, batch: int) -> DataFrame:
-        """The document table after a batch; empty before the first one."""
-        if batch < 0:
-            return spark.createDataFrame([], DOCUMENT)
-        return spark.read.schema(DOCUMENT).parquet(self.folder("documents", batch))
-
-    def versions(self, spark: SparkSession, before: int) -> DataFrame:
-        """The history from all batches before one."""
-        if before <= 0:
-            return spark.createDataFrame([], ENTITY_VERSION)
-        history = spark.read.schema(f"{ENTITY_VERSION}, batch bigint").parquet(f"{self.root}/versions")
-        history = history.filter(F.col("batch") < before)
-        # A version that came again replaces the one of the batch before.
-        again = history.groupBy("doc_id").agg(F.max("batch").alias("batch"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-        stale = history.select("doc_id", "batch").join(again.select("doc_id", F.col("batch").alias("last")), "doc_id")
-        return history.join(stale.filter("batch < last").select("doc_id", "batch"), ["doc_id", "batch"], "left_anti").drop("batch")
+        """The document table after a batch; empty, or what was loaded, before the first one."""
+        return self.store.read(spark, self.store.last(spark, batch))
+
+    def versions(self, spark: SparkSession, batch: int) -> DataFrame:
+        """The history after a batch."""
+        return self.history.read(spark, batch)
 
     def errors(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.root}/errors")
@@ -81,9 +95,10 @@ def publish_batch(batch: DataFrame, number: int, catalog: Catalog) -> None:
     checked = cut(enriched(_log(batch), catalog.current(spark), catalog.types(spark), catalog.mode))
     main, failed = split_main_errors(checked)
     fresh = versions_dedupe(entity_versions(main)).select("body", "doc_id", "event_time", "msg_creation_time")
-    catalog.write(fresh, "versions", number)
+    fresh = cut(fresh)
     catalog.write(sink_entity_versions(fresh), "changes", number)
     catalog.write(dead_letter(failed), "errors", number)
+    catalog.history.append(fresh, number)
 
 
 def synchronize_batch(batch: DataFrame, number: int, catalog: Catalog) -> None:
@@ -93,19 +108,24 @@ def synchronize_batch(batch: DataFrame, number: int, catalog: Catalog) -> None:
     checked = cut(enriched(_log(batch), catalog.current(spark), catalog.types(spark), catalog.mode))
     main, failed = split_main_errors(checked)
     fresh = cut(versions_dedupe(entity_versions(main)).select("body", "doc_id", "event_time", "msg_creation_time"))
-    history = with_versions(catalog.versions(spark, number), fresh)
-
     waiting = main.withColumn("first_seen", F.lit(now))
     if number > 0:
         waiting = waiting.unionByName(
             spark.read.schema(waiting.schema).parquet(catalog.folder("pending", number - 1)))
+    waiting = cut(waiting)
+    asked = waiting.select(F.col("entity.guid").alias("guid"), F.col("msg_creation_time").alias("before"))
+    history = with_versions(catalog.history.lookup(asked, number - 1), fresh)
     resolved, pending, expired = previous_version_wait(waiting, history, now, catalog.max_wait_ms)
     changes, undetermined = determine_changes(resolved.drop("first_seen"))
 
     published: list[DataFrame] = []
-    documents, rejected = fold(
-        changes, catalog.documents(spark, number - 1), catalog.rules,
+    base, index_base = catalog.store.last(spark, number - 1), catalog.index.last(spark, number - 1)
+    before, after, rejected = fold_near(
+        changes, lambda changed, refs: catalog.store.read_keys(base, working_guids(catalog.index, index_base, changed, refs)),
+        catalog.rules,
         on_wave=lambda flat: published.append(sink_document_upserts(flat).withColumn("wave", F.lit(len(published)))))
+    edited = cut(document_changes(before, after).withColumn("batch", F.lit(number)))
+    moved = posting_changes(before.join(edited.select("guid"), "guid", "left_semi"), edited.filter("NOT deleted"))
 
     catalog.write(pending.select(*waiting.columns), "pending", number)
     catalog.write(dead_letter(failed, expired, undetermined, rejected), "errors", number)
@@ -114,8 +134,9 @@ def synchronize_batch(batch: DataFrame, number: int, catalog: Catalog) -> None:
         for more in published[1:]:
             out = out.unionByName(more)
         catalog.write(out, "changes", number)
-    catalog.write(fresh, "versions", number)
-    catalog.write(documents, "documents", number)
+    catalog.history.append(fresh, number)
+    catalog.index.apply(moved.withColumn("batch", F.lit(number)), "batch", index_base, number)
+    catalog.store.apply(edited, "batch", base, number)
 
 
 def _start(raw: DataFrame, step, catalog: Catalog, checkpoint: str, trigger: dict) -> StreamingQuery:
