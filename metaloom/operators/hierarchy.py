@@ -43,7 +43,8 @@ def canonical_paths(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         known = cut(known.filter("whole OR failed IS NOT NULL").unionByName(moved))
     messages = F.when(F.col("failed") == "cycle", "the parents of this document go round in a cycle").otherwise(
         "an ancestor of this document does not exist")
-    failed = known.filter("failed IS NOT NULL").select("guid", error("canonical", "x", messages).withField("kind", F.col("failed")).alias("error"))
+    failed = known.filter("failed IS NOT NULL").select(
+        "guid", error("canonical", "cycle", messages).withField("kind", F.col("failed")).alias("error"))
     return known.filter("failed IS NULL").select("guid", "path"), failed
 
 

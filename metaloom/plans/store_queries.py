@@ -4,21 +4,29 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from metaloom.functions.state import checkpoint_dir, cut
+from metaloom.operators import created, validate, versions
 from metaloom.operators.hierarchy import canonical_breadcrumbs
+from metaloom.operators.link_edges import apply_link_edits, edges_of, link_lists
 from metaloom.operators.versions import previous_version_asof
-from metaloom.plans.event_queries import EV, PREV, history, previous_rows, valid_messages
-from metaloom.plans.registry import query
-from metaloom.plans.star_queries import _FLAT, PATHS, after_deletions, path_rows, star_sql
+from metaloom.plans.event_queries import (
+    _LOOKUP, CUR, EV, PREV, history, previous_rows, raw, valid_messages, validated, with_previous,
+)
+from metaloom.plans.registry import ORACLES, query
+from metaloom.plans.star_queries import _FLAT, PATHS, after_deletions, arrived, link_rows, path_rows, star_sql
 from metaloom.schemas import DOCUMENT_COLUMNS
 from metaloom.sources.day_store import DayStore
 from metaloom.sources.index_rules import import_levels
 from metaloom.sources.postings import document_store, documents_below, posting_changes, posting_store, postings
-from metaloom.sources.sample_catalog import Star, renames, table
+from metaloom.sources.sample_catalog import Star, current_entities, registered_types, renames, table
+from metaloom.sources.sinks import (
+    apply_document_changes, counted, counts_of, dead_letter, parse_document_changes, sink_document_upserts,
+)
 from metaloom.sources.version_store import VersionStore
+from metaloom.streaming.publish import file_topic, ledger, publish_changes, read_file_topic
 
 
 def root(spark, kind: str) -> str:
@@ -141,3 +149,57 @@ def q_import_levels(spark, sf):
         F.col("doc").startswith("O") & F.col("guid").startswith("P"), 1)
     edges = star.links().filter(order.isNotNull()).select("guid", F.col("doc").alias("needs"))
     return import_levels(star.nodes().select("guid"), edges)[0]
+
+
+# --------------------------------------------------------------------------- links as edges
+@query("link_documents_as_edges", ORACLES["link_documents"])
+def q_link_documents_as_edges(spark, sf):
+    """The links that new orders, suppliers and regions bring, as rows; lists are put together in the end."""
+    base, pairs = arrived(spark, sf)
+    edits = cut(created.link_documents(pairs))
+    after = apply_link_edits(edges_of(base), edits, 1)
+    return link_rows(link_lists(after.join(edits.select("doc").distinct(), "doc", "left_semi")))
+
+
+# --------------------------------------------------------------------------- publishing, counting
+@query("publish_in_order", f"""WITH {_FLAT}
+SELECT guid, name, array_to_string(pg, '/') AS path, (SELECT count(*) FROM flat) AS offsets FROM nodes WHERE guid NOT IN (SELECT guid FROM flat)
+UNION ALL SELECT guid, name, array_to_string(pg, '/'), (SELECT count(*) FROM flat) FROM flat WHERE NOT deleted""")
+def q_publish_in_order(spark, sf):
+    """The document table of a reader of the topic, after two batches, of which the first was sent twice."""
+    state, topic = root(spark, "state"), root(spark, "topic")
+    flat = sink_document_upserts(after_deletions(spark, sf)).withColumn("wave", F.lit(0))
+    half = F.pmod(F.xxhash64("key"), F.lit(2))
+    for batch in (0, 1):
+        flat.filter(half == batch).write.parquet(f"{state}/changes/batch={batch}")
+    send = file_topic(topic)
+
+    def stop(rows, batch):
+        send(rows, batch)
+        raise InterruptedError("stopped before the ledger was written")
+
+    try:
+        publish_changes(spark, state, stop, 1)
+    except InterruptedError:
+        pass
+    publish_changes(spark, state, send, 1)
+    messages = read_file_topic(spark, topic)
+    changes, _ = parse_document_changes(messages, "offset")
+    docs = apply_document_changes(Star(spark, sf).documents(), changes, "guid", "offset")
+    offsets = messages.agg(F.countDistinct("offset").alias("offsets")).join(ledger(spark, state).agg(F.max("next").alias("next")), F.col("offsets") == F.col("next"))
+    return docs.select("guid", "name", F.array_join("breadcrumbguid", "/").alias("path")).join(F.broadcast(offsets.select("offsets")))
+
+
+@query("dead_letter_counts", f"""WITH {EV}, {CUR}, {PREV}, e AS (
+  SELECT {_LOOKUP} AS kind, ms FROM en e LEFT JOIN cur c ON e.guid = c.guid
+  UNION ALL SELECT 'no_previous_version', ms FROM prev WHERE op <> 'ENTITY_CREATE' AND pms IS NULL)
+SELECT CASE kind WHEN 'no_previous_version' THEN 'previous_version' WHEN 'unknown_type' THEN 'lookup'
+    WHEN 'lookup_failed' THEN 'lookup' ELSE 'validate' END AS stage, kind, count(*) AS rows
+FROM e WHERE kind IS NOT NULL GROUP BY ALL""")
+def q_dead_letter_counts(spark, sf):
+    """How many messages failed, by stage and kind, counted while the dead letters were written."""
+    checked = validate.enriched(raw(spark, sf), current_entities(validated(spark, sf)), registered_types(spark))
+    looked_up = versions.previous_version_missing(with_previous(spark, sf))
+    seen = Observation()
+    cut(counted(dead_letter(checked, looked_up), seen))
+    return counts_of(spark, seen)

@@ -130,6 +130,20 @@ CHANGE_COLUMNS = [
 ]
 
 
+# Stage and kind of all errors.
+ERROR_KINDS = [
+    ("parse", "validation"), ("validate", "missing_entity"), ("validate", "ignored_type"), ("validate", "ignored_operation"),
+    ("lookup", "unknown_type"), ("lookup", "lookup_failed"), ("lookup", "document_not_found"), ("lookup", "related_documents_missing"),
+    ("versions", "missing_entity"), ("previous_version", "missing_entity"), ("previous_version", "no_previous_version"),
+    ("diff", "value_error"), ("diff", "not_implemented"), ("dispatch", "not_implemented"), ("created", "entity_missing"),
+    ("deleted", "entity_missing"), ("attributes", "attribute_missing"), ("attributes", "document_not_found"),
+    ("attributes", "entity_missing"), ("attributes", "name_missing"), ("relationships", "child_not_found"),
+    ("relationships", "document_not_found"), ("relationships", "entity_missing"), ("relationships", "not_an_ancestor"),
+    ("canonical", "cycle"), ("canonical", "parent_missing"), ("import", "cycle"), ("publish", "unreadable_key"),
+    ("publish", "unreadable_value"),
+]
+
+
 @lru_cache
 def fields_of(ddl: str) -> list[T.StructField]:
     """Fields of a struct given as text; needs a running session."""

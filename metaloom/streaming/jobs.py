@@ -7,6 +7,7 @@ documents/          the document table in buckets of the guid (``keyed_store``)
 postings/           the inverted index of the documents, in buckets of the guid that is held (``postings``)
 pending/batch=N     messages that still wait for a previous version after batch N
 errors/batch=N      dead letters of batch N
+error_counts/batch=N    how many there are by stage and kind, counted while they were written
 changes/batch=N     changed documents of batch N, wave by wave, as (key, value) text
 
 Batch N reads the state of batch N - 1 and writes a version N of its own, so a batch that is run again after a failure
@@ -20,7 +21,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,7 +33,7 @@ from metaloom.plans.fold import fold_near
 from metaloom.schemas import HIERARCHY_RULES
 from metaloom.sources.keyed_store import KeyedStore
 from metaloom.sources.postings import document_changes, document_store, posting_changes, posting_store, postings, working_guids
-from metaloom.sources.sinks import dead_letter, sink_document_upserts, sink_entity_versions
+from metaloom.sources.sinks import counted, counts_of, dead_letter, sink_document_upserts, sink_entity_versions
 from metaloom.sources.version_store import VersionStore
 
 
@@ -80,9 +81,19 @@ class Catalog:
         """The history after a batch."""
         return self.history.read(spark, batch)
 
+    def write_errors(self, letters: DataFrame, batch: int) -> None:
+        """Dead letters of a batch, and their counts."""
+        seen = Observation()
+        self.write(counted(letters, seen), "errors", batch)
+        self.write(counts_of(letters.sparkSession, seen), "error_counts", batch)
+
     def errors(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.root}/errors")
 
+    def error_counts(self, spark: SparkSession) -> DataFrame:
+        """(stage, kind, rows, batch) of all batches so far."""
+        return spark.read.schema("stage string, kind string, rows bigint, batch bigint").parquet(f"{self.root}/error_counts")
+
 
 def _log(batch: DataFrame) -> DataFrame:
     """Text and, if the source has them, positions."""
@@ -97,7 +108,7 @@ def publish_batch(batch: DataFrame, number: int, catalog: Catalog) -> None:
     fresh = versions_dedupe(entity_versions(main)).select("body", "doc_id", "event_time", "msg_creation_time")
     fresh = cut(fresh)
     catalog.write(sink_entity_versions(fresh), "changes", number)
-    catalog.write(dead_letter(failed), "errors", number)
+    catalog.write_errors(dead_letter(failed), number)
     catalog.history.append(fresh, number)
 
 
@@ -128,7 +139,7 @@ def synchronize_batch(batch: DataFrame, number: int, catalog: Catalog) -> None:
     moved = posting_changes(before.join(edited.select("guid"), "guid", "left_semi"), edited.filter("NOT deleted"))
 
     catalog.write(pending.select(*waiting.columns), "pending", number)
-    catalog.write(dead_letter(failed, expired, undetermined, rejected), "errors", number)
+    catalog.write_errors(dead_letter(failed, expired, undetermined, rejected), number)
     if published:
         out = published[0]
         for more in published[1:]:
@@ -154,13 +165,3 @@ def stream_publish_state(raw: DataFrame, catalog: Catalog, checkpoint: str, **tr
 def stream_synchronize(raw: DataFrame, catalog: Catalog, checkpoint: str, **trigger) -> StreamingQuery:
     """Run the document job on a stream of notifications (column ``value``)."""
     return _start(raw, synchronize_batch, catalog, checkpoint, trigger or {"availableNow": True})
-
-
-def publish_to_topic(messages: DataFrame, options: dict, checkpoint: str) -> StreamingQuery:
-    """Write a stream of (key, value) text to a topic, at least once."""
-    options = dict(options)
-    topic = options.pop("topic")
-    return (
-        messages.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value").writeStream.format("kafka")
-        .options(**options).option("topic", topic).option("checkpointLocation", checkpoint).start()
-    )
