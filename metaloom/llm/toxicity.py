@@ -5,14 +5,17 @@ letters, and single letters in a row are read as a lattice: each character stand
 for nothing (a separator), or for a parting of words, a mask after a letter or before the first one for any of a to z,
 other masks for vowels, and a run of one letter for one or two of it. The cheapest path under a character trigram model
 gives the restored words, at a cost that grows with the token's length, which may be any. Words joined by punctuation are
-restored one by one; in a token of words and single characters, the neighbouring short parts and the whole are read too. A
-token of letters whose lattice has one path is taken as it is; if it has more, the word between the signs is another
-reading, and so is the word with the sign before or after it read as a letter; a score takes the worst of them. The trigrams are counted over the words of all documents, in cased letters only, which bounds the model by the
-alphabets.
+restored one by one, and neighbouring short ones (SHORT letters at most) are read as pieces of one word too. A token of letters whose lattice has one path is taken as it is; if it has more, the word between the signs is another
+reading, and so is the word with the sign before or after it read as a letter; a score takes the worst of them. Three or more
+single characters in a row, with any white space between, are one lattice, however long the row. So are two or more tokens in
+a row of SHORT characters at most that together can spell a toxic word. A lattice may keep a gap as a parting of words, at
+a cost, or drop it. The trigrams are counted over the words of all documents, in cased letters only, which bounds the
+model by the alphabets.
 
 The score is a logistic regression on how many words of a text are toxic, by how much, and what share. Words and word beginnings
-are toxic by log odds of their document frequencies in labelled documents, each distinct text once. It is fitted on at
-most FIT_TOXIC + FIT_CLEAN labelled rows, chosen by a hash of their ids, of those whose crc32(doc_id as text) mod 5 is
+are toxic by log odds of their document frequencies in labelled documents, each distinct text once: those whose log odds are
+LEAST_ODDS or more at the lower end of their confidence interval, which asks the same of any number of labels. Tokens none of
+whose paths can spell such a part have weight 0, and are not decoded to find that out. It is fitted on at most FIT_TOXIC + FIT_CLEAN labelled rows, chosen by a hash of their ids, of those whose crc32(doc_id as text) mod 5 is
 not 0. Neither ids, labels, languages nor sources are inputs of a score.
 
 Null and empty texts get the score of a text without toxic words. A null id is not held out and not learned from. Of
@@ -25,10 +28,12 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,8 +45,8 @@ from metaloom.llm.common import cut, kept_by, pick, utf8
 #: Labelled rows that the classifier is fitted on, at most.
 FIT_TOXIC, FIT_CLEAN = 5000, 15000
 HELD_OUT_OF = 5
-#: A toxic word's documents among the labelled toxic ones, and its log odds, at least.
-LEAST_DOCS, LEAST_ODDS = 8, 2.0
+#: Log odds of a toxic word, at least, so many standard errors below what was counted.
+LEAST_ODDS, ERRORS_BELOW = 2.0, 1.64
 PREFIXES = (4, 5, 6)
 #: Tokens that a worker remembers; it forgets all when it has so many.
 REMEMBERED = 150_000
@@ -54,15 +59,16 @@ LEET = {
 #: Letters drawn with several characters.
 DRAWN = {"|-|": "h", "|_|": "u", "|<": "k", "|)": "d", "|3": "b", "|2": "r", "()": "o", "\\/\\/": "w", "\\/": "v"}
 LEET_COST, DROP_COST, DROP_DIGIT_COST, PART_COST, MASK_COST, RUN_COST = 0.7, 0.5, 8.0, 4.0, 3.0, 0.3
-#: Letters of a piece of a word, at most.
-SHORT = 3
+#: Characters of a piece of a word, at most.
+SHORT = 4
 MASKS, VOWELS, LETTERS = "*#", "aeiou", "abcdefghijklmnopqrstuvwxyz"
 EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’…|*%&#~^`=-_/\\"
 
 _RUN = re.compile(r"(.)\1\1")
 _READ = re.compile(rf"([^\W\d_])\1|[{re.escape(''.join(LEET) + MASKS)}]")
 _MASKED = re.compile(rf"([{MASKS}]?)[^\W\d_]+([{MASKS}]?)")
-_SPACED = re.compile(r"(?:^|(?<=\s))\S(?:[^\S\n]\S){3,}(?=\s|$)", re.MULTILINE)
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
+_PIECES = re.compile(rf"(?<!\S)\S{{1,{SHORT}}}(?:\s+\S{{1,{SHORT}}})+(?!\S)")
 _NOISE = re.compile(r"([^\w\s])\1")
 _PARTS = re.compile(r"[.,;:/_|&+=<>()\[\]\"'’-]+")
 
@@ -197,7 +203,11 @@ def _decoded(token: str, model: Model) -> list[str]:
         return [word] if word else []
     parts = [p for p in _PARTS.split(word) if p]
     if len(parts) > 1 and sum(len(p) > 1 for p in parts) >= len(parts) - 1 and not any(p.isdigit() and len(p) == 1 for p in parts):
-        return [w for p in parts for w in restored(p, model)]
+        found = [w for p in parts for w in restored(p, model)]
+        for short, run in groupby(parts, lambda p: len(p) <= SHORT):
+            if short and len(run := list(run)) > 1:
+                found += viterbi(" ".join(run), model)
+        return list(dict.fromkeys(found))
     found = viterbi(word, model)
     for most in (1, SHORT):  # some parts are words, others pieces of one
         for short, run in groupby(parts, lambda p: len(p) <= most):
@@ -211,15 +221,120 @@ def spaced(text: str, model: Model) -> list[str]:
     """The words hidden in runs of single characters."""
     found = []
     for run in _SPACED.finditer(text):
-        letters = "".join(c for c in run[0].lower() if not c.isspace())
-        if sum(c.isalpha() for c in letters) >= 3:
-            for i in range(0, len(run[0]), 96):  # a lattice of bounded length; the parts overlap
-                found += viterbi(run[0].lower()[i : i + 128], model)
+        if sum(c.isalpha() for c in run[0]) >= 3:
+            found += viterbi(" ".join(run[0].lower().split()), model)
     return found
 
 
+def _normal(text: str) -> str:
+    return text if text.isascii() else unicodedata.normalize("NFC", text)
+
+
 def _words(text: bytes) -> list[str]:
-    return unicodedata.normalize("NFC", text.decode("utf-8", "replace")).split()
+    return _normal(text.decode("utf-8", "replace")).split()
+
+
+class _Classes(dict):
+    """Letters that one sign can stand for are one class, as are the signs for them; what is no letter, digit or NUL is nothing."""
+
+    def __missing__(self, code: int) -> str | None:
+        c = chr(code)
+        found = "il" if c in "il" else "gb" if c in "gb" else LEET.get(c, c if c.isalnum() or c == "\0" else "")
+        if found == "b" or found == "g":
+            found = "gb"
+        elif found in ("i", "l", "li"):
+            found = "il"
+        self[code] = found[:1] or None
+        return self[code]
+
+
+_CLASSES = _Classes()
+_REPEAT = re.compile(r"([^\0])\1+")
+
+
+def skeleton(text: str) -> str:
+    """The classes of the letters and of the signs that stand for some, each run of one class once."""
+    for drawn, letter in DRAWN.items():
+        if drawn in text:
+            text = text.replace(drawn, letter)
+    return _REPEAT.sub(r"\1", text.translate(_CLASSES))
+
+
+class Reachable:
+    """Which tokens can be read as a word that has a weight, or that begins like one."""
+
+    def __init__(self, weights: dict[str, float]):
+        self.tree: dict = {}
+        for part in weights:
+            node = self.tree
+            for x in part.rstrip("*"):
+                node = node.setdefault(x, {})
+            node[""] = True
+        whole = {skeleton(p) for p in weights if not p.endswith("*")}
+        #: Skeletons of weighted words, and the lengths of the beginnings among them.
+        self.words, self.longest = whole, max(map(len, whole), default=0)
+        self.beginnings = {skeleton(p[:-1]) for p in weights if p.endswith("*")}
+        self.sizes = sorted({len(p) for p in self.beginnings})
+        self.sure = all(x in LETTERS for p in weights for x in p.rstrip("*"))
+        self.any_word = ahocorasick.Automaton()
+        for word in whole:
+            self.any_word.add_word(word, word)
+        self.any_word.make_automaton()
+
+    def _holds_word(self, text: str) -> bool:
+        return bool(self.words) and next(self.any_word.iter(skeleton(text)), None) is not None
+
+    def word(self, word: str) -> bool:
+        """Whether a token of letters alone may be read so; its readings have one skeleton."""
+        own = skeleton(word.lower())
+        return own in self.words or any(own[:n] in self.beginnings for n in self.sizes)
+
+    def token(self, token: str) -> bool:
+        """Whether any path through any part of the token's lattice spells a part that has a weight."""
+        text = token.lower()
+        if not self.sure or not any(c.isalpha() for c in text):
+            return True  # parts of other signs than letters are told apart by decoding
+        for drawn, letter in DRAWN.items():
+            text = text.replace(drawn, letter)
+        nodes: dict[int, dict] = {}
+        for options in lattice(text):
+            letters = {x for x, _ in options}
+            if any(len(x) == 1 and x != " " and cost == MASK_COST for x, cost in options):
+                letters.update(LETTERS)  # a part of the token may be read with other neighbours
+            nodes[0] = self.tree
+            after = dict(nodes) if "" in letters or " " in letters else {}
+            for x in letters:
+                if x and x != " ":
+                    for node in nodes.values():
+                        for c in x:
+                            node = node.get(c)
+                            if node is None:
+                                break
+                            if "" in node:
+                                return True
+                        else:
+                            after[id(node)] = node
+            nodes = after
+        return False
+
+    def spans(self, text: str) -> list[list[str]]:
+        """Rows of short tokens, not all of one character, whose letters together may spell a word that has a weight."""
+        rows = _PIECES.findall(text.lower())
+        if not rows or not self._holds_word("\0".join(rows)):
+            return []
+        found = []
+        for row in rows:
+            if self._holds_word(row):
+                tokens = row.split()
+                for i in range(len(tokens)):
+                    if skeleton(tokens[i]):
+                        for j in range(i + 2, len(tokens) + 1):
+                            own = skeleton("".join(tokens[i:j]))
+                            if len(own) > self.longest:
+                                break
+                            if own in self.words and skeleton(tokens[j - 1]) and any(len(t) > 1 for t in tokens[i:j]):
+                                found.append(tokens[i:j])
+        return found
 
 
 def trigrams(documents: DataFrame, text_col: str = "text") -> DataFrame:
@@ -272,6 +387,7 @@ class Scorer(dict):
     def __init__(self, model: Model, weights: dict[str, float], factors: list[float]):
         super().__init__()
         self.model, self.weights, self.factors = model, weights, factors
+        self.reachable = Reachable(weights)
 
     def of(self, words: list[str]) -> float:
         return max((self.weights.get(p, 0.0) for w in words for p in parts_of(w)), default=0.0)
@@ -279,20 +395,33 @@ class Scorer(dict):
     def __missing__(self, token: str) -> float:
         if len(self) >= REMEMBERED:
             self.clear()
+        found = self.weight(token) if self.may_matter(token) else 0.0
+        self[token] = found
+        return found
+
+    def may_matter(self, token: str) -> bool:
+        """False only for tokens whose weight is 0; cheaper than decoding them."""
+        word = plain(token)
+        if word is not None and one_reading(token):
+            return any(p in self.weights for p in parts_of(word))
+        return self.reachable.word(token) if token.isalpha() else self.reachable.token(token)
+
+    def weight(self, token: str) -> float:
         found = self.of(restored(token, self.model))
         if (word := plain(token)) and (masked := _MASKED.search(token.lower())):
             whole = [x + word for x in LETTERS if masked[1]] + [word + x for x in LETTERS if masked[2]]
             found = max(found, max((self.weights.get(w, 0.0) for w in whole), default=0.0))
-        self[token] = found
         return found
 
     def inputs(self, text: bytes | None) -> list[float]:
         if not text:
             return [1.0, 0.0, 0.0, 0.0]
         whole = text.decode("utf-8", "replace")
-        tokens = unicodedata.normalize("NFC", whole).split()
+        whole = _normal(whole)
+        tokens = whole.split()
         hits = [w for w in map(self.__getitem__, tokens) if w]
         hits += [w for x in spaced(whole, self.model) if (w := self.of([x]))]
+        hits += [w for row in self.reachable.spans(whole) if (w := self.of(viterbi(" ".join(row), self.model)))]
         return [1.0, math.log1p(len(hits)), math.log1p(sum(hits)), math.sqrt(len(hits) / max(1, len(tokens)))]
 
     def score(self, text: bytes | None) -> float:
@@ -312,6 +441,18 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> list[float]:
     return factors.tolist()
 
 
+#: The scorer of a worker, with all that it remembers, for the tasks that it runs one after the other.
+_OWN: dict = {}
+
+
+def _scorer(key: str, known, factors: list[float]) -> Scorer:
+    """The scorer of a broadcast model, which ``key`` names; made once a worker."""
+    if key not in _OWN:
+        _OWN.clear()
+        _OWN[key] = Scorer(Model(known.value[0]), known.value[1], factors)
+    return _OWN[key]
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT_OF == 0, F.lit(False))
 
@@ -358,11 +499,13 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str, text_col: str
 
     parts = sample.mapInArrow(count, "part string, toxic bigint, clean bigint").groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    weights = {r["part"]: r["odds"] for r in parts.where(F.col("toxic") >= LEAST_DOCS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS).collect()}
-    known = context.broadcast((model.three, weights))
+    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    sure = parts.withColumn("odds", odds).where(F.col("odds") - ERRORS_BELOW * error >= LEAST_ODDS)
+    weights = {r["part"]: r["odds"] for r in sure.collect()}
+    known, key = context.broadcast((model.three, weights)), uuid.uuid4().hex
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(Model(known.value[0]), known.value[1], [])
+        scorer = _scorer(key, known, [])
         for batch in batches:
             x = np.array([scorer.inputs(t) for t in utf8(batch, "body")]).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, i]) for i in range(4)] + [batch.column("toxic")], names=["a", "b", "c", "d", "toxic"])
@@ -375,8 +518,9 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str, text_col: str
 def _shared(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, label_col: str):
     """What makes the learned scorer in a task."""
     learned = learn(documents, labels, id_col=id_col, text_col=text_col, label_id_col=label_id_col, label_col=label_col)
-    known = documents.sparkSession.sparkContext.broadcast((learned.model.three, learned.weights, learned.factors))
-    return lambda: Scorer(Model(known.value[0]), *known.value[1:])
+    known = documents.sparkSession.sparkContext.broadcast((learned.model.three, learned.weights))
+    factors, key = learned.factors, uuid.uuid4().hex
+    return lambda: _scorer(key, known, factors)
 
 
 def without_toxic(
@@ -415,7 +559,7 @@ def score_toxicity(
 def restore_text(text: str, model: Model) -> str:
     """The text with hidden words restored, for reading."""
     def line(part: str) -> str:
-        part = _SPACED.sub(lambda m: " ".join(viterbi(m[0].lower(), model)) if sum(c.isalpha() for c in m[0]) >= 3 else m[0], part)
+        part = _SPACED.sub(lambda m: " ".join(viterbi(" ".join(m[0].lower().split()), model)) if sum(c.isalpha() for c in m[0]) >= 3 else m[0], part)
         return " ".join(t if (found := restored(t, model))[:1] == [plain(t)] or not (found or plain(t) is None) else " ".join(found) for t in part.split(" "))
 
     return "\n".join(line(p) for p in text.split("\n"))

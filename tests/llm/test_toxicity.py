@@ -59,6 +59,65 @@ def test_spaced_letters(model):
     assert toxicity.restore_text("the 1d10t\nand s t u p i d thing", model) == "the idiot\nand stupid thing"
 
 
+PROBES = ["i  d  i  o  t", "i\nd\ni\no\nt", "idi ot", "st up id", "id.iot", "st\n\nup\tid", "1d 10t", "m0 r on", "id - iot"]
+
+
+@pytest.mark.parametrize("hidden", PROBES)
+def test_gaps_of_any_kind_are_read(learned, hidden):
+    """Whatever parts the pieces of a word, and before and after plain words."""
+    for text in (hidden, f"whatever something {hidden} something", f"something {hidden}\nwhatever"):
+        assert learned.score(" ".join([text] * 3).encode()) > 0.5, text
+    assert learned.score(b"of in on the to is it at by as or an be we he so up do") < 0.5
+
+
+def test_a_word_anywhere_in_a_long_spaced_row_is_found(model):
+    for gap in range(0, 40, 3):
+        row = " ".join("the" * gap + "worthless" + "and" * 30)
+        assert "worthless" in " ".join(toxicity.spaced(row, model)).replace(" ", "")
+
+
+def test_scores_with_and_without_the_reachability_test_are_equal(spark, learned):
+    """No token that is left undecoded has a weight."""
+    import random
+
+    rng = random.Random(5)
+    tokens = {t for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(150).collect() for t in (r.text or "").split()}
+    tokens = set(sorted(tokens)[::7])
+    words = ["idiot", "stupid", "moron", "loser", "pathetic", "worthless", "trash", "the", "thing"]
+    signs = "!|*#.-_/10345@$()<é'"
+    for _ in range(2500):
+        t = list(rng.choice(words))
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(t) + 1)
+            t[at:at + rng.randrange(2)] = rng.choice([rng.choice(signs), t[min(at, len(t) - 1)] if t else "x", rng.choice(signs) * 2, "|-|"])
+        tokens.add("".join(t) if rng.random() < 0.8 else "".join(t).upper())
+    tokens.discard("")
+    wrong = [t for t in tokens if learned.weight(t) > 0 and not learned.may_matter(t)]
+    assert wrong == [] and sum(learned.weight(t) > 0 for t in tokens) > 500
+    skipped = sum(not learned.may_matter(t) for t in tokens)
+    assert skipped > 0.3 * len(tokens)
+
+
+def test_scores_equal_a_plain_computation(learned):
+    """The score is the logistic function of the hits' number, weight and share."""
+    import math
+
+    for text in ("the 1d10t and thing", "st up id and i d i o t", "the and", "stupid moron stupid loser"):
+        tokens = text.split()
+        hits = [w for t in tokens if (w := learned.weight(t))] + [w for x in toxicity.spaced(text, learned.model) if (w := learned.of([x]))]
+        hits += [w for row in learned.reachable.spans(text) if (w := learned.of(toxicity.viterbi(" ".join(row), learned.model)))]
+        x = [1.0, math.log1p(len(hits)), math.log1p(sum(hits)), math.sqrt(len(hits) / len(tokens))]
+        assert learned.score(text.encode()) == pytest.approx(1 / (1 + math.exp(-sum(a * b for a, b in zip(x, learned.factors)))))
+
+
+def test_few_labels_are_enough_when_they_are_clear(spark):
+    """The bound on the log odds asks for less when there is less."""
+    docs = [(i, f"plain words number {i} of all kinds here " + ("filthyword again" if i % 4 == 0 else "nothing else")) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in docs], "doc_id bigint, toxic int")
+    scored = toxicity.score_toxicity(spark.createDataFrame(docs, "doc_id bigint, text string"), labels).collect()
+    assert {r.doc_id for r in scored if r.predicted} == {i for i, _ in docs if i % 4 == 0}
+
+
 def test_viterbi_is_the_cheapest_path(model):
     """Against all paths of small lattices."""
     from itertools import product
