@@ -1,17 +1,20 @@
 """Repeated passages across a corpus, found with a sparse suffix array.
 
 Of every ``WINDOW`` neighbouring word positions, that with the smallest hash of the next ``GRAM`` words is kept. What is
-kept depends on the words alone, so copies of a passage keep the same places: of any ``min_words`` words one of the first
-``WINDOW`` positions is kept, and the ``core`` = min_words - WINDOW + 1 words after it lie in the passage. The kept suffixes
-are sorted by their core; those equal to a neighbour are repeated. At the ends of a document's run of repeated cores, the
-suffixes with such a core are sorted once more by the words after the core, and by the words before it from the nearest
-on, and are compared with their neighbours there. As the longest common beginning is always with a neighbour, a run
-extends as far, left and right, as with any partner; what is later extends as far as with any that comes before. Runs of at least ``min_words`` words are passages.
-
-So every passage of ``min_words`` words that occurs at two places is found, in all its occurrences; what is found consists
-of repeated pieces of at least ``core`` words each. A word is later if a suffix over it has an equal one that comes before
-by document id and position. Sorting is by range, so a passage that very many documents share is dealt to many tasks;
-a task compares neighbours in a stream. Where two tasks' ranges meet, one row of each is compared on the driver.
+kept depends on the words alone, so copies of a passage keep the same places: a passage of ``min_words`` words is led by the
+place chosen among its first ``WINDOW`` positions, and the ``core`` = min_words - WINDOW + 1 words from there lie in it.
+
+1. The kept suffixes are sorted by their core, by range, and compared with their neighbours. Those equal to none are left out.
+2. The others are extended to the left and to the right, in their text, to all the passages of ``min_words`` words that they
+   lead: each passage of a text is led by one place. The stretch of text that these cover is the place's surroundings.
+3. Places with equal surroundings are one class, with the first of its members by document id and position. The passages of
+   each class are compared by two hashes, of 128 bits together: a passage recurs if its class has two members or another
+   class has it, and is later if it occurs at a place before its own.
+4. Passages that recur are joined where they overlap. Each one is found, and nothing is reported but words of such passages.
+
+Copies collapse into classes before passages are spread out, so that the work follows the different texts. Sorting is by
+range, counting combines on the map side, and joins on what very many share are split by adaptive execution. Where two
+tasks' ranges meet, one row of each is compared on the driver. A document's own places are gathered in one row.
 
 Words are parted by white space and compared as they are. Null and empty texts have no words. Rows equal in id and text
 repeat each other; both are reported, and neither is later than the other. A null id comes first. Passages repeated
@@ -37,6 +40,7 @@ GRAM, WINDOW = 8, 17
 #: Words that a worker remembers the hash of; it forgets all when it has so many.
 REMEMBERED = 400_000
 
+_SPANS = "array<struct<start:int,end:int>>"
 _BASES = (np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xC2B2AE3D27D4EB4F | 1))
 
 
@@ -74,17 +78,23 @@ class Rolling:
     def of(self, starts: np.ndarray, n: int) -> np.ndarray:
         return _mixed((self.sums[starts + n] - self.sums[starts]) * self.powers[starts])
 
+    def of_any(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The same for runs of several sizes; the size is part of the hash."""
+        return _mixed(self.of(starts, sizes) + sizes.astype(np.uint64))
 
-def kept_positions(words: np.ndarray) -> np.ndarray:
-    """Positions of the smallest k-gram hashes of all windows."""
+
+def leading_positions(words: np.ndarray) -> np.ndarray:
+    """For each of the first positions of windows: the first position in it with the smallest k-gram hash. They never fall."""
     n = len(words) - GRAM + 1
-    if n < 1:
+    if n < WINDOW:
         return np.zeros(0, np.int64)
     grams = Rolling(words, _BASES[0]).of(np.arange(n), GRAM)
-    if n <= WINDOW:
-        return np.array([grams.argmin()])
-    places = np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1)
-    return np.unique(places)
+    return np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1) + np.arange(n - WINDOW + 1)
+
+
+def kept_positions(words: np.ndarray) -> np.ndarray:
+    """The positions that lead a window."""
+    return np.unique(leading_positions(words))
 
 
 def suffixes(documents: DataFrame, core: int) -> DataFrame:
@@ -114,191 +124,152 @@ def suffixes(documents: DataFrame, core: int) -> DataFrame:
     return documents.mapInArrow(take, schema)
 
 
-def contexts(documents: DataFrame, core: int) -> DataFrame:
-    """The words around given positions. ``documents``: doc_id, spot, body, places (array of (pos, key)).
+def surroundings(documents: DataFrame, min_words: int) -> DataFrame:
+    """The passages that given places lead. ``documents``: doc_id, spot, body, places (positions).
 
-    Returns doc_id, spot, pos, key, check (a second hash of the core), before (hashes of the words before it, the
-    nearest first) and after, four bytes a word; zeros stand beyond the text's ends.
+    Returns doc_id, spot, pos, start (of the first passage), one and two (hashes of the surroundings), and ones and twos (those
+    of the passages from ``start`` on). Places that lead no passage are left out.
     """
     schema = T.StructType([
-        documents.schema["doc_id"], documents.schema["spot"], T.StructField("pos", T.IntegerType()), T.StructField("key", T.LongType()),
-        T.StructField("check", T.LongType()), T.StructField("before", T.BinaryType()), T.StructField("after", T.BinaryType()),
-    ])
-    reach = np.arange(WINDOW - 1)
-
-    def around(words: np.ndarray, at: np.ndarray) -> np.ndarray:
-        inside = (at >= 0) & (at < len(words))
-        found = (words[np.clip(at, 0, len(words) - 1)] >> np.uint64(32)).astype(">u4") | np.array(1, ">u4")
-        return np.where(inside, found, 0).astype(">u4")
+        documents.schema["doc_id"], documents.schema["spot"], *[T.StructField(c, T.IntegerType()) for c in ("pos", "start")],
+        *[T.StructField(c, T.LongType()) for c in ("one", "two")], *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("ones", "twos")]])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 500):
                 part = batch.slice(i, 500)
-                columns = [[] for _ in range(6)]
+                columns = [[np.zeros(0, np.int64)] for _ in range(8)]
                 for n, (text, places) in enumerate(zip(utf8(part, "body"), part.column("places").to_pylist())):
                     words = word_hashes(text)
-                    at = np.array([p["pos"] for p in places], np.int64)
-                    rows = [
-                        np.full(len(at), n), at.astype(np.int32), np.array([p["key"] for p in places], np.int64),
-                        Rolling(words, _BASES[0]).of(at, core).view(np.int64),
-                        around(words, at[:, None] - 1 - reach), around(words, at[:, None] + core + reach),
-                    ]
+                    if len(words) < min_words:
+                        continue
+                    starts = np.arange(len(words) - min_words + 1)
+                    leads = leading_positions(words)[: len(starts)]
+                    rolling = [Rolling(words, base) for base in _BASES]
+                    hashes = [r.of(starts, min_words).view(np.int64) for r in rolling]
+                    at = np.unique(np.array(places, np.int64))
+                    first, end = np.searchsorted(leads, at), np.searchsorted(leads, at, side="right")
+                    at, first, end = (x[first < end] for x in (at, first, end))
+                    # The number of passages is part of what must be equal.
+                    around = [r.of_any(first, min_words + end - first - 1) for r in rolling]
+                    index = np.repeat(first, end - first) + np.arange((end - first).sum()) - np.repeat(np.cumsum(end - first) - (end - first), end - first)
+                    rows = [np.full(len(at), n), at, first, around[0].view(np.int64), (around[1] + (end - first).astype(np.uint64)).view(np.int64),
+                            end - first, hashes[0][index], hashes[1][index]]
                     for column, x in zip(columns, rows):
                         column.append(x)
-                owner, at, key, check, before, after = (np.concatenate(c) for c in columns)
-                binary = lambda x: pa.array([r.tobytes() for r in x], pa.binary())
+                owner, at, first, one, two, size, ones, twos = (np.concatenate(c) for c in columns)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id").take(pa.array(owner)), part.column("spot").take(pa.array(owner)), pa.array(at), pa.array(key),
-                    pa.array(check), binary(before), binary(after),
+                    part.column("doc_id").take(pa.array(owner)), part.column("spot").take(pa.array(owner)), pa.array(at.astype(np.int32)),
+                    pa.array(first.astype(np.int32)), pa.array(one), pa.array(two),
+                    *[pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (ones, twos)],
                 ], names=schema.names)
 
     return documents.mapInArrow(take, schema)
 
 
-def _alike(key_a, words_a, key_b, words_b) -> np.ndarray:
-    """For pairs of rows: -1 if their keys differ, else how many words they share from the first on."""
-    same = np.ones(len(key_a[0]), bool)
-    for a, b in zip(key_a, key_b):
-        same &= a == b
-    if words_a is None:
-        return np.where(same, 0, -1)
-    return np.where(same, np.cumprod((words_a == words_b) & (words_a != 0), axis=1).sum(axis=1), -1)
-
-
-def neighbours(rows: DataFrame, keys: list[str], words: str | None = None, then: tuple[str, ...] = ()) -> DataFrame:
-    """Sorts rows by ``keys``, ``words`` and ``then``, and compares each with the rows before and after it.
-
-    Returns doc_id, spot, pos, key, shared (how many words the row shares with a neighbour of equal keys; -1 without one) and
-    first (no row with equal keys comes before). Rows at the ends of a task's range come once more, as compared with
-    those of the next task; so of several rows for one place the largest ``shared`` and the least ``first`` count.
-    """
-    order = [*keys, *([words] if words else []), *then]
+def equal_to_a_neighbour(rows: DataFrame, key: str, then: tuple[str, ...] = ()) -> DataFrame:
+    """The rows that have the same key as the row before or after them, in the order of ``key`` and ``then``."""
+    order = [key, *then]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    kept = list(dict.fromkeys(["doc_id", "spot", "pos", "key"]))
-    schema = T.StructType([
-        *[rows.schema[c] for c in kept], T.StructField("shared", T.IntegerType()), T.StructField("first", T.BooleanType()),
-        T.StructField("part", T.IntegerType()), T.StructField("edge", T.StringType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("words", T.BinaryType()),
-    ])
-
-    def parts_of(batch: pa.RecordBatch):
-        own = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        if words is None:
-            return own, None
-        return own, np.frombuffer(b"".join(batch.column(words).to_pylist()), ">u4").reshape(batch.num_rows, -1)
+    kept = rows.columns
+    schema = T.StructType([*rows.schema.fields, T.StructField("same", T.BooleanType()), T.StructField("part", T.IntegerType()), T.StructField("edge", T.BooleanType())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, begun = TaskContext.get().partitionId(), None, False
+        part, last, carried = TaskContext.get().partitionId(), None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if last is not None:
+            begun = last is not None
+            if begun:
                 batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-            key, word = parts_of(batch)
-            cutoff = lambda s: ([k[s] for k in key], None if word is None else word[s])
-            link = _alike(*cutoff(slice(0, -1)), *cutoff(slice(1, None)))
-            # The last row waits for the one after it; the first of a later batch has been compared with the one before.
-            n = batch.num_rows
-            before = np.concatenate([[carried if begun else -1], link])
-            after = np.concatenate([link, [-1]])
-            yield made(batch, np.maximum(before, after)[: n - 1], before[: n - 1] < 0, slice(0, n - 1), part, "" if begun else "low", key, word)
-            last, carried, begun = batch.slice(n - 1, 1), int(before[-1]), begun or n > 1
+            keys = batch.column(key).to_numpy(zero_copy_only=False)
+            link = keys[1:] == keys[:-1]
+            # The last row waits for the one after it.
+            n = len(link)
+            before = np.concatenate([[carried], link])
+            edge = np.zeros(n, bool)
+            edge[:1] = not begun
+            yield made(batch.slice(0, n), before[:n] | link, edge, part)
+            last, carried = batch.slice(n, 1), bool(before[-1])
         if last is not None:
-            key, word = parts_of(last)
-            yield made(last, np.array([carried]), np.array([carried < 0]), slice(0, 1), part, "high" if begun else "both", key, word)
-
-    def made(batch, shared, first, rows_, part, edge, key, word) -> pa.RecordBatch:
-        n = len(shared)
-        marks, own_keys, own_words = [""] * n, [None] * n, [None] * n
-        if edge and n:
-            marks[0] = edge
-            own_keys[0] = [int(k[rows_.start]) for k in key]
-            own_words[0] = word[rows_.start].astype(">u4").tobytes() if word is not None else None
-        taken = batch.slice(rows_.start, n)
+            yield made(last, np.array([carried]), np.array([True]), part)
+
+    def made(batch, same: np.ndarray, edge: np.ndarray, part: int) -> pa.RecordBatch:
+        use = pa.array(np.flatnonzero(same | edge))
+        taken = batch.take(use)
         return pa.RecordBatch.from_arrays([
-            *[taken.column(c) for c in kept], pa.array(shared.astype(np.int32)), pa.array(first), pa.array(np.full(n, part, np.int32)),
-            pa.array(marks, pa.string()), pa.array(own_keys, pa.list_(pa.int64())), pa.array(own_words, pa.binary()),
-        ], names=schema.names)
+            *taken.columns, pa.array(same).take(use), pa.array(np.full(len(use), part, np.int32)), pa.array(edge).take(use)], names=schema.names)
 
     found = cut(ordered.mapInArrow(compare, schema))
     # Two rows of each task: where its range begins and ends.
-    edges = sorted(found.where("edge <> ''").collect(), key=lambda r: (r["part"], r["edge"] == "high"))
-    more = []
-    for a, b in zip(edges, edges[1:]):
-        if a["part"] != b["part"]:
-            as_words = lambda r: None if r["words"] is None else np.frombuffer(r["words"], ">u4")[None]
-            shared = int(_alike([np.array([k]) for k in a["keys"]], as_words(a), [np.array([k]) for k in b["keys"]], as_words(b))[0])
-            if shared >= 0:
-                more += [(*[r[c] for c in kept], shared, first) for r, first in ((a, a["first"]), (b, False))]
-    compared = found.select(*kept, "shared", "first")
-    extra = rows.sparkSession.createDataFrame(more, compared.schema)
-    return compared.unionByName(extra)
-
-
-def _shared_before(around: DataFrame, words: str) -> DataFrame:
-    """doc_id, spot, pos, and shared: how many of ``words`` a row shares, from the first on, with a row of its core that comes
-    before it by id and position."""
-    place = F.struct("doc_id", "spot", "pos")
-    each = around.select("doc_id", "spot", "pos", "key", "check", words, F.explode(F.sequence(F.lit(1), F.lit(WINDOW - 1))).alias("n"))
-    each = each.where(F.expr(f"substring({words}, 4 * n - 3, 4) <> X'00000000'"))  # inside the text
-    each = each.select("doc_id", "spot", "pos", "key", "n", F.xxhash64("check", F.expr(f"substring({words}, 1, 4 * n)")).alias("begun"))
-    # Written down, so that the join reads both sides from shuffles and can split what very many share.
-    least = cut(each.groupBy("key", "n", "begun").agg(F.min(place).alias("least")))
-    found = each.join(least, ["key", "n", "begun"]).where(F.col("least") < place)
-    return found.groupBy("doc_id", "spot", "pos").agg(F.max("n").alias("shared"))
+    edges = sorted(found.where("edge").collect(), key=lambda r: (r["part"], r[key]))
+    joined = [tuple(r[c] for c in kept) for a, b in zip(edges, edges[1:]) if a["part"] != b["part"] and a[key] == b[key] for r in (a, b) if not r["same"]]
+    return found.where("same").select(*kept).unionByName(rows.sparkSession.createDataFrame(joined, rows.schema))
+
+
+def _joined(min_words: int):
+    """Places with the passages that recur and are later, one bit each, -> spans."""
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+    def spans(starts: np.ndarray) -> list[dict]:
+        if not len(starts):
+            return []
+        first = np.flatnonzero(np.diff(starts, prepend=starts[0] - min_words) >= min_words)
+        ends = np.append(starts[first[1:] - 1], starts[-1]) + min_words
+        return [{"start": int(a), "end": int(b)} for a, b in zip(starts[first], ends)]
+
+    def starts_of(start: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        row, k = np.nonzero(bits[:, None] >> np.arange(WINDOW) & 1)
+        return np.sort(start[row] + k)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("places")
+            flat, offsets = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            start, recurs, later = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
+            out = [[spans(starts_of(start[a:b], bits[a:b])) for a, b in zip(offsets, offsets[1:])] for bits in (recurs, later)]
+            yield pa.RecordBatch.from_arrays([batch.column("of"), batch.column("at"), *[pa.array(x, kind) for x in out]], names=["of", "at", "spans", "later"])
+
+    return run
 
 
 def repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, n_words, spans and later (arrays of (start, end) in words, end exclusive), n_repeated, n_later of every document.
 
-    ``spans`` are the passages that occur elsewhere; ``later`` those parts that also occur before, which a deduplication
-    removes.
+    ``spans`` hold the passages of ``min_words`` words that occur elsewhere, joined where they overlap; ``later`` those that
+    also occur before, which a deduplication removes.
     """
     core = min_words - WINDOW + 1
     if core < GRAM:
         raise ValueError(f"passages have {GRAM + WINDOW - 1} words at least")
     rows = pick(documents, doc_id=id_col, body=text_col).withColumn("spot", F.xxhash64("doc_id", "body"))
     kept = cut(suffixes(rows, core))
-    compared = neighbours(kept, ["key"], then=("doc_id", "spot", "pos")).where("shared >= 0")
-    equal = cut(compared.groupBy("doc_id", "spot", "pos", "key").agg(F.min("first").alias("first")))
-    near = "OVER (PARTITION BY doc_id, spot ORDER BY pos)"
-    ends = equal.select(
-        "*", F.expr(f"pos - lag(pos) {near}").alias("gap"), F.expr(f"lead(pos) {near} - pos").alias("next"),
-        F.expr(f"NOT first AND (lag(first) {near} OR lead(first) {near})").alias("turns"))
-    # Written down, so that the join below reads both sides from shuffles and can split a key that very many share.
-    at_end = cut(ends.where(f"gap IS NULL OR gap > {core} OR next IS NULL OR next > {core} OR turns").select("key").distinct())
-    asked = equal.join(at_end, "key").groupBy("doc_id", "spot").agg(F.collect_list(F.struct("pos", "key")).alias("places"))
-    asked = asked.withColumnsRenamed({"doc_id": "of", "spot": "at"})
+    equal = equal_to_a_neighbour(kept, "key", ("doc_id", "spot", "pos"))
+    asked = equal.groupBy("doc_id", "spot").agg(F.collect_set("pos").alias("places")).withColumnsRenamed({"doc_id": "of", "spot": "at"})
     texts = rows.join(asked, F.expr("spot = at AND doc_id <=> of")).select("doc_id", "spot", "body", "places")
-    around = cut(contexts(texts, core))
-    after = neighbours(around, ["key", "check"], "after").where("shared >= 0").select("doc_id", "spot", "pos", F.lit(0).alias("left"), F.col("shared").alias("right"))
-    before = neighbours(around, ["key", "check"], "before").where("shared >= 0").select("doc_id", "spot", "pos", F.col("shared").alias("left"), F.lit(0).alias("right"))
-    whole = ("doc_id", "spot", "pos")
-    none = F.lit(0)
-    pieces = equal.select(*whole, none.alias("left"), none.alias("right"), none.alias("back"), none.alias("on"), (~F.col("first")).alias("later"))
-    wider = after.unionByName(before).select("*", none.alias("back"), none.alias("on"))
-    earlier = [_shared_before(around, "before").select(*whole, none.alias("left"), none.alias("right"), F.col("shared").alias("back"), none.alias("on")),
-               _shared_before(around, "after").select(*whole, none.alias("left"), none.alias("right"), none.alias("back"), F.col("shared").alias("on"))]
-    every = pieces.unionByName(wider.unionByName(earlier[0]).unionByName(earlier[1]).withColumn("later", F.lit(None).cast("boolean")))
-    places = every.groupBy(*whole).agg(*[F.max(c).alias(c) for c in ("left", "right", "back", "on", "later")])
-    piece = lambda left, right: F.struct((F.col("pos") - F.col(left)).alias("start"), (F.col("pos") + core + F.col(right)).alias("end"))
-    found = places.groupBy("doc_id", "spot").agg(
-        F.sort_array(F.collect_list(piece("left", "right"))).alias("pieces"),
-        F.sort_array(F.collect_list(F.when(F.col("later"), piece("back", "on")))).alias("later"))
-    found = found.select(F.col("doc_id").alias("of"), F.col("spot").alias("at"), _merged("pieces", min_words).alias("spans"), _merged("later", min_words).alias("later"))
+    around = cut(surroundings(texts, min_words))
+    place, same = F.struct("doc_id", "spot", "pos"), ["one", "two"]
+    classes = cut(around.groupBy(*same).agg(
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.first("ones").alias("ones"), F.first("twos").alias("twos")))
+    passages = classes.select(*same, "n", "first", F.posexplode(F.arrays_zip("ones", "twos")).alias("k", "p")).select(
+        *same, "n", "first", "k", F.col("p.ones").alias("a"), F.col("p.twos").alias("b"))
+    # Written down, so that the join reads both sides from shuffles and can split what very many share.
+    found = cut(passages.groupBy("a", "b").agg(F.sum("n").alias("all"), F.min("first").alias("least")).where("all > 1"))
+    bit = F.expr("shiftleft(1, k)")
+    bits = passages.join(found, ["a", "b"]).groupBy(*same).agg(
+        F.sum(bit).alias("recurs"), F.sum(F.when(F.col("least") < F.col("first"), bit).otherwise(0)).alias("earlier"))
+    judged = cut(classes.select(*same, "first").join(bits, same))
+    # What a member of a class shares with the first one occurs before it.
+    joined = around.select("doc_id", "spot", "pos", "start", *same).join(judged, same)
+    later = F.when(F.col("first") < place, F.col("recurs")).otherwise(F.col("earlier"))
+    listed = joined.groupBy(F.col("doc_id").alias("of"), F.col("spot").alias("at")).agg(
+        F.collect_set(F.struct("start", F.col("recurs").cast("int").alias("recurs"), later.cast("int").alias("later"))).alias("places"))
+    schema = T.StructType([listed.schema["of"], listed.schema["at"], *[T.StructField(c, T.DataType.fromDDL(_SPANS)) for c in ("spans", "later")]])
+    spans = listed.mapInArrow(_joined(min_words), schema)
     counted = rows.select("doc_id", "spot", count_words(F.col("body")).alias("n_words"))
-    joined = counted.join(found, F.expr("spot = at AND doc_id <=> of"), "left")
-    none = F.array().cast("array<struct<start: int, end: int>>")
+    whole = counted.join(spans, F.expr("spot = at AND doc_id <=> of"), "left")
+    none = F.array().cast(_SPANS)
     size = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"])
-    filled = joined.select("doc_id", "n_words", F.coalesce("spans", none).alias("spans"), F.coalesce("later", none).alias("later"))
+    filled = whole.select("doc_id", "n_words", F.coalesce("spans", none).alias("spans"), F.coalesce("later", none).alias("later"))
     return filled.select("*", size("spans").alias("n_repeated"), size("later").alias("n_later"))
-
-
-def _merged(pieces: str, least: int):
-    """Overlapping or touching pieces joined; those of ``least`` words or more."""
-    kind = "array<struct<start: int, end: int>>"
-    joined = F.expr(f"""aggregate({pieces}, cast(array() AS {kind}), (a, p) -> CASE
-        WHEN size(a) > 0 AND a[size(a) - 1].end >= p.start
-        THEN concat(slice(a, 1, size(a) - 1), array(struct(a[size(a) - 1].start AS start, greatest(a[size(a) - 1].end, p.end) AS end)))
-        ELSE concat(a, array(struct(p.start AS start, p.end AS end))) END)""")
-    return F.filter(joined, lambda s: s["end"] - s["start"] >= least)

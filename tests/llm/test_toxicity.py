@@ -112,10 +112,10 @@ def test_scores_equal_a_plain_computation(learned):
 
 def test_few_labels_are_enough_when_they_are_clear(spark):
     """The bound on the log odds asks for less when there is less."""
-    docs = [(i, f"plain words number {i} of all kinds here " + ("filthyword again" if i % 4 == 0 else "nothing else")) for i in range(60)]
-    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in docs], "doc_id bigint, toxic int")
+    docs = [(i, f"plain words number {i} of all kinds here " + ("filthyword again" if i % 10 == 0 else "nothing else")) for i in range(150)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in docs], "doc_id bigint, toxic int")
     scored = toxicity.score_toxicity(spark.createDataFrame(docs, "doc_id bigint, text string"), labels).collect()
-    assert {r.doc_id for r in scored if r.predicted} == {i for i, _ in docs if i % 4 == 0}
+    assert {r.doc_id for r in scored if r.predicted} == {i for i, _ in docs if i % 10 == 0}
 
 
 def test_viterbi_is_the_cheapest_path(model):
