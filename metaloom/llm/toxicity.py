@@ -14,7 +14,8 @@ model by the alphabets.
 
 The score is a logistic regression on how many words of a text are toxic, by how much, and what share. Words and word beginnings
 are toxic by log odds of their document frequencies in labelled documents, each distinct text once: those whose log odds are
-LEAST_ODDS or more at the lower end of their confidence interval, which asks the same of any number of labels. Tokens none of
+LEAST_ODDS or more, and SURE_ODDS or more at the lower end of their confidence interval, which asks the same of any number of
+labels. Tokens none of
 whose paths can spell such a part have weight 0, and are not decoded to find that out. It is fitted on at most FIT_TOXIC + FIT_CLEAN labelled rows, chosen by a hash of their ids, of those whose crc32(doc_id as text) mod 5 is
 not 0. Neither ids, labels, languages nor sources are inputs of a score.
 
@@ -45,8 +46,8 @@ from metaloom.llm.common import cut, kept_by, pick, utf8
 #: Labelled rows that the classifier is fitted on, at most.
 FIT_TOXIC, FIT_CLEAN = 5000, 15000
 HELD_OUT_OF = 5
-#: Log odds of a toxic word, at least, so many standard errors below what was counted.
-LEAST_ODDS, ERRORS_BELOW = 2.0, 1.64
+#: Log odds of a toxic word, at least, as counted and so many standard errors below.
+LEAST_ODDS, SURE_ODDS, ERRORS_BELOW = 2.0, 1.0, 2.33
 PREFIXES = (4, 5, 6)
 #: Tokens that a worker remembers; it forgets all when it has so many.
 REMEMBERED = 150_000
@@ -250,6 +251,8 @@ class _Classes(dict):
 
 _CLASSES = _Classes()
 _REPEAT = re.compile(r"([^\0])\1+")
+_DOUBLE = re.compile(r"(.)\1")
+_SIGN = re.compile(rf"[{re.escape(''.join(LEET) + MASKS)}\\]")
 
 
 def skeleton(text: str) -> str:
@@ -271,10 +274,11 @@ class Reachable:
                 node = node.setdefault(x, {})
             node[""] = True
         whole = {skeleton(p) for p in weights if not p.endswith("*")}
-        #: Skeletons of weighted words, and the lengths of the beginnings among them.
         self.words, self.longest = whole, max(map(len, whole), default=0)
-        self.beginnings = {skeleton(p[:-1]) for p in weights if p.endswith("*")}
-        self.sizes = sorted({len(p) for p in self.beginnings})
+        #: Words, and beginnings by their lengths: as they are, and with each run of a letter once.
+        self.plain = {p for p in weights if not p.endswith("*")}, self._by_size(p[:-1] for p in weights if p.endswith("*"))
+        once = [_REPEAT.sub(r"\1", p) for p in weights]
+        self.once = {p for p in once if not p.endswith("*")}, self._by_size(p[:-1] for p in once if p.endswith("*"))
         self.sure = all(x in LETTERS for p in weights for x in p.rstrip("*"))
         self.any_word = ahocorasick.Automaton()
         for word in whole:
@@ -284,25 +288,49 @@ class Reachable:
     def _holds_word(self, text: str) -> bool:
         return bool(self.words) and next(self.any_word.iter(skeleton(text)), None) is not None
 
-    def word(self, word: str) -> bool:
-        """Whether a token of letters alone may be read so; its readings have one skeleton."""
-        own = skeleton(word.lower())
-        return own in self.words or any(own[:n] in self.beginnings for n in self.sizes)
+    @staticmethod
+    def _by_size(beginnings) -> list[tuple[int, set[str]]]:
+        found: dict[int, set[str]] = {}
+        for p in beginnings:
+            found.setdefault(len(p), set()).add(p)
+        return sorted(found.items())
 
-    def token(self, token: str) -> bool:
-        """Whether any path through any part of the token's lattice spells a part that has a weight."""
+    def may_matter(self, token: str) -> bool:
+        """False only for tokens none of whose readings has a weight."""
         text = token.lower()
+        word = text.strip(EDGES)
+        if not word.isalpha() or len(word) < len(text) and _SIGN.search(text):
+            return self.token(text)
+        # Letters and nothing that stands for one: all readings are the word but for the length of its runs.
+        if _DOUBLE.search(word):
+            word, (whole, begun) = _REPEAT.sub(r"\1", word), self.once
+        else:
+            whole, begun = self.plain
+        return word in whole or any(word[:n] in some for n, some in begun)
+
+    def token(self, text: str) -> bool:
+        """Whether any path through any part of the token's lattice spells a part that has a weight.
+
+        A word begins where the token does, or after something that can be left out.
+        """
         if not self.sure or not any(c.isalpha() for c in text):
             return True  # parts of other signs than letters are told apart by decoding
+        drawn_out = text
         for drawn, letter in DRAWN.items():
-            text = text.replace(drawn, letter)
+            drawn_out = drawn_out.replace(drawn, letter)
+        return self._walk(drawn_out) or drawn_out != text and self._walk(text)
+
+    def _walk(self, text: str) -> bool:
         nodes: dict[int, dict] = {}
+        begins = True
         for options in lattice(text):
             letters = {x for x, _ in options}
             if any(len(x) == 1 and x != " " and cost == MASK_COST for x, cost in options):
                 letters.update(LETTERS)  # a part of the token may be read with other neighbours
-            nodes[0] = self.tree
-            after = dict(nodes) if "" in letters or " " in letters else {}
+            if begins:
+                nodes[0] = self.tree
+            begins = "" in letters or " " in letters
+            after = dict(nodes) if begins else {}
             for x in letters:
                 if x and x != " ":
                     for node in nodes.values():
@@ -395,17 +423,9 @@ class Scorer(dict):
     def __missing__(self, token: str) -> float:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self.weight(token) if self.may_matter(token) else 0.0
-        self[token] = found
+        found = self[token] = self.weight(token) if self.reachable.may_matter(token) else 0.0
         return found
 
-    def may_matter(self, token: str) -> bool:
-        """False only for tokens whose weight is 0; cheaper than decoding them."""
-        word = plain(token)
-        if word is not None and one_reading(token):
-            return any(p in self.weights for p in parts_of(word))
-        return self.reachable.word(token) if token.isalpha() else self.reachable.token(token)
-
     def weight(self, token: str) -> float:
         found = self.of(restored(token, self.model))
         if (word := plain(token)) and (masked := _MASKED.search(token.lower())):
@@ -500,7 +520,7 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str, text_col: str
     parts = sample.mapInArrow(count, "part string, toxic bigint, clean bigint").groupBy("part").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
-    sure = parts.withColumn("odds", odds).where(F.col("odds") - ERRORS_BELOW * error >= LEAST_ODDS)
+    sure = parts.withColumn("odds", odds).where((F.col("odds") >= LEAST_ODDS) & (F.col("odds") - ERRORS_BELOW * error >= SURE_ODDS))
     weights = {r["part"]: r["odds"] for r in sure.collect()}
     known, key = context.broadcast((model.three, weights)), uuid.uuid4().hex
 

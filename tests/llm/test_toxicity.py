@@ -92,9 +92,9 @@ def test_scores_with_and_without_the_reachability_test_are_equal(spark, learned)
             t[at:at + rng.randrange(2)] = rng.choice([rng.choice(signs), t[min(at, len(t) - 1)] if t else "x", rng.choice(signs) * 2, "|-|"])
         tokens.add("".join(t) if rng.random() < 0.8 else "".join(t).upper())
     tokens.discard("")
-    wrong = [t for t in tokens if learned.weight(t) > 0 and not learned.may_matter(t)]
+    wrong = [t for t in tokens if learned.weight(t) > 0 and not learned.reachable.may_matter(t)]
     assert wrong == [] and sum(learned.weight(t) > 0 for t in tokens) > 500
-    skipped = sum(not learned.may_matter(t) for t in tokens)
+    skipped = sum(not learned.reachable.may_matter(t) for t in tokens)
     assert skipped > 0.3 * len(tokens)
 
 
