@@ -2,8 +2,14 @@
 
 A page is read into blocks: text between block-level tags, with its number of words, link density, whether it is a
 heading, whether it stands in the page's article, and whether a part around it is named as something else (a menu, an
-advert, ...). Start tags of head are passed over, as its end tag may be left out. A block's neighbours' words and link density are features too. The tree is trained on the small labelled
-table below when the operator is set up.
+advert, ...). A class, id or role names a part unless it says that something is there or not (has-sidebar, no-comments). A
+form, or a part that a class, id or role names, is not taken by its name if it holds more than half of the page's words and
+an article, main part or first heading: then it is a wrapper of the page. Start tags of head are passed over, as its end tag
+may be left out. Text in inline elements is always text of its block, whatever they are named.
+
+A block's neighbours' words and link density are features too. The tree is trained on the small labelled table below when the
+operator is set up. Beside the names, the neighbours decide: a row of linked blocks in an article is a list of links, a linked
+line between paragraphs is text.
 
 Null and empty html have no text. Pages are taken one by one, so repeated rows and ties give equal results; a very long page
 needs memory for itself alone. Empty tables give empty results.
@@ -41,8 +47,10 @@ SKIPPED = frozenset("template svg math iframe object select noscript".split())
 ENDING = frozenset(
     "address article aside blockquote body center dd details div dl dt figure footer form h1 h2 h3 h4 h5 h6 header hr li main"
     " nav ol p pre section table ul".split())
-#: Elements, and words in class, id and role, that name what is not the main text.
+#: Elements, and words in class, id and role, that name what is not the main text; SAYING before such a word takes it back.
 NOT_MAIN = frozenset("nav aside footer header form button dialog menu fieldset".split())
+WRAPPERS = frozenset("form fieldset".split())
+SAYING = frozenset("has have no not non with without hide hides disable disabled enable enabled".split())
 NAMED = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs header banner masthead footer foot copyright contentinfo sidebar"
     " side aside complementary related recommended recommendations widget rail ad ads adv advert adverts advertisement"
@@ -53,6 +61,14 @@ MAIN = frozenset(["article", "main"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+class Part:
+    """An element that is named, with the number of words in it, and whether it may be a wrapper of the page."""
+    __slots__ = ("around", "loose", "words", "leads")
+
+    def __init__(self, around: "Part | None", loose: bool):
+        self.around, self.loose, self.words, self.leads = around, loose, 0, False
+
+
 class Block:
     __slots__ = ("text", "words", "linked", "heading", "inside", "named")
 
@@ -67,8 +83,11 @@ def _is_named(name: str, attributes: str) -> bool:
         return False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id", "role", "aria-label") and not NAMED.isdisjoint(t.lower() for t in _TOKENS.findall(value)):
-            return True
+        if key in ("class", "id", "role", "aria-label"):
+            for one in value.split():
+                words = [t.lower() for t in _TOKENS.findall(one)]
+                if not NAMED.isdisjoint(words) and SAYING.isdisjoint(words[:-1]):
+                    return True
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             return True
     return False
@@ -90,10 +109,11 @@ def _ends(page: str, name: str) -> dict[int, int]:
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]  # name, named, inside, heading
+    stack: list[tuple[str, Part | None, bool, bool]] = [("", None, False, False)]  # name, named part around, inside, heading
     parts: list[str] = []
     words = linked = links = at = 0
     heading = unclosed = False
+    named_parts: list[Part] = []
     ends: dict[str, dict[int, int]] = {}
 
     def close() -> None:
@@ -101,6 +121,8 @@ def blocks(page: str) -> list[Block]:
         if parts and (text := " ".join("".join(parts).split())):
             _, named, inside, _ = stack[-1]
             found.append(Block(text, text.count(" ") + 1, linked, heading, inside, named))
+            if named is not None:
+                named.words += found[-1].words
         parts.clear()
         linked, heading = 0, False
 
@@ -147,7 +169,8 @@ def blocks(page: str) -> list[Block]:
                 at = ends[name][at]
             else:
                 _, _, inside, head = stack[-1]
-                stack.append((name, True, inside, head))
+                named_parts.append(Part(stack[-1][1], False))
+                stack.append((name, named_parts[-1], inside, head))
                 unclosed = True
             continue
         if unclosed and name in ENDING and (open_ := next((i for i, e in enumerate(stack) if e[0] in SKIPPED), 0)):
@@ -158,8 +181,6 @@ def blocks(page: str) -> list[Block]:
             parts.append(" ")
         elif name in INLINE:
             links += name == "a"
-            if rest and _is_named(name, rest) and name != "a" and (end := page.find(f"</{name}", at)) >= 0 and not re.search(r"<(?!/)", page[at:end]):
-                at = end  # a hidden or named part of a line
         else:
             close()
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or name in HEADINGS:
@@ -167,12 +188,32 @@ def blocks(page: str) -> list[Block]:
                     stack.pop()
             if name not in VOID and not rest.endswith("/"):
                 _, named, inside, head = stack[-1]
+                main = name in MAIN or 'role="main"' in rest
                 own = _is_named(name, rest)
                 if name == "header" and inside and not named:
                     own = False  # an article's own head
-                stack.append((name, named or own, inside or name in MAIN or 'role="main"' in rest, head or name in HEADINGS))
+                if own:
+                    named_parts.append(named := Part(named, name in WRAPPERS or name not in NOT_MAIN))
+                elif (main or name == "h1") and named is not None and named.loose:
+                    named.leads = True
+                stack.append((name, named, inside or main, head or name in HEADINGS))
             links = 0
     close()
+    return _unwrapped(found, named_parts)
+
+
+def _unwrapped(found: list[Block], parts: list[Part]) -> list[Block]:
+    """Blocks with ``named`` as yes or no: parts that are wrappers of the page name nothing. Parts come before those in them."""
+    for p in reversed(parts):
+        if p.around is not None:
+            p.around.words += p.words
+            p.around.leads = p.around.leads or p.leads and p.loose
+    total = sum(b.words for b in found)
+    names = {None: False}
+    for p in parts:
+        names[p] = names[p.around] or not (p.loose and p.leads and 2 * p.words > total)
+    for b in found:
+        b.named = names[b.named]
     return found
 
 
@@ -200,6 +241,9 @@ LABELLED = [
      (0, 25, 3, 0, 1, 1), (0, 3, 0, 0, 1, 1), (1, 48, 0, 0, 1, 0), (0, 2, 0, 1, 1, 1), (0, 33, 0, 0, 1, 1), (0, 70, 0, 0, 1, 1)],
     # An article with an unnamed list of links, and one linked line that is text.
     [(1, 40, 0, 0, 1, 0), (1, 6, 6, 0, 1, 0), (1, 52, 0, 0, 1, 0), (1, 35, 30, 0, 1, 0), (1, 28, 0, 0, 1, 0)],
+    # Lists of links in an article, which nothing names.
+    [(0, 2, 2, 0, 0, 1), (1, 5, 0, 1, 1, 0), (1, 44, 2, 0, 1, 0), (1, 61, 0, 0, 1, 0), (0, 6, 6, 0, 1, 0), (0, 5, 5, 0, 1, 0), (0, 7, 7, 0, 1, 0), (0, 4, 4, 0, 1, 0)],
+    [(0, 4, 4, 0, 1, 0), (0, 5, 5, 0, 1, 0), (0, 3, 3, 0, 1, 0), (1, 38, 1, 0, 1, 0), (1, 57, 0, 0, 1, 0), (0, 8, 0, 0, 0, 1)],
     # Much linked text, in an article and in what stands beside and inside it.
     [(0, 8, 1, 0, 0, 1), (0, 30, 4, 0, 0, 1), (1, 9, 1, 1, 1, 0), (1, 10, 2, 0, 1, 0), (1, 60, 7, 0, 1, 0), (1, 20, 5, 0, 1, 0),
      (1, 8, 4, 0, 1, 0), (1, 12, 3, 0, 1, 0), (1, 5, 5, 0, 1, 0), (0, 30, 2, 0, 1, 1), (0, 25, 5, 0, 1, 1), (0, 12, 6, 0, 1, 1),

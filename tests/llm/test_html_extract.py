@@ -52,6 +52,38 @@ def test_elements_without_an_end_tag_cut_nothing(start):
     assert text_of(page) == f"Title\n{PROSE}\n{PROSE}"
 
 
+LONG = " ".join([PROSE] * 3)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<div class='content has-sidebar'><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></div>", f"Title\n{LONG}\n{LONG}"),
+    (f"<article class='post no-comments'><p>{LONG}</p><p>{LONG}</p></article>", f"{LONG}\n{LONG}"),
+    (f"<form id=aspnetForm><div class=menu><a href=1>Home</a></div><article><h1>Title</h1><p>{LONG}</p></article></form>", f"Title\n{LONG}"),
+    (f"<div class=page-with-search><div id=sidebar-left><p>{PROSE}</p></div><main><p>{LONG}</p></main></div>", LONG),
+    (f"<div class='layout sidebar'><h1>Title</h1><p>{LONG}</p><p>{LONG}</p><div class=sidebar><p>{PROSE}</p></div></div>", f"Title\n{LONG}\n{LONG}"),
+    (f"<article><p>{PROSE}</p></article><section id=comments><p>{LONG}</p><p>{LONG}</p><article class=comment><p>{LONG}</p></article></section>", PROSE),
+    (f"<article><p>Click <span class=menu>File</span> and then <b class='search'>Find</b> or <i class=ad>more</i>, {PROSE}</p></article>", f"Click File and then Find or more, {PROSE}"),
+    (f"<nav><h1>Site</h1><p>{LONG}</p></nav><p>{PROSE}</p>", PROSE),
+])
+def test_names_name_parts_and_not_pages(page, text):
+    assert text_of(page) == text
+
+
+def test_the_tree_decides_beside_the_names():
+    """On pages that it was not trained on: its answer is not just \"in the article and not named\"."""
+    links = "".join(f"<li><a href={i}>Other story number {i}</a></li>" for i in range(5))
+    page = f"<article><h1>Title</h1><p>{LONG}</p><p>{PROSE} <a href=x>{PROSE}</a></p><p>{LONG}</p><ul>{links}</ul></article>"
+    assert text_of(page) == f"Title\n{LONG}\n{PROSE} {PROSE}\n{LONG}"
+    assert all(b.inside and not b.named for b in blocks(page))
+    plain = f"<div><a href=1>Home page</a></div><div><a href=2>All news</a></div><div><p>{LONG}</p><p>{LONG}</p></div><div><a href=3>Terms</a></div>"
+    assert text_of(plain) == f"{LONG}\n{LONG}" and not any(b.inside or b.named for b in blocks(plain))
+
+
+def test_deep_names_are_read_in_one_pass():
+    page = "<div class=menu>" * 30_000 + f"<article><h1>T</h1><p>{PROSE}</p></article>"
+    assert text_of(page) == f"T\n{PROSE}"
+
+
 def test_skipped_elements_may_be_nested():
     assert text_of(f"<article><p>{PROSE}</p><object>a<object>b</object>c</object><svg/><svg title='a>b'><text>x</text></svg><p>{PROSE}</p></article>") == f"{PROSE}\n{PROSE}"
     assert text_of("<noscript>" * 50_000 + f"<p>{PROSE}</p>") == PROSE
