@@ -13,9 +13,10 @@ a cost, or drop it. The trigrams are counted over the words of all documents, in
 model by the alphabets.
 
 The score is a logistic regression on how many words of a text are toxic, by how much, and what share. Words and word beginnings
-are toxic by log odds of their document frequencies in labelled documents, each distinct text once: those whose log odds are
+are toxic by log odds of their document frequencies in labelled documents: those whose log odds are
 LEAST_ODDS or more, and SURE_ODDS or more at the lower end of their confidence interval, which asks the same of any number of
-labels. Tokens none of
+labels. Labelled texts that agree in the least hash of their 5-word shingles, as near copies mostly do, count once in this, as
+copies would else make any of their rare words look sure. In learning, a token of letters counts as it stands. Tokens none of
 whose paths can spell such a part have weight 0, and are not decoded to find that out. It is fitted on at most FIT_TOXIC + FIT_CLEAN labelled rows, chosen by a hash of their ids, of those whose crc32(doc_id as text) mod 5 is
 not 0. Neither ids, labels, languages nor sources are inputs of a score.
 
@@ -37,6 +38,7 @@ from itertools import groupby
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -279,7 +281,7 @@ class Reachable:
         self.plain = {p for p in weights if not p.endswith("*")}, self._by_size(p[:-1] for p in weights if p.endswith("*"))
         once = [_REPEAT.sub(r"\1", p) for p in weights]
         self.once = {p for p in once if not p.endswith("*")}, self._by_size(p[:-1] for p in once if p.endswith("*"))
-        self.sure = all(x in LETTERS for p in weights for x in p.rstrip("*"))
+        self.sure = all(p.rstrip("*").isalpha() for p in weights)
         self.any_word = ahocorasick.Automaton()
         for word in whole:
             self.any_word.add_word(word, word)
@@ -365,23 +367,67 @@ class Reachable:
         return found
 
 
+def _cased() -> np.ndarray:
+    """Which code points below 65536 are small letters of a script with cases, and which are digits (2)."""
+    kinds = np.zeros(1 << 16, np.uint8)
+    for code in range(1 << 16):
+        c = chr(code)
+        kinds[code] = 1 if c.islower() and c.isalpha() else 2 if c.isdigit() else 0
+    return kinds
+
+
+def _grams(text: str) -> np.ndarray:
+    """The trigrams of a text's words, three code points in a number. A word is a run of small letters beside no digit."""
+    kinds = _KINDS.setdefault("", None)
+    if kinds is None:
+        kinds = _KINDS[""] = _cased()
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), np.uint32)
+    kind = kinds[np.where(codes < 1 << 16, codes, 0)]
+    letter = kind == 1
+    first = np.flatnonzero(letter[1:] & ~letter[:-1]) + 1
+    past = np.flatnonzero(letter[:-1] & ~letter[1:]) + 1
+    good = (kind[first - 1] != 2) & (kind[past] != 2)
+    first, past = first[good], past[good]
+    size = past - first
+    # Word by word: ^ and ^ before it, its letters, and $ after it.
+    at = np.repeat(np.cumsum(size + 3) - (size + 3), size) + 2 + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    whole = np.full(int((size + 3).sum()), ord("^"), np.uint64)
+    whole[at] = codes[np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
+    whole[np.cumsum(size + 3) - 1] = ord("$")
+    grams = whole[:-2] << np.uint64(32) | whole[1:-1] << np.uint64(16) | whole[2:]
+    inside = np.ones(len(grams), bool)
+    ends = np.cumsum(size + 3)[:-1]
+    inside[ends - 1] = inside[ends - 2] = False  # from one word to the next
+    return grams[inside]
+
+
+_KINDS: dict = {}
+
+
 def trigrams(documents: DataFrame, text_col: str = "text") -> DataFrame:
-    """(gram, n): trigrams of cased letters in the plain words of all documents."""
+    """(gram, n): trigrams of small cased letters in the words of all documents, capitals read as small ones."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
-        for part in (batch.slice(i, 2000) for batch in batches for i in range(0, batch.num_rows, 2000)):
-            tokens: Counter = Counter()
-            for text in utf8(part, "body"):
+
+        def add(texts: list[bytes]) -> None:
+            grams, n = np.unique(_grams(_normal(b" ".join(texts).decode("utf-8", "replace"))), return_counts=True)
+            for gram, times in zip(grams.tolist(), n.tolist()):
+                total[gram] += times
+
+        for batch in batches:
+            held, size = [], 0
+            for text in utf8(batch, "body"):
                 if text:
-                    tokens.update(_words(text))
-            for token, n in tokens.items():
-                word = plain(token)
-                if word and word.islower():
-                    word = f"^^{word}$"
-                    for i in range(len(word) - 2):
-                        total[word[i : i + 3]] += n
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["gram", "n"])
+                    held.append(text)
+                    size += len(text)
+                if size > 1 << 20:
+                    add(held)
+                    held, size = [], 0
+            if held:
+                add(held)
+        spelled = ["".join(chr(g >> s & 0xFFFF) for s in (32, 16, 0)) for g in total]
+        yield pa.RecordBatch.from_arrays([pa.array(spelled, pa.string()), pa.array(list(total.values()), pa.int64())], names=["gram", "n"])
 
     rows = pick(documents, body=text_col)
     return rows.mapInArrow(count, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -393,7 +439,7 @@ def parts_of(word: str) -> list[str]:
 
 
 class Restored(dict):
-    """The words of tokens."""
+    """The words of tokens; a token of letters is one as it stands."""
 
     def __init__(self, model: Model):
         super().__init__()
@@ -402,7 +448,8 @@ class Restored(dict):
     def __missing__(self, token: str) -> list[str]:
         if len(self) >= REMEMBERED:
             self.clear()
-        found = self[token] = restored(token, self.model)
+        word = plain(token)
+        found = self[token] = [word] if word else restored(token, self.model)
         return found
 
 
@@ -478,7 +525,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id_col: str, label_col: str) -> DataFrame:
-    """(body, toxic) of the rows to learn from: at most FIT_TOXIC + FIT_CLEAN, distinct by text."""
+    """(body, toxic) of the rows to learn from: at most FIT_TOXIC + FIT_CLEAN, near copies mostly once."""
     given = pick(labels, of=label_id_col, toxic=label_col).where(F.col("toxic").isNotNull() & F.col("of").isNotNull())
     given = given.where(~held_out(F.col("of"))).groupBy("of").agg(F.max("toxic").cast("int").alias("toxic"))
     sizes = {r["one"]: r["n"] for r in given.groupBy((F.col("toxic") == 1).alias("one")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -488,7 +535,16 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, id_col: str, text_c
     chosen = given.where(F.pmod(F.xxhash64("of"), F.lit(1 << 30)) < least * (1 << 30))
     rows = pick(documents, doc_id=id_col, body=text_col).where("doc_id IS NOT NULL")
     found = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))  # of bounded size
-    return found.groupBy("body").agg(F.max(F.expr("CASE WHEN toxic = 1 THEN 1 ELSE 0 END")).alias("toxic"))
+    one = found.groupBy("body").agg(F.max(F.expr("CASE WHEN toxic = 1 THEN 1 ELSE 0 END")).alias("toxic"))
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            split = [(t or b"").split() for t in utf8(batch, "body")]
+            least = [min((xxhash.xxh3_64_intdigest(b" ".join(w[i : i + 5])) >> 1 for i in range(max(1, len(w) - 4))), default=0) for w in split]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())], names=[*batch.schema.names, "lead"])
+
+    marked = one.mapInArrow(lead, "body string, toxic int, lead bigint")
+    return marked.groupBy("lead", "toxic").agg(F.min("body").alias("body")).select("body", "toxic")
 
 
 def learn(documents: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label_id_col: str = "doc_id", label_col: str = "toxic") -> Scorer:
