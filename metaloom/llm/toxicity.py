@@ -279,7 +279,9 @@ class Reachable:
         self.words, self.longest = whole, max(map(len, whole), default=0)
         #: Words, and beginnings by their lengths: as they are, and with each run of a letter once.
         self.plain = {p for p in weights if not p.endswith("*")}, self._by_size(p[:-1] for p in weights if p.endswith("*"))
+        self.starts = {p.rstrip("*")[:3] for p in weights}
         once = [_REPEAT.sub(r"\1", p) for p in weights]
+        self.once_starts = {p.rstrip("*")[:3] for p in once}
         self.once = {p for p in once if not p.endswith("*")}, self._by_size(p[:-1] for p in once if p.endswith("*"))
         self.sure = all(p.rstrip("*").isalpha() for p in weights)
         self.any_word = ahocorasick.Automaton()
@@ -299,16 +301,17 @@ class Reachable:
 
     def may_matter(self, token: str) -> bool:
         """False only for tokens none of whose readings has a weight."""
-        text = token.lower()
-        word = text.strip(EDGES)
-        if not word.isalpha() or len(word) < len(text) and _SIGN.search(text):
-            return self.token(text)
+        word = text = token.lower()
+        if not text.isalpha():
+            word = text.strip(EDGES)
+            if not word.isalpha() or _SIGN.search(text):
+                return self.token(text)
         # Letters and nothing that stands for one: all readings are the word but for the length of its runs.
         if _DOUBLE.search(word):
-            word, (whole, begun) = _REPEAT.sub(r"\1", word), self.once
+            word, (whole, begun), starts = _REPEAT.sub(r"\1", word), self.once, self.once_starts
         else:
-            whole, begun = self.plain
-        return word in whole or any(word[:n] in some for n, some in begun)
+            (whole, begun), starts = self.plain, self.starts
+        return word[:3] in starts and (word in whole or any(word[:n] in some for n, some in begun))
 
     def token(self, text: str) -> bool:
         """Whether any path through any part of the token's lattice spells a part that has a weight.
@@ -349,11 +352,12 @@ class Reachable:
 
     def spans(self, text: str) -> list[list[str]]:
         """Rows of short tokens, not all of one character, whose letters together may spell a word that has a weight."""
-        rows = _PIECES.findall(text.lower())
-        if not rows or not self._holds_word("\0".join(rows)):
+        rows = _PIECES.findall(text)
+        if not rows or not self._holds_word("\0".join(rows).lower()):
             return []
         found = []
         for row in rows:
+            row = row.lower()
             if self._holds_word(row):
                 tokens = row.split()
                 for i in range(len(tokens)):
@@ -376,7 +380,7 @@ def _cased() -> np.ndarray:
     return kinds
 
 
-def _grams(text: str) -> np.ndarray:
+def _grams(text: str) -> Counter:
     """The trigrams of a text's words, three code points in a number. A word is a run of small letters beside no digit."""
     kinds = _KINDS.setdefault("", None)
     if kinds is None:
@@ -391,14 +395,27 @@ def _grams(text: str) -> np.ndarray:
     size = past - first
     # Word by word: ^ and ^ before it, its letters, and $ after it.
     at = np.repeat(np.cumsum(size + 3) - (size + 3), size) + 2 + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    whole = np.full(int((size + 3).sum()), ord("^"), np.uint64)
+    whole = np.full(int((size + 3).sum()), ord("^"), np.int64)
     whole[at] = codes[np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
     whole[np.cumsum(size + 3) - 1] = ord("$")
-    grams = whole[:-2] << np.uint64(32) | whole[1:-1] << np.uint64(16) | whole[2:]
+    # The letters that occur, numbered: a trigram is one number below the cube of their number.
+    used = np.zeros(1 << 16, bool)
+    used[whole] = True
+    alphabet, number = np.flatnonzero(used), np.cumsum(used) - 1
+    n, small = len(alphabet), number[whole]
+    grams = (small[:-2] * n + small[1:-1]) * n + small[2:]
     inside = np.ones(len(grams), bool)
     ends = np.cumsum(size + 3)[:-1]
     inside[ends - 1] = inside[ends - 2] = False  # from one word to the next
-    return grams[inside]
+    grams = grams[inside]
+    if n**3 <= 1 << 22:
+        times = np.bincount(grams)
+        grams = np.flatnonzero(times)
+        times = times[grams]
+    else:
+        grams, times = np.unique(grams, return_counts=True)
+    codes = alphabet[grams // (n * n)] << 32 | alphabet[grams // n % n] << 16 | alphabet[grams % n]
+    return Counter(dict(zip(codes.tolist(), times.tolist())))
 
 
 _KINDS: dict = {}
@@ -411,9 +428,7 @@ def trigrams(documents: DataFrame, text_col: str = "text") -> DataFrame:
         total: Counter = Counter()
 
         def add(texts: list[bytes]) -> None:
-            grams, n = np.unique(_grams(_normal(b" ".join(texts).decode("utf-8", "replace"))), return_counts=True)
-            for gram, times in zip(grams.tolist(), n.tolist()):
-                total[gram] += times
+            total.update(_grams(_normal(b" ".join(texts).decode("utf-8", "replace"))))
 
         for batch in batches:
             held, size = [], 0
@@ -439,7 +454,7 @@ def parts_of(word: str) -> list[str]:
 
 
 class Restored(dict):
-    """The words of tokens; a token of letters is one as it stands."""
+    """The words of tokens and their beginnings; a token of letters is a word as it stands."""
 
     def __init__(self, model: Model):
         super().__init__()
@@ -449,7 +464,7 @@ class Restored(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         word = plain(token)
-        found = self[token] = [word] if word else restored(token, self.model)
+        found = self[token] = [p for w in ([word] if word else restored(token, self.model)) for p in parts_of(w)]
         return found
 
 
@@ -565,9 +580,9 @@ def learn(documents: DataFrame, labels: DataFrame, *, id_col: str, text_col: str
         for batch in batches:
             for text, kind in zip(utf8(batch, "body"), batch.column("toxic").to_pylist()):
                 if text:
-                    words = {w for t in set(_words(text)) for w in known[t]}
-                    words.update(spaced(text.decode("utf-8", "replace"), own))
-                    totals[kind].update({p for w in words for p in parts_of(w)})
+                    found = {p for t in set(_words(text)) for p in known[t]}
+                    found.update(p for w in spaced(text.decode("utf-8", "replace"), own) for p in parts_of(w))
+                    totals[kind].update(found)
         every = list(totals[0].keys() | totals[1].keys())
         yield pa.RecordBatch.from_arrays(
             [pa.array(every, pa.string()), pa.array([totals[1][p] for p in every], pa.int64()), pa.array([totals[0][p] for p in every], pa.int64())],
