@@ -507,23 +507,26 @@ def q_message_atomicity(spark, sf):
 
 @query("dispatch_change", f"""WITH {star_sql()}, {DEL_SQL}, {REN_SQL},
 step AS (SELECT guid, unnest(pg) AS g FROM nodes)
-SELECT * FROM (SELECT 'attr' AS kind, (SELECT count(*) + count(new_definition) FROM ren) AS rows
-UNION ALL SELECT 'crumb_name', count(*) FROM step JOIN ren ON g = ren.guid
-UNION ALL SELECT 'relink', count(*) FROM lk JOIN ren ON lk.guid = ren.guid
-UNION ALL SELECT 'crumb_cut', count(*) FROM step JOIN del ON g = del.guid
-UNION ALL SELECT 'unlink', count(*) FROM lk JOIN del ON lk.guid = del.guid
-UNION ALL SELECT 'tombstone', count(*) FROM del
-UNION ALL SELECT 'document_not_found', count(DISTINCT user_id) FROM events
-UNION ALL SELECT 'name_missing', count(*) FROM supplier WHERE s_acctbal < 0
-UNION ALL SELECT 'not_implemented', count(*) FROM orders) WHERE rows > 0""")
+SELECT 'attr' AS kind, guid AS doc, 'name' AS field, CAST(NULL AS VARCHAR) AS guid, new_name AS value FROM ren
+UNION ALL SELECT 'attr', guid, 'definition', NULL, new_definition FROM ren WHERE new_definition IS NOT NULL
+UNION ALL SELECT 'crumb_name', step.guid, NULL, g, new_name FROM step JOIN ren ON g = ren.guid
+UNION ALL SELECT 'relink', doc, lk.field, lk.guid, new_name FROM lk JOIN ren ON lk.guid = ren.guid
+UNION ALL SELECT 'crumb_cut', step.guid, NULL, g, NULL FROM step JOIN del ON g = del.guid
+UNION ALL SELECT 'unlink', doc, lk.field, lk.guid, NULL FROM lk JOIN del ON lk.guid = del.guid
+UNION ALL SELECT 'tombstone', guid, NULL, NULL, NULL FROM del
+UNION ALL SELECT DISTINCT 'document_not_found', 'U' || user_id || '_5000_0', NULL, NULL, NULL FROM events
+UNION ALL SELECT 'name_missing', 'S' || s_suppkey || '_4000_0', NULL, NULL, NULL FROM supplier WHERE s_acctbal < 0
+UNION ALL SELECT 'not_implemented', 'O' || o_orderkey || '_1_0', NULL, NULL, NULL FROM orders""")
 def q_dispatch_change(spark, sf):
+    """All edits, tombstones and errors of mixed changes, row by row."""
     unknown = change(table(spark, sf, "orders"), "EntityMoved", F.concat(F.lit("O"), "o_orderkey"), "m4i_field", 1)
     changes = union(renames(spark, sf), deletions(spark, sf), unknown)
     _, edits, tombstones, errors = fold.dispatch_change(changes, Star(spark, sf).documents())
-    kinds = union(
-        edits.select("kind"), tombstones.select(F.lit("tombstone").alias("kind")),
-        errors.select(F.col("error.kind").alias("kind")))
-    return kinds.groupBy("kind").agg(F.count(F.lit(1)).alias("rows"))
+    none = F.lit(None).cast("string")
+    return union(
+        edits.select("kind", "doc", "field", "guid", "value"),
+        tombstones.select(F.lit("tombstone").alias("kind"), F.col("guid").alias("doc"), none.alias("field"), none.alias("guid"), none.alias("value")),
+        errors.select(F.col("error.kind").alias("kind"), F.col("change_id").alias("doc"), none.alias("field"), none.alias("guid"), none.alias("value")))
 
 
 # --------------------------------------------------------------------------- the whole job

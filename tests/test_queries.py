@@ -8,8 +8,6 @@ import __spark_entry__ as entry
 from metaloom.plans.registry import QUERIES
 from tests.compare import connect, difference
 
-# The whole job takes minutes on one machine; test_fold and test_streaming cover its parts.
-NAMES = [n for n in QUERIES if n != "job_synchronize_app_search"]
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +15,7 @@ def tables(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, sf, tables, name):
     assert difference(entry.queries()[name], entry.oracle_sql()[name], spark, tables, sf) is None
 
