@@ -11,12 +11,25 @@ from pyspark.sql import types as T
 
 from metaloom.functions.state import checkpoint_dir, cut
 
-__all__ = ["blanks_out", "checkpoint_dir", "count_words", "cut", "joined_by_row", "kept_by", "pick", "table", "utf8", "word_array"]
+__all__ = ["blanks_out", "checkpoint_dir", "count_words", "cut", "drop", "joined_by_row", "kept_by", "pick", "table", "utf8", "word_array"]
 
 #: The white space that parts words: space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = " \t\n\x0b\x0c\r"
 
 
+def drop(*tables: DataFrame) -> None:
+    """Remove tables that ``cut`` wrote, and the shuffle files of plans that nothing refers to any more.
+
+    Only for tables whose every use has been written itself: what is left must not need them, also when executors are lost.
+    """
+    for df in tables:
+        jvm, files = df.sparkSession._jvm, df.inputFiles()
+        if files:
+            folder = jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+        jvm.System.gc()  # Spark removes shuffle files when their plans are collected
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metaloom.llm.common import count_words, cut, pick, utf8
+from metaloom.llm.common import count_words, cut, drop, pick, utf8
 
 MIN_WORDS = 50
 GRAM, WINDOW = 8, 17
@@ -168,8 +168,11 @@ def surroundings(documents: DataFrame, min_words: int) -> DataFrame:
     return documents.mapInArrow(take, schema)
 
 
-def equal_to_a_neighbour(rows: DataFrame, key: str, then: tuple[str, ...] = ()) -> DataFrame:
-    """The rows that have the same key as the row before or after them, in the order of ``key`` and ``then``."""
+def equal_to_a_neighbour(rows: DataFrame, key: str, then: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The rows that have the same key as the row before or after them, in the order of ``key`` and ``then``.
+
+    Also returns the table that they are read from, to be dropped after use.
+    """
     order = [key, *then]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     kept = rows.columns
@@ -205,7 +208,7 @@ def equal_to_a_neighbour(rows: DataFrame, key: str, then: tuple[str, ...] = ())
     # Two rows of each task: where its range begins and ends.
     edges = sorted(found.where("edge").collect(), key=lambda r: (r["part"], r[key]))
     joined = [tuple(r[c] for c in kept) for a, b in zip(edges, edges[1:]) if a["part"] != b["part"] and a[key] == b[key] for r in (a, b) if not r["same"]]
-    return found.where("same").select(*kept).unionByName(rows.sparkSession.createDataFrame(joined, rows.schema))
+    return found.where("same").select(*kept).unionByName(rows.sparkSession.createDataFrame(joined, rows.schema)), found
 
 
 def _joined(min_words: int):
@@ -234,6 +237,18 @@ def _joined(min_words: int):
     return run
 
 
+def _repeated_places(rows: DataFrame, core: int, min_words: int) -> DataFrame:
+    """The surroundings of all places whose core is equal to another's; what leads there is removed."""
+    kept = cut(suffixes(rows, core))
+    equal, compared = equal_to_a_neighbour(kept, "key", ("doc_id", "spot", "pos"))
+    asked = equal.groupBy("doc_id", "spot").agg(F.collect_set("pos").alias("places")).withColumnsRenamed({"doc_id": "of", "spot": "at"})
+    texts = rows.join(asked, F.expr("spot = at AND doc_id <=> of")).select("doc_id", "spot", "body", "places")
+    around = cut(surroundings(texts, min_words))
+    del equal, asked, texts
+    drop(kept, compared)
+    return around
+
+
 def repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, n_words, spans and later (arrays of (start, end) in words, end exclusive), n_repeated, n_later of every document.
 
@@ -244,14 +259,12 @@ def repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col:
     if core < GRAM:
         raise ValueError(f"passages have {GRAM + WINDOW - 1} words at least")
     rows = pick(documents, doc_id=id_col, body=text_col).withColumn("spot", F.xxhash64("doc_id", "body"))
-    kept = cut(suffixes(rows, core))
-    equal = equal_to_a_neighbour(kept, "key", ("doc_id", "spot", "pos"))
-    asked = equal.groupBy("doc_id", "spot").agg(F.collect_set("pos").alias("places")).withColumnsRenamed({"doc_id": "of", "spot": "at"})
-    texts = rows.join(asked, F.expr("spot = at AND doc_id <=> of")).select("doc_id", "spot", "body", "places")
-    around = cut(surroundings(texts, min_words))
+    around = _repeated_places(rows, core, min_words)
     place, same = F.struct("doc_id", "spot", "pos"), ["one", "two"]
     classes = cut(around.groupBy(*same).agg(
         F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.first("ones").alias("ones"), F.first("twos").alias("twos")))
+    places = cut(around.select("doc_id", "spot", "pos", "start", *same))
+    drop(around)
     passages = classes.select(*same, "n", "first", F.posexplode(F.arrays_zip("ones", "twos")).alias("k", "p")).select(
         *same, "n", "first", "k", F.col("p.ones").alias("a"), F.col("p.twos").alias("b"))
     # Written down, so that the join reads both sides from shuffles and can split what very many share.
@@ -260,8 +273,10 @@ def repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col:
     bits = passages.join(found, ["a", "b"]).groupBy(*same).agg(
         F.sum(bit).alias("recurs"), F.sum(F.when(F.col("least") < F.col("first"), bit).otherwise(0)).alias("earlier"))
     judged = cut(classes.select(*same, "first").join(bits, same))
+    del passages, bits
+    drop(classes, found)
     # What a member of a class shares with the first one occurs before it.
-    joined = around.select("doc_id", "spot", "pos", "start", *same).join(judged, same)
+    joined = places.join(judged, same)
     later = F.when(F.col("first") < place, F.col("recurs")).otherwise(F.col("earlier"))
     listed = joined.groupBy(F.col("doc_id").alias("of"), F.col("spot").alias("at")).agg(
         F.collect_set(F.struct("start", F.col("recurs").cast("int").alias("recurs"), later.cast("int").alias("later"))).alias("places"))

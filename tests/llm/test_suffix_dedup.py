@@ -141,7 +141,7 @@ def test_a_passage_of_very_many_rows_is_dealt_to_many_tasks(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        found = suffix_dedup.equal_to_a_neighbour(rows, "key", ("doc_id", "spot", "pos"))
+        found, _ = suffix_dedup.equal_to_a_neighbour(rows, "key", ("doc_id", "spot", "pos"))
         per_file = found.groupBy(F.input_file_name()).count().collect()
         assert found.count() == 40_000 and max(r["count"] for r in per_file) < 10_000
     finally:
