@@ -79,8 +79,10 @@ def lookup_related_documents(docs: DataFrame, requested: DataFrame, policy: str
     with ``'partial'`` they stay.
     """
     asked = requested.filter(F.size("guids") > 0).select("change_id", F.explode("guids").alias("guid"))
-    pairs = asked.groupBy("change_id", "guid").agg(F.count(F.lit(1)).alias("times"))
-    known = docs.select(F.col("guid"), F.lit(True).alias("known"))
+    # Dealt by change once, for the pairs and for all counts of a change; documents meet each guid once, however often it is asked for.
+    pairs = asked.repartition("change_id").groupBy("change_id", "guid").agg(F.count(F.lit(1)).alias("times"))
+    wanted = asked.select("guid").distinct()
+    known = docs.select("guid").join(wanted, "guid", "left_semi").withColumn("known", F.lit(True))
     checked = pairs.join(known, "guid", "left")
     counted = checked.groupBy("change_id").agg(
         (F.count("guid") if distinct else F.sum("times")).alias("requested"), F.count("known").alias("found")
