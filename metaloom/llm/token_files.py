@@ -13,10 +13,11 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,38 +35,70 @@ END_ID = 2
 #: Ids after which a task begins the next file.
 FILE_IDS = 64 << 20
 MAGIC = b"RANSTOK1"
-#: Pieces of text whose ids a worker remembers; it forgets all when it has so many.
-REMEMBERED = 400_000
+#: Pieces of text whose ids a worker remembers; of half as many it keeps those that come again.
+REMEMBERED = 800_000
 
 
 #: The characters by which a byte-level model writes bytes: printable ones for themselves, others from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _MARKS = frozenset(".,;:!?")
+#: Marks that stay together after letters; an apostrophe may stand with the letters that follow it.
+_TAILS = frozenset(string.punctuation) - {"'"}
 #: Letters below are such in every version of Unicode.
 _PLAIN_BELOW = "\u0250"
 
 
+class Beside(Exception):
+    """White space stands beside a space."""
+
+
 class Pieces(dict):
-    """Ids of pieces that stand after ``before`` (a space or nothing), remembered."""
+    """Ids of pieces that stand after ``before`` (a space or nothing), remembered: those of late, and older ones until then."""
 
     def __init__(self, encoder: Encoder, before: str):
         super().__init__()
-        self.encoder, self.before = encoder, before
+        self.encoder, self.before, self.older = encoder, before, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
+        found = self.older.get(piece)
+        if found is None:
+            found = self.of(piece)
+        if "\n" not in piece:  # two words, which are remembered by themselves
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
+
+    def of(self, piece: str) -> bytes:
         encoder = self.encoder
-        if piece.isalpha() and max(piece) < _PLAIN_BELOW:
-            found = encoder.word(self.before + piece)
-        elif piece[-1:] in _MARKS and piece[:-1].isalpha():
-            found = self[piece[:-1]] + encoder.bare_marks[piece[-1]]
-        elif 0 < (at := piece.find("\n")) < len(piece) - 1 and not piece[at - 1].isspace() and not piece[at + 1].isspace():
-            found = self[piece[:at]] + encoder.newline + encoder.bare[piece[at + 1 :]]
-        else:
-            found = encoder.encode(self.before + piece)
-        self[piece] = found
+        if self.before and (not piece or piece[0] in _WHITE):
+            raise Beside
+        if piece.isalpha() and (piece.isascii() or max(piece) < _PLAIN_BELOW):
+            return encoder.word(self.before + piece)
+        if piece[-1:] in encoder.tails:
+            letters = piece.rstrip(encoder.tail_marks)
+            if letters.isalpha() and (letters.isascii() or max(letters) < _PLAIN_BELOW):
+                return self[letters] + encoder.bare[piece[len(letters) :]]
+        if piece[-1:] in _MARKS and piece[:-1].isalpha():
+            return self[piece[:-1]] + encoder.bare_marks[piece[-1]]
+        if 0 < (at := piece.find("\n")) < len(piece) - 1 and not piece[at - 1].isspace() and not piece[at + 1].isspace():
+            return self[piece[:at]] + encoder.newline + encoder.bare[piece[at + 1 :]]
+        return encoder.encode(self.before + piece)
+
+
+class Packers(dict):
+    """By their number, what packs ids as little-endian bytes."""
+
+    def __init__(self, code: str):
+        super().__init__()
+        self.code = code
+
+    def __missing__(self, n: int) -> Callable[..., bytes]:
+        found = struct.Struct(f"<{n}{self.code}").pack
+        if n < 100:
+            self[n] = found
         return found
 
 
@@ -83,8 +116,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            self.whole = not self.parts(json.load(f))
-        self.tokenizer, self.code = Tokenizer.from_file(path), {"<u2": "H", "<u4": "I"}[width]
+            config = json.load(f)
+        self.whole = not self.parts(config)
+        self.tails = _TAILS.difference(*[t["content"] for t in config.get("added_tokens", [])])
+        self.tail_marks = "".join(self.tails)
+        self.tokenizer, self.packers = Tokenizer.from_file(path), Packers({"<u2": "H", "<u4": "I"}[width])
         self.model = self.tokenizer.model
         self.bare, self.spaced = Pieces(self, ""), Pieces(self, " ")
         self.newline, self.bare_marks = self.encode("\n"), {c: self.encode(c) for c in _MARKS}
@@ -97,7 +133,7 @@ class Encoder:
         return plain and config.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
 
     def packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+        return self.packers[len(ids)](*ids)
 
     def encode(self, text: str) -> bytes:
         return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -107,23 +143,22 @@ class Encoder:
         if text.isascii():
             printed = _BYTES[32] + text[1:] if text[0] == " " else text
         else:
-            printed = "".join(map(_BYTES.__getitem__, text.encode()))
-        return self.packed([t.id for t in self.model.tokenize(printed)])
+            printed = text.encode().decode("latin-1").translate(_BYTES)
+        ids = [t.id for t in self.model.tokenize(printed)]
+        return self.packers[len(ids)](*ids)
 
     def ids(self, text: str) -> bytes:
-        if self.whole or beside_space(text):
+        if self.whole:
             return self.encode(text)
         first, *rest = text.split(" ")
-        return (self.bare[first] if first else b"") + b"".join(map(self.spaced.__getitem__, rest))
+        try:
+            return (self.bare[first] if first else b"") + b"".join(map(self.spaced.__getitem__, rest))
+        except Beside:
+            return self.encode(text)
 
 
 #: White space but the space itself.
-_WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-
-
-def beside_space(text: str) -> bool:
-    """Whether white space follows a space, or a space ends the text."""
-    return text.endswith(" ") or "  " in text or any(" " + c in text for c in _WHITE)
+_WHITE = frozenset("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}

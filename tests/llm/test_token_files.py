@@ -62,6 +62,23 @@ def test_damage_is_found():
         rans.Table.from_bytes(bytes(raw))
 
 
+def test_pieces_that_come_again_stay_remembered(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 8)
+    encoder, asked = token_files.Encoder(token_files.default_tokenizer(), "<u2"), []
+    word = encoder.word
+    monkeypatch.setattr(encoder, "word", lambda text: asked.append(text) or word(text))
+    text = " ".join(f"the {a}{b}" for a in "abcdef" for b in "xyz")
+    assert encoder.ids(text) == encoder.encode(text) and asked.count(" the") == 1
+
+
+def test_letters_are_parted_from_the_marks_after_them(monkeypatch):
+    encoder, asked = token_files.Encoder(token_files.default_tokenizer(), "<u2"), []
+    encode, text = encoder.encode, "we so$$$ we$$$ go$$$ no.!! so.!! no$'s\nno.!!"
+    want = encode(text)
+    monkeypatch.setattr(encoder, "encode", lambda text: asked.append(text) or encode(text))
+    assert encoder.ids(text) == want and sorted(asked) == [" no$'s", "$$$", ".!!"]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from(list("ab1.'s \n\t\xa0 é!\x1c\x85")), max_size=14))
 def test_pieces_are_encoded_as_the_whole(text):
