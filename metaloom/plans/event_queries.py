@@ -94,9 +94,13 @@ def history(messages: DataFrame) -> DataFrame:
     return versions.versions_dedupe(versions.entity_versions(messages))
 
 
+def known_versions(spark, sf) -> DataFrame:
+    """The history of all valid messages, put together once: lookups read its times, then the bodies of the answers."""
+    return staged(spark, sf, "history", lambda: history(valid_messages(spark, sf)))
+
+
 def with_asof(spark, sf) -> DataFrame:
-    messages = valid_messages(spark, sf)
-    return versions.previous_version_asof(messages, history(messages))
+    return versions.previous_version_asof(valid_messages(spark, sf), known_versions(spark, sf))
 
 
 def with_previous(spark, sf) -> DataFrame:
@@ -302,8 +306,7 @@ def q_previous_version_wait(spark, sf):
 SELECT guid, ms AS msg_creation_time, CASE WHEN op <> 'ENTITY_CREATE' THEN pms END AS previous_time,
   CASE WHEN op <> 'ENTITY_CREATE' AND pms IS NULL THEN 'no_previous_version' END AS error_kind FROM prev""")
 def q_publish_state_facade(spark, sf):
-    messages = valid_messages(spark, sf)
-    return versions.publish_state_facade(messages, history(messages)).select(
+    return versions.publish_state_facade(valid_messages(spark, sf), known_versions(spark, sf)).select(
         F.col("entity.guid").alias("guid"), "msg_creation_time",
         F.col("previous_version.updateTime").alias("previous_time"), F.col("error.kind").alias("error_kind"))
 

@@ -10,6 +10,7 @@ from metaloom.functions.skew import SETTINGS
 from metaloom.operators.created import create_document
 from metaloom.operators.edits import apply_edits
 from metaloom.operators.link_edges import apply_link_edits, edges_of
+from metaloom.plans.event_queries import with_asof
 from metaloom.plans.star_queries import PLACE, q_sink_document_upserts
 from metaloom.schemas import LINK_FIELDS
 from metaloom.sources.documents import lookup_related_documents
@@ -101,3 +102,13 @@ def test_documents_of_a_type_are_dealt_by_its_key(spark, sf):
 
 def test_a_published_text_is_read_once(spark, sf):
     assert plan(q_sink_document_upserts(spark, sf)).count("get_json_object(value") == 0
+
+
+def test_the_history_is_put_together_once_and_read_in_small_pieces(spark, sf, monkeypatch):
+    from metaloom.plans import event_queries
+
+    given = []
+    monkeypatch.setattr(event_queries.versions, "previous_version_asof", lambda messages, history: given.append(plan(history)) or messages)
+    with_asof(spark, sf)
+    assert "Aggregate" not in given[0] and "Exchange" not in given[0]
+    assert SETTINGS["spark.sql.files.maxPartitionBytes"] == "16m"
