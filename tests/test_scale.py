@@ -96,6 +96,14 @@ def test_lists_are_not_put_together_before_the_shuffle(spark):
     assert "ObjectHashAggregate" not in plan(out) and SETTINGS["spark.sql.execution.useObjectHashAggregateExec"] == "false"
 
 
+def test_guids_of_links_are_made_after_the_shuffle(spark):
+    rows = spark.createDataFrame([(1, 12, "B"), (1, 9, "A")], "k int, p int, n string")
+    out = listed(rows, "k", FIELD, F.concat(F.lit("P"), "p"), F.col("n"))
+    assert [[tuple(e) for e in r[f"_{FIELD}"]] for r in out.collect()] == [[("P12", "B"), ("P9", "A")]]
+    text = plan(out)
+    assert "concat(P" in text[: text.index("Exchange")] and "concat(P" not in text[text.index("Exchange") :]
+
+
 def test_documents_of_a_type_are_dealt_by_its_key(spark, sf):
     assert "ObjectHashAggregate" not in plan(Star(spark, sf)._documents())
 
