@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from metaloom.functions.packing import pack, unpack
 from metaloom.functions.skew import SETTINGS
 from metaloom.operators.created import create_document
 from metaloom.operators.edits import apply_edits
@@ -14,8 +15,10 @@ from metaloom.plans.event_queries import with_asof
 from metaloom.plans.star_queries import PLACE, q_sink_document_upserts
 from metaloom.schemas import LINK_FIELDS
 from metaloom.sources.documents import lookup_related_documents
-from metaloom.sources.postings import posting_changes
+from metaloom.sources.keyed_store import KeyedStore
+from metaloom.sources.postings import document_store, posting_changes, posting_store, postings
 from metaloom.sources.sample_catalog import Star, listed
+from metaloom.sources.sinks import apply_document_changes
 from metaloom.streaming.publish import numbered
 from tests.build import changes, created, doc, docs
 
@@ -120,3 +123,51 @@ def test_the_history_is_put_together_once_and_read_in_small_pieces(spark, sf, mo
     with_asof(spark, sf)
     assert "Aggregate" not in given[0] and "Exchange" not in given[0]
     assert SETTINGS["spark.sql.files.maxPartitionBytes"] == "16m"
+
+
+ODD = {FIELD + "guid": ["x", 'q"\\', None, "", "\n\u00e9\U0001f600"], FIELD: ["X", None, "\t", "[],null", "\u0001"]}
+
+
+def test_packed_documents_come_back_as_they_were(spark):
+    table = docs(spark, doc("a", path=[("p", "P", "t")], parent="p", **ODD), doc("b"), doc('c"')).withColumn(
+        "derivedsystem", F.when(F.col("guid") != "b", F.col("derivedsystem"))).withColumn("score", F.lit(float("nan")))
+    there = pack(table, "guid")
+    assert set(there.columns) == {"guid", "_packed", "score", *[f.name for f in table.schema if f.dataType.simpleString() == "double"]}
+    assert sorted(map(repr, unpack(there, table.schema, "guid").collect())) == sorted(map(repr, table.collect()))
+
+
+def test_documents_meet_their_edits_packed(spark, tmp_path):
+    table = kept(spark, docs(spark, doc("a", path=[("p", "P", "t")], parent="p", **ODD)), tmp_path / "table")
+    after = apply_edits(table, kept(spark, link_edits(spark, ("a", "link", FIELD, "z", "Z")), tmp_path / "edits"))
+    row = after.collect()[0]
+    assert (row[FIELD + "guid"], row[FIELD], row.breadcrumbname) == ([*ODD[FIELD + "guid"], "z"], [*ODD[FIELD], "Z"], ["P"])
+    assert "_packed" in plan(after)
+
+
+def test_rows_of_the_index_are_dealt_once(spark, tmp_path):
+    table = kept(spark, docs(spark, doc("a", path=[("p", "P", "t")], **{FIELD + "guid": ["x", "y", "x"], FIELD: ["X", "Y", "X"]})), tmp_path / "table")
+    found = postings(table, posting_store(str(tmp_path / "index"), 4))
+    assert sorted((r.guid, r.field, r.pos) for r in found.collect()) == sorted([("p", "breadcrumb", 0), ("x", FIELD, 0), ("y", FIELD, 1)])
+    assert plan(found).count("Exchange hashpartitioning") == 2  # one of breadcrumbs, one of links
+
+
+def test_changes_of_a_store_meet_its_rows_once(spark, tmp_path, monkeypatch):
+    store, written = document_store(str(tmp_path), 4), []
+    store.create(docs(spark, doc("a", **ODD), doc("b"), doc("c")))
+    write = KeyedStore._write
+    monkeypatch.setattr(KeyedStore, "_write", lambda self, rows, version: written.append(plan(rows)) or write(self, rows, version))
+    edits = docs(spark, doc("a", path=[("p", "P", "t")], **ODD), doc("b"), doc("d")).withColumn("deleted", F.col("guid") == "b").withColumn("n", F.lit(1))
+    store.apply(edits, "n", 0, 1)
+    rows = {r.guid: r for r in store.read(spark, 1).collect()}
+    assert set(rows) == {"a", "c", "d"} and rows["a"].breadcrumbguid == ["p"] and rows["a"][FIELD] == ODD[FIELD]
+    assert written[0].count("Exchange hashpartitioning") == 1
+
+
+def test_changes_of_a_table_deal_only_what_is_asked_for(spark, tmp_path):
+    table = spark.createDataFrame([("a", 1, "old"), ("b", 2, "old"), (None, 3, "old")], "k string, v int, other string")
+    rows = [("a", 5, "x", 2, False), ("a", 6, "x", 1, False), ("b", 7, "x", 1, True), ("c", 8, "x", None, False), ("c", 9, "x", 0, False),
+            ("d", 10, "x", None, False), (None, 11, "x", 1, False)]
+    new = kept(spark, spark.createDataFrame(rows, "k string, v int, other string, n int, deleted boolean"), tmp_path / "new")
+    after = apply_document_changes(table, new, "k", "n").select("k", "v")
+    assert sorted((r.k or "", r.v) for r in after.collect()) == [("", 3), ("", 11), ("a", 5), ("c", 9)]
+    assert all("other" not in x for x in re.findall(r"ReadSchema: (\S+)", plan(after)))
